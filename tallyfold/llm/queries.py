@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, pow2_packing, quality_ledger, simhash_vptree, source_mix
+from . import fm_substring, line_dedup, pow2_packing, quality_ledger, simhash_vptree, source_mix
 from .common import read
 
 
@@ -37,8 +37,13 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_fm_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = fm_substring.dedup_substrings(read(spark, sf_dir, "documents"), carry=["doc_id"])
+    return rest.select("row.doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op10_pow2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pow2_packing.pack_pow2(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_simhash_vptree, op2_source_mix, op3_quality_ledger, op7_line_dedup, op10_pow2_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_simhash_vptree, op2_source_mix, op3_quality_ledger, op7_line_dedup, op9_fm_substring, op10_pow2_packing)}
