@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fm_substring, line_dedup, pow2_packing, quality_ledger, simhash_vptree, source_mix
+from . import exact_digest, fm_substring, line_dedup, pow2_packing, quality_ledger, simhash_vptree, source_mix
 from .common import read
 
 
@@ -32,6 +32,10 @@ def op3_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~F.col("base_kept")).alias("base_failed"), "kept", "failed_bits")
 
 
+def op5_exact_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_digest.edited_fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return lines.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -46,4 +50,4 @@ def op10_pow2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pow2_packing.pack_pow2(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_simhash_vptree, op2_source_mix, op3_quality_ledger, op7_line_dedup, op9_fm_substring, op10_pow2_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_simhash_vptree, op2_source_mix, op3_quality_ledger, op5_exact_digest, op7_line_dedup, op9_fm_substring, op10_pow2_packing)}
