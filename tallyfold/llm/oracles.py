@@ -30,5 +30,31 @@ j AS (SELECT k.*, c.key IS NOT NULL AND k.doc_id <> c.keeper AS gone FROM k LEFT
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM j GROUP BY doc_id
+""",
+    "op4_preference_format": """
+WITH t AS (SELECT conv_id AS id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i FROM conversations),
+l AS (SELECT id, count(*) AS n, coalesce(max(i) FILTER (WHERE role = 'assistant'), 0) AS last FROM t GROUP BY id),
+a AS (SELECT t.id - 1 AS before, t.role, t.text FROM t JOIN l ON t.id IS NOT DISTINCT FROM l.id AND t.i = l.last),
+c AS (SELECT t.id, 'c' AS side, t.i, t.role, t.text FROM t JOIN l ON t.id IS NOT DISTINCT FROM l.id WHERE l.last = 0 OR t.i <= l.last),
+r AS (SELECT t.id, 'r' AS side, t.i, t.role, t.text FROM t JOIN l ON t.id IS NOT DISTINCT FROM l.id WHERE l.last = 0 OR t.i < l.last
+  UNION ALL SELECT l.id, 'r', l.last, a.role, a.text FROM l JOIN a ON l.id = a.before WHERE l.last > 0),
+m AS (SELECT l.id, coalesce(min(p.i) - 1, max(l.n_c)) AS n_prefix FROM (SELECT id, CASE WHEN last = 0 THEN n ELSE last END AS n_c FROM l) l
+  LEFT JOIN (SELECT coalesce(c.id, r.id) AS id, coalesce(c.i, r.i) AS i FROM c FULL JOIN r ON c.id IS NOT DISTINCT FROM r.id AND c.i = r.i WHERE c.i IS NULL OR r.i IS NULL OR c.role <> r.role OR c.text <> r.text) p
+  ON l.id IS NOT DISTINCT FROM p.id GROUP BY l.id),
+s AS (SELECT x.*, m.n_prefix, x.i > m.n_prefix AS rest, '<|' || role || '|>' || chr(10) AS head, text || '<|end|>' || chr(10) AS body FROM (SELECT * FROM c UNION ALL SELECT * FROM r) x JOIN m ON x.id IS NOT DISTINCT FROM m.id),
+o AS (SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY id, side, rest ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM s)
+SELECT m.id AS conv_id, m.n_prefix::BIGINT AS n_prefix,
+  coalesce(string_agg(head || body, '' ORDER BY i) FILTER (WHERE side = 'c' AND NOT rest), '') AS prompt,
+  coalesce(string_agg(head || body, '' ORDER BY i) FILTER (WHERE side = 'c' AND rest), '') AS chosen,
+  coalesce(string_agg(head || body, '' ORDER BY i) FILTER (WHERE side = 'r' AND rest), '') AS rejected,
+  coalesce(string_agg((pos + length(head)) || ':' || (pos + length(head) + length(body)), ',' ORDER BY i) FILTER (WHERE side = 'c' AND rest AND role = 'assistant'), '') AS chosen_spans,
+  coalesce(string_agg((pos + length(head)) || ':' || (pos + length(head) + length(body)), ',' ORDER BY i) FILTER (WHERE side = 'r' AND rest AND role = 'assistant'), '') AS rejected_spans
+FROM m LEFT JOIN o ON m.id IS NOT DISTINCT FROM o.id GROUP BY m.id, m.n_prefix
+""",
+    "op6_token_rollups": r"""
+WITH d AS (SELECT source, lang, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g') AS plain FROM documents),
+k AS (SELECT source, lang, len(regexp_extract_all(plain, '[^\x20\x09-\x0D]+'))::BIGINT AS words, strlen(plain)::BIGINT AS bytes FROM d WHERE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) >= 5),
+u AS (SELECT source, lang, 'words-1' AS tokenizer, words AS n FROM k UNION ALL SELECT source, lang, 'utf8-bytes-1', bytes FROM k)
+SELECT source, lang, tokenizer, count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_tokens FROM u GROUP BY ALL
 """,
 }

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_digest, fm_substring, line_dedup, pow2_packing, quality_ledger, simhash_vptree, source_mix
-from .common import read
+from . import exact_digest, fm_substring, line_dedup, pow2_packing, preference_format, quality_ledger, simhash_vptree, source_mix, token_rollups
+from .common import read, shared_dir
 
 
 def tokenizer_path(name: str) -> str:
@@ -32,10 +32,34 @@ def op3_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~F.col("base_kept")).alias("base_failed"), "kept", "failed_bits")
 
 
+def op4_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = preference_format.format_pairs(preference_format.neighbour_pairs(read(spark, sf_dir, "conversations")))
+    flat = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["from"].cast("string"), s["to"].cast("string"))), ",").alias(c)
+    return done.select(F.col("id").alias("conv_id"), "n_prefix", "prompt", "chosen", "rejected", flat("chosen_spans"), flat("rejected_spans"))
+
+
 def op5_exact_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_digest.edited_fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op6_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches: all documents come in; all are counted anew without markup symbols; those of under
+    five words go.  The second is sent twice and counts once."""
+    docs = read(spark, sf_dir, "documents")
+    plain = F.regexp_replace("text", r"[#*$%&|<>]", "")
+    store = token_rollups.RollupStore(spark, shared_dir(spark, "rollups"))
+    store.apply("insert", token_rollups.counted(docs, "new_tokens").withColumn("old_tokens", F.lit(None).cast("long")))
+    both = docs.select("doc_id", "source", "lang", "text", plain.alias("plain"))
+    counters = token_rollups.COUNTERS
+    each = F.explode(F.array(*[F.struct(F.lit(k).alias("tokenizer"), f(F.col("text")).alias("old_tokens"), f(F.col("plain")).alias("new_tokens")) for k, f in counters.items()]))
+    revised = both.select("source", "lang", each.alias("c")).select("source", "lang", "c.*")
+    for _ in range(2):
+        store.apply("recount", revised)
+    short = docs.where(source_mix.word_count(F.col("text")) < 5)
+    store.apply("short", token_rollups.counted(short, "old_tokens", plain).withColumn("new_tokens", F.lit(None).cast("long")))
+    return store.totals()
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = line_dedup.dedup_lines(read(spark, sf_dir, "documents").select("doc_id", "text"))
     return lines.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -50,4 +74,4 @@ def op10_pow2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pow2_packing.pack_pow2(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_simhash_vptree, op2_source_mix, op3_quality_ledger, op5_exact_digest, op7_line_dedup, op9_fm_substring, op10_pow2_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_simhash_vptree, op2_source_mix, op3_quality_ledger, op4_preference_format, op5_exact_digest, op6_token_rollups, op7_line_dedup, op9_fm_substring, op10_pow2_packing)}
