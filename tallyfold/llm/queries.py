@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_digest, fm_substring, line_dedup, pow2_packing, preference_format, quality_ledger, simhash_vptree, source_mix, token_rollups
+from . import exact_digest, fm_substring, html_blstm, line_dedup, pow2_packing, preference_format, quality_ledger, simhash_vptree, source_mix, token_rollups
 from .common import read, shared_dir
 
 
@@ -65,6 +65,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_html_blstm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = html_blstm.extract_main_text(read(spark, sf_dir, "pages"), carry=["page_id", "url"])
+    return text.select("row.page_id", "row.url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op9_fm_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = fm_substring.dedup_substrings(read(spark, sf_dir, "documents"), carry=["doc_id"])
     return rest.select("row.doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -74,4 +79,4 @@ def op10_pow2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pow2_packing.pack_pow2(read(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_simhash_vptree, op2_source_mix, op3_quality_ledger, op4_preference_format, op5_exact_digest, op6_token_rollups, op7_line_dedup, op9_fm_substring, op10_pow2_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_simhash_vptree, op2_source_mix, op3_quality_ledger, op4_preference_format, op5_exact_digest, op6_token_rollups, op7_line_dedup, op8_html_blstm, op9_fm_substring, op10_pow2_packing)}
