@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from .queries import analytics, reconcile  # noqa: F401  (they register themselves)
+from .queries.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
