@@ -23,7 +23,7 @@ def to_multipolygon(wkt: Column) -> Column:
 
 def join_polygons(wkt: Column) -> Column:
     """Several POLYGON texts in one string become one MULTIPOLYGON."""
-    parts = F.regexp_extract_all(wkt, F.lit(r"(?i)POLYGON\s*(\(\([^A-Za-z]*\)\))"), F.lit(1))
+    parts = F.regexp_extract_all(wkt, F.lit(r"(?is)POLYGON\s*(\(\(.*?\)\s*\))"), F.lit(1))
     return F.when((geometry_type(wkt) == "POLYGON") & (F.size(parts) > 1), F.concat(F.lit("MULTIPOLYGON ("), F.array_join(parts, ", "), F.lit(")"))).otherwise(wkt)
 
 

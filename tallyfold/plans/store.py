@@ -82,13 +82,13 @@ def publish(df: DataFrame, root: str, version: str, check: Callable[[DataFrame],
         check(written)
     folder.delete(f"v={version}")
     folder.rename(staged, f"v={version}")
-    folder.write_json("_MANIFEST.json", {"version": version, "rows": n, "schema": json.loads(df.schema.json())})
+    folder.write_json("MANIFEST.json", {"version": version, "rows": n, "schema": json.loads(df.schema.json())})
     return f"{folder.root}/v={version}"
 
 
 def current(spark: SparkSession, root: str) -> DataFrame:
     """The version that the manifest names."""
-    m = Folder(spark, root).read_json("_MANIFEST.json")
+    m = Folder(spark, root).read_json("MANIFEST.json")
     if m is None:
         raise FileNotFoundError(f"nothing is published in {root}")
     return spark.read.parquet(f"{root.rstrip('/')}/v={m['version']}")

@@ -26,7 +26,7 @@ def upsert_sink(root: str, keys: list[str], changed: str) -> Callable[[DataFrame
 
     def write(batch: DataFrame, number: int) -> None:
         folder = Folder(batch.sparkSession, root)
-        done = folder.read_json("_MANIFEST.json")
+        done = folder.read_json("MANIFEST.json")
         if done is not None and int(done["version"]) >= number:
             return
         newest = latest_per_key(batch, keys, [F.col(changed).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in batch.columns if c not in (*keys, changed)]])
