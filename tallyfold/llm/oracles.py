@@ -18,8 +18,8 @@ q AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE
 c AS (SELECT d.*, q.source_size, q.target, q.whole, target - whole * source_size AS quota,
   sum(size) OVER (PARTITION BY d.source ORDER BY hash) - sum(size) OVER (PARTITION BY d.source, hash) AS before, sum(size) OVER (PARTITION BY d.source, hash) AS tied
   FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
-SELECT doc_id, source, size, source_size, target, (whole + CASE WHEN before + tied / 2.0 <= quota THEN 1 ELSE 0 END)::BIGINT AS copies,
-  (size * (whole + CASE WHEN before + tied / 2.0 <= quota THEN 1 ELSE 0 END))::BIGINT AS taken FROM c
+SELECT doc_id, source, size, source_size, target, (whole + CASE WHEN quota > 0 AND before + tied / 2.0 <= quota THEN 1 ELSE 0 END)::BIGINT AS copies,
+  (size * (whole + CASE WHEN quota > 0 AND before + tied / 2.0 <= quota THEN 1 ELSE 0 END))::BIGINT AS taken FROM c
 """,
     "op7_line_dedup": f"""
 WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),

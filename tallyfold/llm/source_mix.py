@@ -85,12 +85,12 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
         return left.join(hint(right.withColumnRenamed("source", "of")), left["source"].eqNullSafe(F.col("of")), how).drop("of")
 
     running = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    ends = same(sums.withColumn("before", F.coalesce(F.sum("words").over(running), F.lit(0))), plan.select("source", "quota")).where((F.col("before") <= F.col("quota")) & (F.col("before") + F.col("words") > F.col("quota"))).select("source", "bucket", "before", "quota")
+    ends = same(sums.withColumn("before", F.coalesce(F.sum("words").over(running), F.lit(0))), plan.select("source", "quota")).where((F.col("quota") > 0) & (F.col("before") <= F.col("quota")) & (F.col("before") + F.col("words") > F.col("quota"))).select("source", "bucket", "before", "quota")
     inside = same(sized, ends).where(F.substring("hash", 1, _BUCKET_HEX) == F.col("bucket")).groupBy("source", "bucket", "before", "quota", "hash").agg(F.sum("size").alias("words"))
     upto = Window.partitionBy("source").orderBy("hash").rowsBetween(Window.unboundedPreceding, -1)
     middle = F.col("before") + F.coalesce(F.sum("words").over(upto), F.lit(0)) + F.col("words") / 2.0
     cuts = inside.withColumn("ok", middle <= F.col("quota")).groupBy("source").agg(F.coalesce(F.max(F.when(F.col("ok"), F.col("hash"))), F.max("bucket")).alias("cut"))
-    final = same(plan, cuts, "left").withColumn("cut", F.coalesce("cut", F.lit("g")))
+    final = same(plan, cuts, "left").withColumn("cut", F.coalesce("cut", F.when(F.col("quota") > 0, "g").otherwise("")))
     out = same(base, cut(final)) if few else base.join(cut(final).withColumnRenamed("source", "of"), base["source"].eqNullSafe(F.col("of"))).drop("of")
     copies = (F.col("whole") + F.when(F.col("hash") <= F.col("cut"), 1).otherwise(0)).cast("long")
     return out.withColumn("copies", copies).select("row", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
