@@ -56,5 +56,32 @@ WITH d AS (SELECT source, lang, coalesce(text, '') AS text, regexp_replace(coale
 k AS (SELECT source, lang, len(regexp_extract_all(plain, '[^\x20\x09-\x0D]+'))::BIGINT AS words, strlen(plain)::BIGINT AS bytes FROM d WHERE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) >= 5),
 u AS (SELECT source, lang, 'words-1' AS tokenizer, words AS n FROM k UNION ALL SELECT source, lang, 'utf8-bytes-1', bytes FROM k)
 SELECT source, lang, tokenizer, count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_tokens FROM u GROUP BY ALL
+""",
+    "op3_quality_ledger": f"""
+WITH w0 AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM w0),
+g AS (SELECT *, lead(x, 1) OVER d AS x1, lead(x, 2) OVER d AS x2 FROM w WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+t AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, x, x1, x2) AS n FROM g WHERE x2 IS NOT NULL),
+c AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words FROM t, (SELECT unnest([0, 1, 2]) AS o) WHERE n > 1 GROUP BY doc_id),
+a AS (SELECT doc_id, count(*) AS n_words, sum(length(x)) AS word_chars, count(*) FILTER (x = '|') AS n_pipes, count(*) FILTER (x = x1) AS n_runs,
+  count(*) FILTER (regexp_matches(x, '[^\x00-\x7F]') OR regexp_full_match(trim(x, '.,;:!?()"''-'), '[A-Za-z]+')) AS n_plain FROM g GROUP BY doc_id),
+f AS (SELECT doc_id, max(n) AS top_word FROM (SELECT doc_id, x, count(*) AS n FROM w GROUP BY doc_id, x) GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w0) WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (SELECT w0.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+  coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(n_pipes, 0) AS n_pipes, coalesce(n_runs, 0) AS n_runs, coalesce(n_plain, 0) AS n_plain, coalesce(top_word, 0) AS top_word
+  FROM w0 LEFT JOIN a USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN f USING (doc_id) LEFT JOIN l USING (doc_id)),
+b AS (SELECT *, ((n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT + 4 * (100 * n_symbols > 5 * word_chars)::BIGINT + 8 * (100 * n_dup_lines > 40 * n_lines)::BIGINT
+  + 16 * (word_chars < 2 * n_words OR word_chars > 15 * n_words)::BIGINT + 32 * (100 * n_plain < 60 * n_words)::BIGINT + 64 * (100 * top_word > 30 * n_words)::BIGINT + 128 * (100 * n_runs > 20 * n_words)::BIGINT + 256 * (100 * n_pipes > 10 * n_words)::BIGINT)::BIGINT AS failed_bits FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed_bits & 3) <> 0 AS base_failed, failed_bits = 0 AS kept, failed_bits FROM b
+""",
+    "op9_fm_substring": f"""
+WITH w0 AS (SELECT doc_id, {WORDS} AS ws FROM documents),
+w AS (SELECT doc_id, unnest(ws) AS x, generate_subscripts(ws, 1) AS i FROM w0),
+g AS (SELECT doc_id, i, count(*) OVER d AS n, string_agg(x, ' ') OVER d AS seq FROM w WINDOW d AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+r AS (SELECT doc_id, i, row_number() OVER (PARTITION BY seq ORDER BY doc_id, i) AS nth FROM g WHERE n = 20),
+c AS (SELECT DISTINCT doc_id, i + o AS i FROM (SELECT doc_id, i FROM r WHERE nth > 1), (SELECT unnest(range(20)) AS o)),
+k AS (SELECT w.doc_id, w.i, w.x, c.i IS NOT NULL AS gone FROM w LEFT JOIN c ON c.doc_id = w.doc_id AND c.i = w.i)
+SELECT w0.doc_id, len(w0.ws)::BIGINT AS n_words, coalesce(s.n, 0)::BIGINT AS n_removed, sha256(coalesce(s.rest, '')) AS kept_sha256
+FROM w0 LEFT JOIN (SELECT doc_id, count(*) FILTER (gone) AS n, string_agg(x, ' ' ORDER BY i) FILTER (WHERE NOT gone) AS rest FROM k GROUP BY doc_id) s USING (doc_id)
 """,
 }
