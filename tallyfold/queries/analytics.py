@@ -442,3 +442,76 @@ def change_order(spark, sf):
 @query("SELECT c_mktsegment, c_custkey, count(*) OVER (PARTITION BY c_mktsegment, c_nationkey) AS same FROM customer")
 def duplicate_marker(spark, sf):
     return table(spark, sf, "customer").select("c_mktsegment", "c_custkey", F.count(F.lit(1)).over(Window.partitionBy("c_mktsegment", "c_nationkey")).alias("same"))
+
+
+@query("SELECT o_custkey, count(*) AS n, string_agg('{\"k\":' || o_orderkey || ',\"s\":\"' || o_orderstatus || '\"}', ',' ORDER BY o_orderkey) AS body FROM orders GROUP BY 1")
+def json_aggregate(spark, sf):
+    one = F.to_json(F.struct(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s")))
+    per = table(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.struct("o_orderkey", one.alias("j")))).alias("js"))
+    return per.select("o_custkey", "n", F.array_join(F.transform("js", lambda x: x["j"]), ",").alias("body"))
+
+
+@query("""SELECT o_orderstatus, o_orderpriority, count(*) AS n, strftime(min(o_orderdate), '%Y-%m-%d') AS earliest, strftime(max(o_orderdate), '%Y-%m-%d') AS latest FROM (SELECT * FROM orders ORDER BY md5(o_orderkey::VARCHAR || 'cover') LIMIT 500) GROUP BY 1, 2""")
+def coverage_sample(spark, sf):
+    s = stats.hash_sample(table(spark, sf, "orders"), "o_orderkey", "cover", 500)
+    return s.groupBy("o_orderstatus", "o_orderpriority").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderdate").alias("earliest"), F.max("o_orderdate").alias("latest")).select("o_orderstatus", "o_orderpriority", "n", day("earliest"), day("latest"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size % 9 = 0 THEN NULL ELSE p_size END::INT AS version, CASE WHEN nullif(p_size - 20, 0) >= 10 THEN nullif(p_size - 20, 0) END::INT AS renovated FROM part")
+def header_versions_and_years(spark, sf):
+    header = F.when(F.col("p_size") % 9 == 0, "no header").otherwise(F.concat(F.lit("model Version: "), "p_size", F.lit(" of list")))
+    return table(spark, sf, "part").select("p_partkey", text.header_version(header).alias("version"), text.plausible_year(F.col("p_size") - 20, F.lit(10)).alias("renovated"))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE (l_orderkey, l_linenumber, l_partkey) > (5000, 3, 700)")
+def tuple_predicate(spark, sf):
+    from ..sources.scans import tuple_after
+
+    return table(spark, sf, "lineitem").where(tuple_after([F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")], [F.lit(5000), F.lit(3), F.lit(700)])).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+
+
+@query("SELECT o_custkey, count(*) FILTER (EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_discount > 0.09)) AS discounted, count(*) AS n FROM orders GROUP BY 1")
+def filtered_count_exists(spark, sf):
+    hit = table(spark, sf, "lineitem").where("l_discount > 0.09").select(F.col("l_orderkey").alias("o_orderkey")).distinct().withColumn("hit", F.lit(True))
+    j = table(spark, sf, "orders").select("o_orderkey", "o_custkey").join(hit, "o_orderkey", "left")
+    return j.groupBy("o_custkey").agg(F.count("hit").alias("discounted"), F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT c_nationkey, c_custkey, nth FROM (SELECT c_nationkey, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY CASE WHEN c_custkey % 3 <> 0 THEN c_acctbal END DESC NULLS LAST, c_custkey) AS nth FROM customer) WHERE nth <= 3")
+def sorted_with_null_placement(spark, sf):
+    c = table(spark, sf, "customer").withColumn("b", F.when(F.col("c_custkey") % 3 != 0, F.col("c_acctbal")))
+    return stats.samples_per_category(c, "c_nationkey", [F.col("b").desc_nulls_last(), F.col("c_custkey")], 3).select("c_nationkey", "c_custkey", F.col("nth").cast("long").alias("nth"))
+
+
+@query("""WITH l AS (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1)
+SELECT o_orderkey, count(l_linenumber) AS links, sum(l_extendedprice::DECIMAL(20,2))::DOUBLE AS value, max(c_mktsegment) AS segment, CASE max(o_orderstatus) WHEN 'F' THEN 'final' WHEN 'O' THEN 'open' ELSE 'other' END AS state
+FROM orders LEFT JOIN l ON l_orderkey = o_orderkey LEFT JOIN customer ON c_custkey = o_custkey GROUP BY 1""")
+def current_state_view(spark, sf):
+    o, c, l = (table(spark, sf, t) for t in ("orders", "customer", "lineitem"))
+    d = [F.col(x).desc_nulls_last() for x in ("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice")]
+    latest = temporal.latest_per_key(l, ["l_orderkey", "l_linenumber"], d)
+    per = latest.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("l_linenumber").alias("links"), F.sum(F.col("l_extendedprice").cast("decimal(20,2)")).cast("double").alias("value"))
+    j = o.join(per, "o_orderkey", "left").join(c, F.col("c_custkey") == F.col("o_custkey"), "left")
+    return j.select("o_orderkey", F.coalesce("links", F.lit(0).cast("long")).alias("links"), "value", F.col("c_mktsegment").alias("segment"), text.code_label(F.col("o_orderstatus"), {"F": "final", "O": "open"}, "other").alias("state"))
+
+
+@query("SELECT event_type, strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS n FROM events GROUP BY 1, 2")
+def hourly_windows(spark, sf):
+    e = _events(spark, sf)
+    return e.groupBy("event_type", F.window("ts", "1 hour").alias("w")).agg(F.count(F.lit(1)).alias("n")).select("event_type", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n")
+
+
+@query(f"SELECT user_id, event_id, {sql_instant('ts')} FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
+def stream_latest_state(spark, sf):
+    """Latest event of each user as a streaming aggregation over the events as files, run to completion."""
+    import uuid
+
+    from ..streaming.changes import latest_state, read_changes
+
+    name = f"latest_{uuid.uuid4().hex}"
+    schema = table(spark, sf, "events").schema
+    state = latest_state(read_changes(spark, sf, schema, glob="events.parquet"), "user_id", "ts", ["event_id"])
+    q = state.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.table(name).select("user_id", "event_id", instant("ts"))
+

@@ -12,9 +12,11 @@ from ..plans.rewrite import upsert_if_newer
 from ..plans.store import Folder, current, publish
 
 
-def read_changes(spark, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
-    """A folder of Parquet files as a stream; the trigger bound is the back-pressure."""
+def read_changes(spark, path: str, schema, files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
+    """A folder of Parquet files (those of a name pattern) as a stream; the trigger bound is the back-pressure."""
     r = spark.readStream.schema(schema)
+    if glob:
+        r = r.option("pathGlobFilter", glob)
     return (r.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else r).parquet(path)
 
 

@@ -130,3 +130,17 @@ def test_streams(spark, sf, tmp_path):
     q.awaitTermination(120)
     assert {r.user_id: r.event_id for r in spark.table("latest_state_test").collect()} == want
     assert changes.flag_late(events, dt.datetime(2024, 1, 2), "ts").where("late").count() == events.where("ts < '2024-01-02'").count()
+
+
+def test_reports(spark, tmp_path):
+    from tallyfold.plans.reports import read_summary, write_report
+
+    root = str(tmp_path / "r")
+    a = spark.createDataFrame([(1, "x")], "k int, v string")
+    write_report(root, {"rows": a}, {"n": 1}, single_file=True)
+    assert read_summary(spark, root) == {"n": 1, "tables": ["rows"]}
+    assert spark.read.option("header", True).csv(f"{root}/rows").first().v == "x"
+    bad = a.select("k", (F.raise_error(F.lit("down"))).cast("string").alias("v"))
+    with pytest.raises(Exception, match="down"):
+        write_report(root, {"rows": bad}, {"n": 2})
+    assert read_summary(spark, root) is None  # no summary without its tables
