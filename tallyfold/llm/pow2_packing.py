@@ -20,7 +20,8 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -31,9 +32,18 @@ from pyspark.sql import functions as F
 from .common import process_cache, texts_of
 
 MAX_LEN, END_ID, BUCKETS = 2048, 1, 1024
-#: Words kept in a worker's dictionary before it starts anew: about 250 MB.
-CACHE_WORDS = 1_000_000
-_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-į]+)([.,;:!?|]*)")
+#: Words, and parts of words, kept in a worker's dictionaries before they start anew: about 60 MB each.
+CACHE_WORDS = 300_000
+#: Latin letters (whole characters, so already in NFC), then punctuation without ' and <, which the
+#: pre-tokenizer or the special tokens treat in their own way.
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-į]+)([!-&(-/:;=>?@\[-`{-~]*)")
+
+
+def byte_letters() -> dict[int, str]:
+    """Byte -> the character that stands for it in byte-level BPE: itself if printable, else from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 class WordIds(dict):
@@ -42,7 +52,7 @@ class WordIds(dict):
     Byte-level BPE with word ends never merges across white space, so the ids of a text are those of
     its words in a row.  A word made of Latin letters and closing punctuation is taken apart the way
     the pre-tokenizer does it (letters, then the run of punctuation), which lets "Word", "word," and
-    "word." share one BPE run.
+    "word." share one BPE run, and goes to the BPE model directly; all others take the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -50,27 +60,36 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.parts = Tokenizer.from_file(path), {}
-
-    def encode(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def part(self, word: str) -> bytes:
-        if (got := self.parts.get(word)) is None:
-            got = self.parts[word] = self.encode(word)
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+
+    def part(self, piece: str) -> bytes:
+        if (got := self.parts.get(piece)) is None:
+            if len(self.parts) > CACHE_WORDS:
+                self.parts.clear()
+            spelt = piece.encode().decode("latin-1").translate(self.letters)
+            got = self.parts[piece] = _ids(x.id for x in self.model.tokenize(spelt))
         return got
 
     def __missing__(self, word: bytes) -> bytes:
-        if len(self) + len(self.parts) > CACHE_WORDS:
+        if len(self) > CACHE_WORDS:
             self.clear()
-            self.parts.clear()
         text = word.decode("utf-8", "replace")
         m = _SIMPLE.fullmatch(text)
-        ids = self.part(m[1].lower()) + (self.part(m[2]) if m[2] else b"") if m else self.encode(text)
+        if m:
+            ids = self.part(m[1].lower())
+            if m[2]:
+                ids += self.part(m[2])
+        else:
+            ids = _ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
         if len(word) <= 64:
             self[word] = ids
         return ids
 
 
+def _ids(ids: Iterable[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 def word_ids(path: str) -> WordIds:
     known = process_cache("word_ids")
     if path not in known:
