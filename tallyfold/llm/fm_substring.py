@@ -10,7 +10,7 @@ Plan:
    starts an anchor.  Anchors are counted over all documents (hashes only, partial sums), and those
    found once are done: no window of theirs repeats.
 2. The windows of an anchor's occurrence form one fragment of at most 32 words.  Equal fragments
-   are merged to their first position (partial aggregation), so copies of a passage shuffle
+   are merged to their first position before and after the shuffle, so copies of a passage shuffle
    little and are never paired.  An anchor found over ``HOT`` times gives single windows as
    fragments, keyed by the whole window, so that no key gathers the surroundings of a common phrase.
 3. Fragments meet in shards by anchor.  A shard builds an FM-index (Burrows-Wheeler transform in a
@@ -203,18 +203,29 @@ def _anchor_rows(window: int, gram: int):
     return run
 
 
+_FRAGMENT = pa.schema([("key", pa.int64()), ("fh", pa.int64()), ("doc", pa.int64()), ("s0", pa.int32()), ("rid", pa.int64()), ("text", pa.binary())])
+
+
 def _fragments(window: int, gram: int):
-    """(doc, rid, text, spots) -> fragments of the counted anchors; a text is sent once per task."""
+    """(row, doc, rid, text, spots) -> fragments of the counted anchors.
+
+    Equal fragments of a batch are merged to their first position, and a text is sent once per task.
+    """
+
+    def send(merged: dict, texts: dict) -> pa.RecordBatch:
+        rows = [(*kf, *first, texts.get(kf)) for kf, first in merged.items()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _FRAGMENT.types, strict=True)], schema=_FRAGMENT)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        seen: set[bytes] = set()
-        schema = pa.schema([("key", pa.int64()), ("fh", pa.binary()), ("doc", pa.int64()), ("s0", pa.int32()), ("rid", pa.int64()), ("text", pa.binary())])
+        digest = xxhash.xxh3_64_intdigest
+        sent: set[tuple[int, int]] = set()
         for batch in batches:
-            docs, rids, spots = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3).to_pylist()
-            rows: list[tuple] = []
-            for doc, rid, text, spot in zip(docs, rids, texts_of(batch, 2), spots, strict=True):
+            docs, rids, spots = batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(4).to_pylist()
+            merged: dict[tuple[int, int], tuple] = {}
+            texts: dict[tuple[int, int], bytes] = {}
+            for doc, rid, text, spot in zip(docs, rids, texts_of(batch, 3), spots, strict=True):
                 if not spot:
                     continue
                 words = text.split()
@@ -225,26 +236,29 @@ def _fragments(window: int, gram: int):
                         continue
                     for x, y in ((s, s) for s in range(a, b + 1)) if kind else ((a, b),):
                         piece = b" ".join(words[x : y + window])
-                        fh = xxhash.xxh3_128_digest(piece)
-                        k = int.from_bytes(fh[:8], "little", signed=True) if kind else key
-                        if fh in seen:
-                            piece = None
-                        else:
-                            if len(seen) > 500_000:
-                                seen.clear()
-                            seen.add(fh)
-                        rows.append((k, fh, doc, x, rid, piece))
-                        if len(rows) >= 50_000:
-                            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
-                            rows = []
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+                        fh = digest(piece) - (1 << 63)
+                        kf = (digest(piece, 1) - (1 << 63) if kind else key, fh)
+                        place = (doc, x, rid)
+                        if (known := merged.get(kf)) is None:
+                            merged[kf] = place
+                            if kf not in sent:
+                                if len(sent) > 500_000:
+                                    sent.clear()
+                                sent.add(kf)
+                                texts[kf] = piece
+                        elif place < known:
+                            merged[kf] = place
+                if len(merged) >= 100_000:
+                    yield send(merged, texts)
+                    merged, texts = {}, {}
+            if merged:
+                yield send(merged, texts)
 
     return run
 
 
 def _search(window: int):
-    """Distinct fragments sorted by key -> of each the windows that are the first of their kind."""
+    """Fragments sorted by key, hash and position -> of each distinct one the windows that are the first of their kind."""
     schema = pa.schema([("rid", pa.int64()), ("s0", pa.int32()), ("firsts", pa.int32())])
 
     def solve(docs: list, s0s: list, rids: list, texts: list, single: list[bool]) -> pa.RecordBatch:
@@ -271,15 +285,21 @@ def _search(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = [[], [], [], [], []]  # key doc s0 rid text
-        words = 0
+        words, last = 0, None
         for batch in batches:
-            for key, doc, s0, rid, text in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                if words >= INDEX_WORDS and key != held[0][-1]:
+            for key, fh, doc, s0, rid, text in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                if (key, fh) == last:  # sorted by position: the first of equal fragments stands for all
+                    if held[4][-1] is None and text is not None:
+                        held[4][-1] = text
+                        words += text.count(b" ") + 1
+                    continue
+                if words >= INDEX_WORDS and key != last[0]:
                     yield flush(held)
                     held, words = [[], [], [], [], []], 0
+                last = (key, fh)
                 for column, x in zip(held, (key, doc, s0, rid, text), strict=True):
                     column.append(x)
-                words += text.count(b" ") + 1
+                words += text.count(b" ") + 1 if text is not None else 0
         if held[0]:
             yield flush(held)
 
@@ -295,7 +315,7 @@ def _remove(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, total, gone = [], [], []
-            for text, spots, firsts in zip(texts_of(batch, 1), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            for text, spots, firsts in zip(texts_of(batch, 3), batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
                 words = text.split()
                 n = len(words)
                 removed = 0
@@ -340,12 +360,12 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = spots.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     kept = spots.join(found, "h").select("rid", (F.col("p") * 2 + F.when(F.col("n") > HOT, 1).otherwise(0)).cast("int").alias("spot"))
     by_row = kept.groupBy(F.col("rid").alias("of")).agg(F.collect_set("spot").alias("spots"))
+    # the two readers of this join take the same columns, so the texts are shuffled once
     known = base.join(by_row, base["rid"] == by_row["of"], "left").select("row", "doc", "rid", "text", "spots")
-    pieces = known.where("spots IS NOT NULL").select("doc", "rid", "text", "spots").mapInArrow(_fragments(window, gram), "key long, fh binary, doc long, s0 int, rid long, text binary")
-    distinct = pieces.groupBy("key", "fh").agg(F.min(F.struct("doc", "s0", "rid")).alias("first"), F.max("text").alias("text"))
+    pieces = known.mapInArrow(_fragments(window, gram), "key long, fh long, doc long, s0 int, rid long, text binary")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = distinct.select("key", "first.doc", "first.s0", "first.rid", "text").repartition(n, "key").sortWithinPartitions("key")
+    placed = pieces.repartition(n, "key").sortWithinPartitions("key", "fh", "doc", "s0", "rid")
     firsts = placed.mapInArrow(_search(window), "rid long, s0 int, firsts int").groupBy(F.col("rid").alias("of")).agg(F.collect_list(F.struct("s0", "firsts")).alias("firsts"))
-    joined = known.join(firsts, known["rid"] == firsts["of"], "left").select("row", "text", "spots", "firsts")
+    joined = known.join(firsts, known["rid"] == firsts["of"], "left").select("row", "doc", "rid", "text", "spots", "firsts")
     kind = base.schema["row"].dataType.simpleString()
     return joined.mapInArrow(_remove(window, gram), f"row {kind}, text string, n_words long, n_removed long")
