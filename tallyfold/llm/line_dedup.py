@@ -6,8 +6,9 @@ lose all their lines, except in the holder with the largest id.
 
 Plan: pass 1 emits each document's distinct long keys as 128-bit hashes (no text is shuffled) and
 counts them with map-side partial sums, so a line that a third of all documents hold shuffles one
-row per task.  The over-threshold keys are joined back to the (id, hash) rows, a sort-merge join of
-16-byte keys that AQE splits where a key is hot; the verdicts are gathered per document (bounded by
+row per task.  The over-threshold keys are joined back to the (id, hash) rows.  A key with more than
+1/``HOT_KEYS`` of those rows is hot; there can be at most ``HOT_KEYS`` of them, so they are broadcast, and
+their rows are dealt out by document; the other keys take a sort-merge join.  The verdicts are gathered per document (bounded by
 that document's lines) and pass 2 reassembles each text by position.
 
 Defined cases: null or empty text is one empty line; a null id is smaller than any other, so a
@@ -24,9 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS_BYTES, n_chars, texts_of
+from .common import WS_BYTES, cut, n_chars, texts_of
 
-MIN_CHARS, MIN_DOCS = 40, 5
+MIN_CHARS, MIN_DOCS, HOT_KEYS = 40, 5, 20_000
 
 
 def line_key(line: bytes) -> bytes:
@@ -76,8 +77,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"))
     held = base.select("id", "text").mapInArrow(_long_keys(min_chars), f"id {kind}, k binary")
-    common = held.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs).select("k", "keeper")
-    drops = held.join(common, "k").where(~F.col("id").eqNullSafe(F.col("keeper"))).groupBy(F.col("id").alias("drop_id")).agg(F.collect_set("k").alias("drops"))
+    common = cut(held.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs))
+    rows = common.agg(F.sum("n")).first()[0] or 0
+    hot = common.where(F.col("n") > rows / HOT_KEYS).select("k", F.col("keeper").alias("hot_keeper"), F.lit(True).alias("is_hot"))
+    rest = common.where(F.col("n") <= rows / HOT_KEYS).select(F.col("k").alias("key"), F.col("keeper").alias("rest_keeper"), F.lit(True).alias("is_rest"))
+    known = held.join(F.broadcast(hot), "k", "left")
+    # a row of a hot key has its verdict already: it goes to any task, under a key that matches nothing
+    known = known.withColumn("key", F.when(F.col("is_hot"), F.concat(F.col("k"), F.hex(F.xxhash64("id")).cast("binary"))).otherwise(F.col("k")))
+    found = known.join(rest, "key", "left").where("is_hot OR is_rest")
+    keeper = F.when(F.col("is_hot"), F.col("hot_keeper")).otherwise(F.col("rest_keeper"))
+    drops = found.where(~F.col("id").eqNullSafe(keeper)).groupBy(F.col("id").alias("drop_id")).agg(F.collect_set("k").alias("drops"))
     joined = base.join(drops, base["id"].eqNullSafe(drops["drop_id"]), "left").select("row", "text", "drops")
     row = base.schema["row"].dataType.simpleString()
     return joined.mapInArrow(_reassemble(min_chars), f"row {row}, text string, n_lines long, n_dropped long")

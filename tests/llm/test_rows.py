@@ -63,8 +63,10 @@ def test_quality_agrees_with_labels(spark):
     assert r.clean > 0.98 and r.junk < 0.02
 
 
+@pytest.mark.parametrize("hot", [20_000, 3])
 @pytest.mark.parametrize("which", ["edges", "documents", "none"])
-def test_line_dedup(spark, both, which):
+def test_line_dedup(spark, both, which, hot, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT_KEYS", hot)
     rows = both[which]
     got = line_dedup.dedup_lines(frame(spark, rows)).select("row.doc_id", "text", "n_lines", "n_dropped").collect()
     assert sorted(map(tuple, got), key=repr) == sorted(slow.line_dedup([(d, t) for d, _, t in rows]), key=repr)
