@@ -35,11 +35,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, texts_of, word_hashes
+from .common import WS_BYTES, mix, texts_of
 
 WINDOW, GRAM, HOT, INDEX_WORDS = 20, 8, 20_000, 200_000
 _NO_ID = -(1 << 63)
@@ -49,6 +48,29 @@ def _odd(i: int) -> int:
     return (0x9E3779B97F4A7C15 * (2 * i + 1)) & (1 << 64) - 1 | 1
 
 
+_SPACE = np.zeros(256, bool)
+_SPACE[list(WS_BYTES)] = True
+_BYTE = np.where(_SPACE, np.uint64(0), mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_odd(1))))
+#: Bytes of text that are read at once.
+_CHUNK = 1 << 20
+
+
+def word_table(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Text number and hash of every word (a polynomial over its bytes; equal words, equal hashes)."""
+    b = np.frombuffer(b"\n".join(texts), np.uint8)
+    space = np.concatenate(([True], _SPACE[b], [True]))
+    starts = np.flatnonzero(space[:-2] & ~space[1:-1])
+    if not len(starts):
+        return np.empty(0, np.int64), np.empty(0, np.uint64)
+    b = b[starts[0] :]
+    first = starts - starts[0]
+    place = np.arange(len(b)) - np.repeat(first, np.diff(np.append(first, len(b))))
+    power = np.multiply.accumulate(np.full(int(place.max()) + 1, _odd(2), np.uint64))
+    hashes = mix(np.add.reduceat(_BYTE[b] * power[place], first))
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    return np.searchsorted(ends, starts, "right"), hashes
+
+
 def gram_hashes(h: np.ndarray, gram: int = GRAM) -> np.ndarray:
     out = np.zeros(len(h) - gram + 1, np.uint64)
     for j in range(gram):
@@ -56,17 +78,56 @@ def gram_hashes(h: np.ndarray, gram: int = GRAM) -> np.ndarray:
     return mix(out)
 
 
-def anchors(words: list[bytes], window: int = WINDOW, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each anchor: its hash, its first word, and the first and last window that pick it."""
-    if len(words) < window:
-        z = np.empty(0, np.int64)
-        return z.view(np.uint64), z, z, z
-    g = gram_hashes(word_hashes(words), gram)
-    n = len(words) - window + 1
-    at = np.arange(n) + sliding_window_view(g, window - gram + 1).argmin(axis=1)
-    first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-    last = np.concatenate((first[1:], [n])) - 1
-    return g[at[first]], at[first], first, last
+def sliding_argmin(x: np.ndarray, width: int) -> np.ndarray:
+    """Index of the smallest value (leftmost among equals) of every ``width`` values in a row, by doubling."""
+    at, step = np.arange(len(x)), 1
+
+    def join(v: np.ndarray, at: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
+        right = v[shift:] < v[:-shift]
+        return np.where(right, v[shift:], v[:-shift]), np.where(right, at[shift:], at[:-shift])
+
+    v = x
+    while step * 2 <= width:
+        v, at = join(v, at, step)
+        step *= 2
+    if step < width:
+        v, at = join(v, at, width - step)
+    return at
+
+
+def anchor_table(texts: list[bytes], window: int = WINDOW, gram: int = GRAM) -> list[np.ndarray]:
+    """Of every anchor, text by text: text number, hash, first word, and the first and last window that pick it."""
+    parts: list[list[np.ndarray]] = []
+    i = 0
+    while i < len(texts):
+        j, size = i, 0
+        while j < len(texts) and (j == i or size + len(texts[j]) <= _CHUNK):
+            size += len(texts[j]) + 1
+            j += 1
+        doc, h = word_table(texts[i:j])
+        if len(doc) >= window:
+            inside = np.flatnonzero(doc[: len(doc) - window + 1] == doc[window - 1 :])
+            if len(inside):
+                g = gram_hashes(h, gram)
+                at = sliding_argmin(g, window - gram + 1)[inside]
+                own = doc[inside]
+                new = np.concatenate(([True], (at[1:] != at[:-1]) | (own[1:] != own[:-1])))
+                a = np.flatnonzero(new)
+                z = np.concatenate((a[1:], [len(inside)])) - 1
+                zero = np.searchsorted(doc, own[a])  # first word of the text
+                parts.append([own[a] + i, g[at[a]], at[a] - zero, inside[a] - zero, inside[z] - zero])
+        i = j
+    if not parts:
+        e = np.empty(0, np.int64)
+        return [e, e.view(np.uint64), e, e, e]
+    return [np.concatenate(c) for c in zip(*parts, strict=True)]
+
+
+def per_text(n: int, table: list[np.ndarray]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The anchors of each of ``n`` texts: hash, first word, first and last window."""
+    cuts = np.searchsorted(table[0], np.arange(n + 1)).tolist()
+    for a, z in zip(cuts, cuts[1:], strict=False):
+        yield tuple(c[a:z] for c in table[1:])
 
 
 # ---- compressed index ---------------------------------------------------------------------------
@@ -192,13 +253,8 @@ def repeated_windows(symbols: np.ndarray, lengths: np.ndarray, position: np.ndar
 def _anchor_rows(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hs, ps, at = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for i, text in enumerate(texts_of(batch, 1)):
-                h, p, _, _ = anchors(text.split(), window, gram)
-                hs.append(h)
-                ps.append(p)
-                at.append(np.full(len(h), i))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs).view(np.int64)), batch.column(0).take(pa.array(np.concatenate(at))), pa.array(np.concatenate(ps).astype(np.int32))], ["h", "rid", "p"])
+            doc, h, p, _, _ = anchor_table(texts_of(batch, 1), window, gram)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(0).take(pa.array(doc)), pa.array(p.astype(np.int32))], ["h", "rid", "p"])
 
     return run
 
@@ -220,17 +276,17 @@ def _fragments(window: int, gram: int):
         import xxhash
 
         digest = xxhash.xxh3_64_intdigest
-        sent: set[tuple[int, int]] = set()
+        sent: set[int] = set()
         for batch in batches:
             docs, rids, spots = batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(4).to_pylist()
             merged: dict[tuple[int, int], tuple] = {}
             texts: dict[tuple[int, int], bytes] = {}
-            for doc, rid, text, spot in zip(docs, rids, texts_of(batch, 3), spots, strict=True):
-                if not spot:
-                    continue
-                words = text.split()
-                hot = {s >> 1: s & 1 for s in spot}
-                h, p, first, last = anchors(words, window, gram)
+            use = [i for i, s in enumerate(spots) if s]
+            all_texts = texts_of(batch, 3)
+            own = [all_texts[i] for i in use]
+            for i, text, (h, p, first, last) in zip(use, own, per_text(len(own), anchor_table(own, window, gram)), strict=True):
+                doc, rid, words = docs[i], rids[i], text.split()
+                hot = {s >> 1: s & 1 for s in spots[i]}
                 for key, at, a, b in zip(h.view(np.int64).tolist(), p.tolist(), first.tolist(), last.tolist(), strict=True):
                     if (kind := hot.get(at)) is None:
                         continue
@@ -241,14 +297,14 @@ def _fragments(window: int, gram: int):
                         place = (doc, x, rid)
                         if (known := merged.get(kf)) is None:
                             merged[kf] = place
-                            if kf not in sent:
-                                if len(sent) > 500_000:
+                            if (both := kf[0] ^ kf[1] << 1) not in sent:
+                                if len(sent) > 300_000:
                                     sent.clear()
-                                sent.add(kf)
+                                sent.add(both)
                                 texts[kf] = piece
                         elif place < known:
                             merged[kf] = place
-                if len(merged) >= 100_000:
+                if len(merged) >= 50_000:
                     yield send(merged, texts)
                     merged, texts = {}, {}
             if merged:
@@ -315,12 +371,13 @@ def _remove(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, total, gone = [], [], []
-            for text, spots, firsts in zip(texts_of(batch, 3), batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
+            texts, every = texts_of(batch, 3), batch.column(4).to_pylist()
+            table = per_text(len(texts), anchor_table([t if s else b"" for t, s in zip(texts, every, strict=True)], window, gram))
+            for text, spots, firsts, (_, p, first, last) in zip(texts, every, batch.column(5).to_pylist(), table, strict=True):
                 words = text.split()
                 n = len(words)
                 removed = 0
                 if spots:
-                    _, p, first, last = anchors(words, window, gram)
                     hit = np.isin(p, np.array([s >> 1 for s in spots], np.int64))
                     change = np.zeros(n + 1, np.int64)
                     np.add.at(change, first[hit], 1)
@@ -357,8 +414,9 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     base = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), doc.alias("doc"), F.col(f"`{text_col}`").alias("text"))
     base = base.withColumn("rid", F.xxhash64("doc", "text"))
     spots = base.select("rid", "text").mapInArrow(_anchor_rows(window, gram), "h long, rid long, p int")
-    found = spots.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    kept = spots.join(found, "h").select("rid", (F.col("p") * 2 + F.when(F.col("n") > HOT, 1).otherwise(0)).cast("int").alias("spot"))
+    # joined on ~h, so that the counts are shuffled apart from their aggregation and AQE can split a hot anchor
+    found = spots.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.bitwise_not("h").alias("j"), "n")
+    kept = spots.select(F.bitwise_not("h").alias("j"), "rid", "p").join(found, "j").select("rid", (F.col("p") * 2 + F.when(F.col("n") > HOT, 1).otherwise(0)).cast("int").alias("spot"))
     by_row = kept.groupBy(F.col("rid").alias("of")).agg(F.collect_set("spot").alias("spots"))
     # the two readers of this join take the same columns, so the texts are shuffled once
     known = base.join(by_row, base["rid"] == by_row["of"], "left").select("row", "doc", "rid", "text", "spots")

@@ -46,6 +46,28 @@ def test_index_counts():
         assert hi[0] - lo[0] == want
 
 
+def test_anchors(monkeypatch):
+    rng = np.random.default_rng(3)
+    texts = [b"", b" \n", b"a b", *[" ".join(f"w{i}" for i in rng.integers(0, 30, n)).encode() for n in (19, 20, 21, 300, 5)], "é\x0bÄ x\x1fy ".encode() * 40, b"\tz " * 25]
+    for chunk in (1 << 20, 50):
+        monkeypatch.setattr(S, "_CHUNK", chunk)
+        got = list(S.per_text(len(texts), S.anchor_table(texts)))
+        for text, (h, p, first, last) in zip(texts, got, strict=True):
+            words = text.split()
+            _, each = S.word_table([text])
+            assert len(each) == len(words) and len(set(words)) == len(set(each.tolist()))
+            want = []
+            if len(words) >= 20:
+                g = S.gram_hashes(each)
+                for s in range(len(words) - 19):
+                    at = s + int(g[s : s + 13].argmin())
+                    if want and want[-1][1] == at:
+                        want[-1][3] = s
+                    else:
+                        want.append([int(g[at]), at, s, s])
+            assert list(map(list, zip(h.tolist(), p.tolist(), first.tolist(), last.tolist(), strict=True))) == want
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_random_passages(spark, seed):
     rng = np.random.default_rng(seed)
