@@ -9,7 +9,7 @@ from ..functions import geometry, text, timeutil
 from ..operators import stats, temporal, value
 from .base import HIST, day, history, instant, query, sql_instant, table, ts
 
-ZONE = "Europe/Ljubljana"
+ZONE = "Europe/Vienna"
 
 
 def _events(spark, sf):
@@ -255,7 +255,7 @@ def ties_page_straddle(spark, sf):
     return stats.timestamp_ties(table(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")), "o_orderdate", 100).select(day("o_orderdate"), "rows_at", "rows_before", "straddles")
 
 
-@query("""SELECT strftime(((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Ljubljana'), '%Y-%m-%d') AS day, event_type, count(DISTINCT user_id) AS distinct_keys, count(*) AS row_count FROM events GROUP BY 1, 2""")
+@query("""SELECT strftime(((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Vienna'), '%Y-%m-%d') AS day, event_type, count(DISTINCT user_id) AS distinct_keys, count(*) AS row_count FROM events GROUP BY 1, 2""")
 def daily_local(spark, sf):
     return stats.daily_local(_events(spark, sf), "ts", ZONE, ["event_type"], "user_id")
 
@@ -356,7 +356,7 @@ def json_path_filter(spark, sf):
     return _events(spark, sf).select("event_id", k.alias("k")).where("k BETWEEN 20 AND 40")
 
 
-@query("SELECT o_custkey, count(*) AS n, sum(o_orderkey) AS keys FROM orders GROUP BY 1")
+@query("SELECT o_custkey, count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM orders GROUP BY 1")
 def json_rows_inline(spark, sf):
     from ..sources.scans import json_rows
 
@@ -399,14 +399,14 @@ def ordered_aggregates(spark, sf):
         min(struct(o_orderdate, o_orderkey)).o_orderkey AS first_key, count(DISTINCT struct(o_orderstatus, o_orderpriority)) AS kinds FROM orders_for_aggregates GROUP BY o_custkey""")
 
 
-@query(f"""SELECT event_id, {sql_instant("((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Ljubljana')", 'local')}, 'ok' AS status FROM events""")
+@query(f"""SELECT event_id, {sql_instant("((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Vienna')", 'local')}, 'ok' AS status FROM events""")
 def local_to_utc(spark, sf):
     e = _events(spark, sf).withColumn("local", timeutil.utc_to_local(F.col("ts"), ZONE))
     back = timeutil.local_to_utc_strict(F.col("local"), ZONE)
     return e.select("event_id", instant("local"), F.when(back == F.col("ts"), timeutil.local_status(F.col("local"), ZONE)).alias("status"))
 
 
-@query("""WITH e AS (SELECT (ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Ljubljana' AS l, CASE WHEN event_id % 20 = 0 THEN NULL WHEN event_id % 21 = 0 THEN ts + INTERVAL 1 HOUR ELSE ts END AS u, ts AS e FROM events)
+@query("""WITH e AS (SELECT (ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Vienna' AS l, CASE WHEN event_id % 20 = 0 THEN NULL WHEN event_id % 21 = 0 THEN ts + INTERVAL 1 HOUR ELSE ts END AS u, ts AS e FROM events)
 SELECT date_diff('minute', u, l)::BIGINT AS offset_minutes, count(*) AS total_rows, count(*) FILTER (u = e) AS correct, count(*) FILTER (u IS NULL) AS missing, 0::BIGINT AS unexpected, count(*) FILTER (u <> e) AS wrong FROM e GROUP BY 1""")
 def utc_validation(spark, sf):
     from ..operators.quality import utc_validation as check

@@ -137,7 +137,7 @@ def test_status_and_sums(spark):
 
 # ---- time -------------------------------------------------------------------------------------------
 
-ZONE = "Europe/Ljubljana"
+ZONE = "Europe/Vienna"
 
 
 def local_model(t):
