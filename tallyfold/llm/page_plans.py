@@ -119,7 +119,7 @@ class Plan:
         elif kind == "sidebar":
             body = (self.block("h3", kind, self.words(kind, 1, 4)) if self.chance(0.7) else "") + self.some([self.links(kind, 2, 8), "".join(self.block("p", kind, self.sentences(kind, 1, 3)) for _ in range(self.rng.randint(1, 3))), self.links(kind, 1, 4) + self.block("p", kind, self.sentences(kind, 1, 2))])
         elif kind == "form":
-            body = self.some(["", self.block("h3", kind, self.words(kind, 1, 4))]) + self.some([self.block("p", kind, self.sentences(kind, 1, 2)), self.block("label" if False else "div", kind, f"<label>{self.words(kind, 1, 3)}</label><input name=x>"), self.mark(kind) + self.words(kind, 2, 6) + ' <input type="text">']) + self.some(["", f"<button>{self.words(kind, 1, 2)}</button>"])
+            body = self.some(["", self.block("h3", kind, self.words(kind, 1, 4))]) + self.some([self.block("p", kind, self.sentences(kind, 1, 2)), self.block("div", kind, f"<label>{self.words(kind, 1, 3)}</label><input name=x>"), self.mark(kind) + self.words(kind, 2, 6) + ' <input type="text">']) + self.some(["", f"<button>{self.words(kind, 1, 2)}</button>"])
         elif kind == "comments":
             body = (self.block("h3", kind, self.words(kind, 1, 3)) if self.chance(0.7) else "")
             inner = self.some(["li", "div", "li", "div", "article"])
