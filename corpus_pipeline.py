@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyfold.llm import line_dedup, pow2_packing, quality_ledger, simhash_vptree, source_mix
+from tallyfold.llm import line_dedup, pow2_packing, quality_ledger, shingle_groups, source_mix
 from tallyfold.llm.common import cut
 from tallyfold.llm.queries import tokenizer_path
 
@@ -30,9 +30,11 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    groups = simhash_vptree.near_duplicates(docs)
-    keep = groups.where(F.col("row.doc_id").eqNullSafe(F.col("component_id"))).select(F.col("row.doc_id").alias("keep_id")).distinct()
+    """The document with the smallest id of each group of near copies: texts whose five-word shingles
+    have a Jaccard similarity of 0.8 or more, and those connected through such."""
+    key = shingle_groups.text_key(F.col("text"))
+    groups = docs.select("doc_id", key.alias("t")).join(shingle_groups.similar_texts(docs), "t", "left").select("doc_id", F.coalesce("root", "t").alias("root"))
+    keep = groups.groupBy("root").agg(F.min("doc_id").alias("keep_id")).select("keep_id").distinct()
     return docs.join(keep, docs["doc_id"].eqNullSafe(keep["keep_id"]), "left_semi").select(*COLUMNS).dropDuplicates(["doc_id"])
 
 
