@@ -30,12 +30,17 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies: texts whose five-word shingles
-    have a Jaccard similarity of 0.8 or more, and those connected through such."""
-    key = shingle_groups.text_key(F.col("text"))
-    groups = docs.select("doc_id", key.alias("t")).join(shingle_groups.similar_texts(docs), "t", "left").select("doc_id", F.coalesce("root", "t").alias("root"))
-    keep = groups.groupBy("root").agg(F.min("doc_id").alias("keep_id")).select("keep_id").distinct()
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["keep_id"]), "left_semi").select(*COLUMNS).dropDuplicates(["doc_id"])
+    """One document of each group of near copies: texts whose five-word shingles have a Jaccard
+    similarity of 0.8 or more, and those connected through such.  It is the one with the smallest id,
+    nulls last, and among equal ids the one with the smallest digest of its row; null or repeated ids
+    never join other texts."""
+    digest = F.md5(F.to_json(F.struct(*COLUMNS), {"ignoreNullFields": "false"}))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    rows = docs.select(digest.alias("digest"), shingle_groups.text_key(F.col("text")).alias("t"), *COLUMNS)
+    first = rows.groupBy("t").agg(F.min(order).alias("first"))
+    groups = first.join(shingle_groups.similar_texts(docs), "t", "left").groupBy(F.coalesce("root", "t").alias("root")).agg(F.min("first").alias("first"))
+    keep = groups.select(F.col("first.digest").alias("digest"))
+    return rows.join(keep, "digest", "left_semi").dropDuplicates(["digest"]).select(*COLUMNS)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

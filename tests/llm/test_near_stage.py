@@ -81,3 +81,14 @@ def test_documents(spark, sf):
 def test_similarity_counts_distinct_shingles():
     a, b = shingle_groups.shingles(b"a b c d e f a b c d e f"), shingle_groups.shingles(b"A b c d  e f")
     assert len(a) == 8 and shingle_groups.similarity(a, b) == 2 / 6
+
+
+def test_null_and_repeated_ids(spark):
+    """One row of each group stays, whatever the ids; which one does not depend on the order of rows."""
+    texts = [" ".join(f"{k}{i}" for i in range(60)) for k in "abcdef"]
+    near = texts[0] + " more"
+    rows = [row(None, texts[0]), row(None, texts[1]), row(None, texts[2]), row(7, texts[3]), row(7, texts[4]), row(7, texts[4]), row(9, near), row(None, None), row(None, ""), row(3, texts[5], "s"), row(3, texts[5], "t")]
+    got = stage(spark, rows)
+    assert len(got) == 7 and got == stage(spark, rows[::-1])
+    assert [r[:2] for r in got if r[0] is not None] == [(3, texts[5]), (7, texts[3]), (7, texts[4]), (9, near)]
+    assert [r[1] for r in got if r[0] is None and r[1]] == texts[1:3]
