@@ -56,18 +56,35 @@ _DIGITS = re.compile(r"\d")
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
+class Element:
+    """An open element: its own labels and, counted once, the labels of all elements around it too."""
+
+    __slots__ = ("outer", "labels", "counts")
+
+    def __init__(self, outer: Element | None, labels: list[str]):
+        self.outer, self.labels, self.counts = outer, labels, None
+
+
 @dataclass
 class Block:
-    path: tuple[str, ...]
+    element: Element | None
     text: str
     linked: int
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        own, at = [], self.element
+        while at is not None:
+            own.append(at.labels)
+            at = at.outer
+        return tuple(w for ws in reversed(own) for w in ws)
+
 
 def _labels(name: str, attrs: str) -> list[str]:
     out = [f"<{name}>"]
     if attrs:
         for kind, a, b, c in _ATTR.findall(attrs):
-            words = [w.lower() for w in _NAME_WORDS.findall(a or b or c)][:12]
+            words = [w.lower() for w in _NAME_WORDS.findall(a or b or c)]
             out += words
             if kind.lower() == "itemprop":
                 out += ["itemprop"]
@@ -77,7 +94,7 @@ def _labels(name: str, attrs: str) -> list[str]:
 def read_blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order; ones without text are left out."""
     out: list[Block] = []
-    stack: list[tuple[str, list[str]]] = []
+    stack: list[tuple[str, Element]] = []
     parts: list[str] = []
     linked = dropped = in_link = 0
 
@@ -86,7 +103,7 @@ def read_blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append(Block(tuple(w for _, ws in stack[-12:] for w in ws), text, min(linked, len(text))))
+                out.append(Block(stack[-1][1] if stack else None, text, min(linked, len(text))))
         parts, linked = [], 0
 
     def pop_to(i: int) -> None:
@@ -163,7 +180,7 @@ def read_blocks(page: str) -> list[Block]:
                     break
                 if stack[k][0] in FENCES:
                     break
-        stack.append((name, _labels(name, attrs)))
+        stack.append((name, Element(stack[-1][1] if stack else None, _labels(name, attrs))))
         dropped += name in DROPPED
     end_block()
     return out
@@ -186,9 +203,28 @@ class _Slots(dict):
         return got
 
 
-def _path_vector(path: tuple[str, ...], slots: _Slots) -> np.ndarray:
-    at = [slots[w] for w in reversed(path)]
-    return np.bincount(at, [1.0 if k < 3 else 0.6 for k in range(len(at))], PATH_DIM)[:PATH_DIM]
+def _path_counts(element: Element | None, slots: _Slots) -> np.ndarray:
+    """Labels by slot over the whole path; each element adds its own to those of the one around it."""
+    todo = []
+    while element is not None and element.counts is None:
+        todo.append(element)
+        element = element.outer
+    counts = np.zeros(PATH_DIM, np.float32) if element is None else element.counts
+    for e in reversed(todo):
+        e.counts = counts = counts + np.bincount([slots[w] for w in e.labels], minlength=PATH_DIM)[:PATH_DIM].astype(np.float32)
+    return counts
+
+
+def _path_vector(element: Element | None, slots: _Slots) -> np.ndarray:
+    """The innermost three labels weigh 1, all others 0.6; more than two alike count as two, however deep."""
+    out, last = 0.6 * np.minimum(_path_counts(element, slots), 2), 3
+    while element is not None and last:
+        for w in element.labels[::-1][:last]:
+            last -= 1
+            if (k := slots[w]) < PATH_DIM:
+                out[k] += 0.4
+        element = element.outer
+    return out
 
 
 def vectors(blocks: list[Block]) -> np.ndarray:
@@ -198,17 +234,14 @@ def vectors(blocks: list[Block]) -> np.ndarray:
     of_path, of_word = cache["p"], cache["w"].__getitem__
     n, o = len(blocks), PATH_DIM + WORD_DIM
     x = np.zeros((n, DIM), np.float32)
-    seen: dict[tuple[str, ...], np.ndarray] = {}
     for i, b in enumerate(blocks):
         row = x[i]
-        if (path := seen.get(b.path)) is None:
-            path = seen[b.path] = _path_vector(b.path, of_path)
-        row[:PATH_DIM] = path
+        row[:PATH_DIM] = _path_vector(b.element, of_path)
         text, size = b.text, len(b.text)
         words = text.lower().split()
-        some = words if len(words) <= 64 else words[:32] + words[-32:]
-        row[PATH_DIM:o] = np.bincount(list(map(of_word, some)), minlength=WORD_DIM)[:WORD_DIM] / math.sqrt(len(some))
-        row[o:] = (math.log1p(len(words)) / 4, b.linked / size, text[-1] in ".!?:;\"'", "©" in text, len(_DIGITS.findall(text, 0, 200)) / min(size, 200), i / n, (n - 1 - i) / n, 1.0)
+        # all words; from 64 on in proportion, so that a long block keeps the scale
+        row[PATH_DIM:o] = np.bincount(list(map(of_word, words)), minlength=WORD_DIM)[:WORD_DIM] / max(math.sqrt(len(words)), len(words) / 8)
+        row[o:] = (math.log1p(len(words)) / 4, b.linked / size, text[-1] in ".!?:;\"'", "©" in text, len(_DIGITS.findall(text)) / size, i / n, (n - 1 - i) / n, 1.0)
     return np.minimum(x, 2.0)
 
 

@@ -36,7 +36,7 @@ SYLLABLES = "th er on an re he in ed nd ha at en es of or nt ea ti to it st io l
 
 class Plan:
     def __init__(self, rng: random.Random):
-        self.rng = rng
+        self.rng, self.apart = rng, random.Random(rng.getstate()[1][0])
         self.pool = ["".join(rng.choices(SYLLABLES, k=rng.randint(1, 4))) for _ in range(300)]
         self.noise = ["", "%%%", "###", "***", "$$$", "&amp;&amp;&amp;"] if rng.random() < 0.12 else [""]
         self.bars = rng.random() < 0.15  # articles of words between bars, as tables and lists leave them
@@ -127,13 +127,24 @@ class Plan:
                 attr = f' class="{self.some(CLASSES[kind])}"'
             for _ in range(self.rng.randint(1, 5)):
                 c = f' class="{self.some(CLASSES["comments"])}"' if inner == "article" or self.chance(0.7) else ""
-                body += f"<{inner}{c}>" + (self.block("div", kind, self.words(kind, 1, 4), ' class="meta"' if self.chance(0.5) else "") if self.chance(0.6) else "") + self.block("p", kind, self.sentences(kind, 1, 4)) + f"</{inner}>"
+                body += f"<{inner}{c}>" + (self.block("div", kind, self.words(kind, 1, 4), ' class="meta"' if self.chance(0.5) else "") if self.chance(0.6) else "") + self.block("p", kind, self.sentences(kind, *((15, 40) if self.rare(0.05) else (1, 4)))) + f"</{inner}>"
         else:
             body = self.some([self.mark(kind) + self.sentences(kind, 1, 3), self.block("p", kind, self.sentences(kind, 1, 3)), self.block("div", kind, self.words(kind, 1, 10)), self.links(kind, 1, 4)])
         if tag == "p":
             return self.block("p", kind, self.sentences(kind, 1, 3), attr)
+        if tag not in ("ul", "ol") and self.rare(0.06):
+            body = self.deep(body)
         return f"<{tag}{attr}>{body}</{tag}>"
 
+    def rare(self, p: float) -> bool:
+        """Drawn apart, so that the rest of a page is as it would be without."""
+        return self.apart.random() < p
+
+    def deep(self, inner: str) -> str:
+        """``inner`` in 10 to 40 plain wrappers."""
+        n = self.apart.randint(10, 40)
+        return "".join(self.apart.choice(["<div>", f'<div class="{self.apart.choice(CLASSES["plain"])}">']) for _ in range(n)) + inner + "</div>" * n
+
     def article(self) -> str:
         self.named = False
         tag = self.some(["article", "article", "div", "main", "section", "td"])
@@ -146,7 +157,7 @@ class Plan:
         for k in range(self.rng.randint(lo, hi)):
             p = self.rng.random()
             if p < 0.78:
-                size = self.some([(1, 1), (1, 3), (2, 10)])
+                size = (20, 60) if self.rare(0.04) else self.some([(1, 1), (1, 3), (2, 10)])
                 out.append(self.block(self.some(["p", "p", "p", "p", "div"]), kind, self.sentences(kind, *size)))
             elif p < 0.84:
                 out.append(self.block(self.some(["h2", "h3"]), kind, self.words(kind, 1, 8)))
@@ -164,6 +175,8 @@ class Plan:
         end = self.other("share", True) if self.chance(0.3) else ""
         self.named = False
         body = "".join(out) + end
+        if self.rare(0.04):
+            body = self.deep(body)
         if tag == "td":
             return f"<table><tr><td{attr}>{body}</td></tr></table>"
         return f"<{tag}{attr}>{body}</{tag}>"
@@ -183,6 +196,8 @@ class Plan:
         inner = sep.join(body)
         if self.chance(0.4):
             inner = f'<div class="{self.some(CLASSES["plain"])}">{inner}</div>'
+        if self.rare(0.04):
+            inner = self.deep(inner)
         return f"<!DOCTYPE html><html><head><title>{self.words('x', 1, 5)}</title><style>p{{}}</style></head><body>{inner}" + self.some(["</body></html>", ""])
 
 

@@ -71,3 +71,28 @@ def test_rows(spark, weights):
     assert by[3].text == "Title here\n\nSome words of the article, and some more words."
     assert len(by[4].text) > 70_000
     assert H.extract_main_text(spark.createDataFrame([], "page_id long, html string"), weights=weights).count() == 0
+
+
+def vector(page):
+    return H.vectors(H.read_blocks(page))[0]
+
+
+def test_whole_paths_and_blocks_count():
+    deep = "<div>" * 40
+    assert (vector(f"<article>{deep}x") != vector(f"<nav>{deep}x")).any()
+    assert (vector(f'<div class="{"plain " * 20}comments">x') != vector(f'<div class="{"plain " * 20}">x')).any()
+    many = ["word"] * 200
+    assert (vector(" ".join(many)) != vector(" ".join([*many[:99], "other", *many[100:]]))).any()
+    assert vector("a" * 300 + "1" * 100)[H.PATH_DIM + H.WORD_DIM + 4] == 0.25
+    assert len(H.read_blocks("<div>a" * 20_000)) == len(H.vectors(H.read_blocks("<div>a" * 20_000)))
+
+
+def test_deep_and_long_pages(weights):
+    line, good = "Some words of a sentence that goes on for a while, and then it ends. ", []
+    for depth in (0, 20, 30):
+        wrap = lambda x, d=depth: "<div>" * d + x + "</div>" * d
+        article = ["The title", *[(line * n).strip() for n in (1, 3, 40, 2)]]
+        page = f"<body><nav>{wrap('<ul><li><a href=/>Home</a><li><a href=/n>News</a></ul>')}</nav><article>{wrap('<h1>' + article[0] + '</h1>' + ''.join(f'<p>{p}</p>' for p in article[1:]))}</article><section class=comments>{wrap(f'<p>{line}</p><p>{line * 20}</p>')}</section><footer>{wrap('&copy; 2020 Us')}</footer>"
+        got = H.extract_texts(weights, [page])[0].split("\n\n")
+        good.append(got[:5] == article and (depth > 0 or len(got) == 5) and not {"Home", "News", "© 2020 Us"} & set(got))
+    assert good == [True] * 3  # comments this deep may still be taken for article text: see the README
