@@ -7,9 +7,14 @@ from pyspark.sql import functions as F
 
 
 def payload_digest(*columns: str) -> Column:
-    """SHA-256 of a row with NULLs and types told apart."""
-    parts = [F.coalesce(F.concat(F.lit("v"), F.col(c).cast("string")), F.lit("n")) for c in columns]
-    return F.sha2(F.concat_ws("\x1f", *parts).cast("binary"), 256)
+    """SHA-256 of a row: every field as its type, its length and its text, so NULLs and types are told apart and
+    no value can shift into its neighbour."""
+
+    def part(c: str) -> Column:
+        value = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.typeof(F.col(c)), F.lit(":"), F.char_length(value).cast("string"), F.lit(":"), value), F.lit("null"))
+
+    return F.sha2(F.concat_ws(";", *[part(c) for c in columns]).cast("binary"), 256)
 
 
 def row_digest(*columns: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -53,7 +53,7 @@ def high_water(source: DataFrame, target: DataFrame, changed: str) -> DataFrame:
 
 
 def row_compare(left: DataFrame, right: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """Full outer comparison: ``presence`` and the ``changed_columns`` of every key that differs."""
+    """Full outer comparison: ``presence`` and the ``changed_columns`` (none if the rows are equal) of every key."""
     l = left.select(*keys, *[F.col(c).alias(f"l_{c}") for c in columns], F.lit(True).alias("_l"))
     r = right.select(*keys, *[F.col(c).alias(f"r_{c}") for c in columns], F.lit(True).alias("_r"))
     j = l.join(r, keys, "full")
@@ -69,6 +69,13 @@ def mismatch_counts(compared: DataFrame, columns: list[str]) -> DataFrame:
     return compared.agg(n("left_only"), n("right_only"), n("both"), *[F.count_if(F.array_contains("changed_columns", c)).alias(f"{c}_mismatches") for c in columns])
 
 
+def difference_examples(compared: DataFrame, keys: list[str], n: int = 10) -> DataFrame:
+    """The first ``n`` keys of each kind of difference, in key order: a report's examples."""
+    kind = F.when(F.col("presence") != "both", F.col("presence")).when(F.size("changed_columns") > 0, "different")
+    w = Window.partitionBy("kind").orderBy(*keys)
+    return compared.withColumn("kind", kind).where("kind IS NOT NULL").withColumn("nth", F.row_number().over(w)).where(F.col("nth") <= n).drop("nth")
+
+
 def mapped_payload_audit(source: DataFrame, target: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Comparison where a NULL source value keeps the target's: per column equal, different and preserved counts."""
     l = source.select(*keys, *[F.col(c).alias(f"l_{c}") for c in columns])
@@ -77,6 +84,20 @@ def mapped_payload_audit(source: DataFrame, target: DataFrame, keys: list[str],
     return j.select(F.explode(F.array(*parts)).alias("p")).groupBy("p.column", "p.state").agg(F.count(F.lit(1)).alias("n"))
 
 
+def audit_with_control(source: DataFrame, target: DataFrame, keys: list[str], columns: list[str], control: str) -> DataFrame:
+    """:func:`mapped_payload_audit` after it has proven itself: a wrong value of ``control`` is put into one row that
+    agrees, and the audit has to find it; an audit that does not see it is an error."""
+    agree = source.join(target.select(*keys, F.col(control).alias("_there")), keys).where(F.col(control) == F.col("_there")).drop("_there").limit(1)
+    if agree.isEmpty():
+        raise ValueError(f"no row agrees in {control}, so the audit cannot be tried")
+    kind = agree.schema[control].dataType
+    wrong = F.concat(F.col(control), F.lit("~")) if kind.simpleString() == "string" else (F.col(control) + 1000).cast(kind)
+    seen = mapped_payload_audit(agree.withColumn(control, wrong), target, keys, [control]).collect()  # one row a state
+    if [(r["state"], r["n"]) for r in seen] != [("different", 1)]:
+        raise ValueError("the audit did not see the wrong value")
+    return mapped_payload_audit(source, target, keys, columns)
+
+
 def schema_drift(left: StructType, right: StructType) -> list[tuple[str, str]]:
     """(column, problem) for columns that are missing, extra or of another type on the right."""
     a, b = ({f.name: f.dataType.simpleString() for f in s} for s in (left, right))

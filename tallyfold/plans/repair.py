@@ -15,7 +15,10 @@ from .store import Folder, publish
 
 @dataclass
 class Repair:
-    """A run in one folder; every step can be repeated and a resumed run must have the same identity."""
+    """A run in one folder; every step can be repeated and a resumed run must have the same identity.
+
+    Other leeways make another diff: reopening a run with them clears what was prepared, unless it was applied.
+    """
 
     spark: SparkSession
     root: str
@@ -27,11 +30,15 @@ class Repair:
 
     def __post_init__(self) -> None:
         self.folder = Folder(self.spark, self.root)
-        seen = self.folder.read_json("run.json")
-        if seen is None:
-            self.folder.write_json("run.json", {"fingerprint": self.identity.fingerprint()})
-        elif seen["fingerprint"] != self.identity.fingerprint():
+        seen, mine = self.folder.read_json("run.json"), {"fingerprint": self.identity.fingerprint(), **self._leeway}
+        if seen is not None and seen["fingerprint"] != mine["fingerprint"]:
             raise ValueError("the folder belongs to another run")
+        if seen is not None and seen != mine:
+            if self.folder.exists("outcomes"):
+                raise ValueError("the run was applied with other leeways")
+            self.folder.delete("diff")
+        if seen != mine:
+            self.folder.write_json("run.json", mine)
 
     @property
     def _leeway(self) -> dict:

@@ -18,7 +18,7 @@ def write_report(root: str, tables: dict[str, DataFrame], summary: dict, fmt: st
         raise ValueError("a report has at least one table")
     spark = next(iter(tables.values())).sparkSession
     folder = Folder(spark, root)
-    folder.delete(SUMMARY)
+    folder.delete_json(SUMMARY)
     for name, df in tables.items():
         out = (df.coalesce(1) if single_file else df).write.mode("overwrite")
         (out.option("header", True) if fmt == "csv" else out).format(fmt).save(f"{folder.root}/{name}")

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.digest import stable_uuid
+from .shared import cut
+
 
 def upsert(target: DataFrame, source: DataFrame, keys: list[str], omit_null: bool = True, immutable: tuple[str, ...] = ()) -> DataFrame:
     """Full outer rewrite.  A NULL source value keeps the target's (``omit_null``); immutable columns of
@@ -64,12 +67,33 @@ def backfill(target: DataFrame, found: DataFrame, key: str, column: str, value:
     return target.join(f, key, "left").withColumn(column, F.when(F.col("_f"), F.col("_v")).otherwise(F.col(column))).drop("_v", "_f")
 
 
-def number_rows(df: DataFrame, order: list[str], name: str = "gid", parts: int = 64) -> DataFrame:
-    """Stable row numbers from 1 in hash-bucket order: counts per bucket are summed, rows are numbered inside."""
-    b = df.withColumn("_b", F.pmod(F.xxhash64(*order), F.lit(parts)))
-    base = b.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).select("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))  # one row a bucket
-    w = Window.partitionBy("_b").orderBy(*order)
-    return b.withColumn("_nth", F.row_number().over(w)).join(F.broadcast(base), "_b").withColumn(name, (F.col("_base") + F.col("_nth")).cast("long")).drop("_b", "_nth", "_base")
+def checked_upsert(target: DataFrame, source: DataFrame, keys: list[str], changed: str) -> DataFrame:
+    """:func:`upsert_if_newer` in which every source row must take effect: one that the target's change time keeps out
+    (the target moved on meanwhile), or whose key comes twice, fails the query instead of being skipped."""
+    cols = [c for c in target.columns if c not in keys]
+    s = source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.max(F.struct(*cols)).alias("_s"))
+    t = target.select(*keys, F.struct(*cols).alias("_t"))
+    blocked = F.col("_s").isNotNull() & F.col("_t").isNotNull() & ~F.coalesce(F.col(f"_t.{changed}").isNull() | (F.col(f"_s.{changed}") > F.col(f"_t.{changed}")), F.lit(False))
+    joined = t.join(s, keys, "full")
+    fail = F.raise_error(F.lit("a planned row was not written")).cast(joined.schema["_s"].dataType)
+    row = F.when(blocked | (F.col("_n") > 1), fail).otherwise(F.coalesce("_s", "_t"))
+    return joined.select(*keys, row.alias("_r")).select(*keys, "_r.*")
+
+
+def number_rows(df: DataFrame, order: list[str], name: str = "gid", modulus: int | None = None) -> DataFrame:
+    """Row numbers from 1 in the order of ``order`` (its tuples are unique), and ``__mod``, the number modulo ``modulus``.
+
+    Rows are dealt to ranges of that order, sorted there and written to the shared folder with their place in the
+    range; a running sum over the ranges' sizes (one row each) makes the numbers.  One shuffle, no window over rows.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = cut(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    part, nth = F.shiftrightunsigned("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    sizes = placed.groupBy(part.alias("_part")).agg(F.max(nth).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    bases = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_base"))  # one row a range
+    out = placed.withColumn("_part", part).join(F.broadcast(bases), "_part").withColumn(name, (F.col("_base") + nth).cast("long")).drop("_part", "_base", "_at")
+    return out if modulus is None else out.withColumn("__mod", F.col(name) % F.lit(modulus))
 
 
 def copy_absent(existing: DataFrame, incoming: DataFrame, id_col: str) -> DataFrame:
@@ -77,6 +101,22 @@ def copy_absent(existing: DataFrame, incoming: DataFrame, id_col: str) -> DataFr
     return existing.unionByName(incoming.join(existing.select(id_col), id_col, "left_anti"))
 
 
+def copy_family(parents: DataFrame, children: DataFrame, wanted: DataFrame, id_col: str, parent_col: str, namespace: str) -> tuple[DataFrame, DataFrame]:
+    """Copies of the wanted parents and of their children, under ids made from the sources' ids.
+
+    ``origin`` is the source's id and NULL for rows that are no copies.  A parent whose copy is there already is left
+    alone together with its children, so a repeated run adds nothing; copies are never copied.
+    """
+    copied = lambda c: stable_uuid(namespace, c)
+    new = parents.where("origin IS NULL").join(wanted.select(id_col).distinct(), id_col, "left_semi")
+    new = new.withColumns({"origin": F.col(id_col), "_copy": copied(F.col(id_col).cast("string"))}).join(parents.select(F.col(id_col).alias("_copy")), "_copy", "left_anti")
+    added = new.withColumn(id_col, F.col("_copy")).drop("_copy").select(*parents.columns)
+    of = new.select(F.col("origin").alias(parent_col), F.col("_copy").alias("_parent"))
+    kids = children.where("origin IS NULL").join(of, parent_col).withColumns({"origin": F.col(id_col), parent_col: F.col("_parent")})
+    kids = kids.withColumn(id_col, copied(F.concat_ws("/", F.col("_parent"), F.col("origin")))).select(*children.columns)
+    return parents.unionByName(added), children.unionByName(kids)
+
+
 def clone_row(template: DataFrame, overrides: DataFrame) -> DataFrame:
     """A template row (exactly one) once per row of overrides, whose columns replace its own."""
     if template.limit(2).count() != 1:

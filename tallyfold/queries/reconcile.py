@@ -338,8 +338,13 @@ def unique_key_coverage(spark, sf):
     return quality.unique_key_coverage(table(spark, sf, "orders"), [["o_orderkey"], ["o_custkey", "o_orderdate"]]).withColumns({"total_rows": F.col("total_rows").cast("long"), "null_rows": F.col("null_rows").cast("long")})
 
 
-@query("""WITH x AS (SELECT p_partkey AS id, sha256(concat_ws(chr(31), 'v' || p_name, 'v' || p_brand, CASE WHEN p_size % 7 <> 0 THEN 'v' || p_size ELSE 'n' END)) AS d FROM part),
-y AS (SELECT p_partkey AS id, sha256(concat_ws(chr(31), 'v' || p_name, 'v' || CASE WHEN p_partkey % 10 = 0 THEN 'B' ELSE p_brand END, CASE WHEN p_size % 7 <> 0 THEN 'v' || p_size ELSE 'n' END)) AS d FROM part)
+_FIELD = "'{t}:' || length({v}::VARCHAR) || ':' || {v}"
+_NAME, _BRAND = _FIELD.format(t="string", v="p_name"), "'string:' || length({0}) || ':' || {0}"
+_SIZE = "CASE WHEN p_size % 7 <> 0 THEN " + _FIELD.format(t="{size}", v="p_size") + " ELSE 'null' END"
+
+
+@query(f"""WITH x AS (SELECT p_partkey AS id, sha256(concat_ws(';', {_NAME}, {_BRAND.format("p_brand")}, {_SIZE.format(size="int")})) AS d FROM part),
+y AS (SELECT p_partkey AS id, sha256(concat_ws(';', {_NAME}, {_BRAND.format("(CASE WHEN p_partkey % 10 = 0 THEN 'B' ELSE p_brand END)")}, {_SIZE.format(size="int")})) AS d FROM part)
 SELECT x.id, x.d AS digest FROM x JOIN y ON x.id = y.id WHERE x.d <> y.d""")
 def payload_digest_diff(spark, sf):
     p = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), "p_name", "p_brand", F.when(F.col("p_size") % 7 != 0, F.col("p_size")).alias("p_size"))

@@ -46,7 +46,8 @@ def inventory(df: DataFrame, keys: list[str], changed: str) -> DataFrame:
 
 def keyset_page(df: DataFrame, keys: list[str], after: tuple | None, size: int) -> DataFrame:
     """The next page in key order after a lower-exclusive composite cursor (a page is the feature here)."""
-    rows = df if after is None else df.where(F.struct(*keys) > F.struct(*[F.lit(v).cast(df.schema[k].dataType).alias(k) for k, v in zip(keys, after, strict=True)]))
+    values = [] if after is None else [F.lit(v).cast(df.schema[k].dataType) for k, v in zip(keys, after, strict=True)]
+    rows = df if after is None else df.where(tuple_after([F.col(k) for k in keys], values))
     return rows.orderBy(*keys).limit(size)
 
 
@@ -100,10 +101,19 @@ def lookup_text_key(df: DataFrame, wanted: DataFrame, text_key: str, parts: list
 
 def payload(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
     """Full rows of the wanted keys; a key that comes twice is an error."""
-    rows = lookup(df, wanted, keys)
-    if not rows.groupBy(*keys).count().where("count > 1").isEmpty():
-        raise ValueError("a requested key has several rows")
-    return rows
+    return checked_payload(lookup(df, wanted, keys), wanted, keys)
+
+
+def checked_payload(fetched: DataFrame, wanted: DataFrame, keys: list[str], operation: str | None = None, allowed: tuple[str, ...] = ("UPSERT",)) -> DataFrame:
+    """Rows as a service sent them, held against what was asked for: an unrequested key, a key that comes twice and
+    a row that is not a current one (an ``operation`` other than ``allowed``; NULL is current) are errors."""
+    asked = wanted.select(*keys).distinct().withColumn("_asked", F.lit(True))
+    odd = F.lit(0) if operation is None else F.count_if(F.col(operation).isNotNull() & ~F.col(operation).isin(*allowed))
+    per_key = fetched.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), odd.alias("odd")).join(asked, keys, "left")
+    bad = per_key.agg(F.count_if(F.col("_asked").isNull()).alias("unrequested"), F.count_if(F.col("n") > 1).alias("repeated"), F.coalesce(F.sum("odd"), F.lit(0)).alias("operations")).first()
+    if any(bad):
+        raise ValueError(f"unrequested keys: {bad.unrequested}; keys with several rows: {bad.repeated}; rows that are no current rows: {bad.operations}")
+    return fetched
 
 
 def sample(df: DataFrame, fraction: float, seed: int) -> DataFrame:
@@ -123,3 +133,23 @@ def column_facts(df: DataFrame, table: str) -> DataFrame:
     """Names, positions, types and nullability of a relation as rows."""
     spark = df.sparkSession
     return spark.createDataFrame([(table, i + 1, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema)], "table_name string, position int, column_name string, data_type string, nullable boolean")
+
+
+def column_statistics(df: DataFrame) -> DataFrame:
+    """Per column: rows, NULLs, smallest and largest value as text, and about how many distinct ones (one pass)."""
+    parts = []
+    for f in df.schema:
+        c = F.col(f"`{f.name}`")
+        parts.append(F.struct(
+            F.lit(f.name).alias("column_name"), F.count(F.lit(1)).alias("row_count"), F.count_if(c.isNull()).alias("null_count"),
+            F.min(c).cast("string").alias("low"), F.max(c).cast("string").alias("high"), F.approx_count_distinct(c).alias("about_distinct"),
+        ))
+    return df.agg(F.array(*parts).alias("s")).select(F.inline("s"))
+
+
+def value_histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
+    """Rows in ``bins`` intervals of equal width between the extremes of a numeric column: what an optimiser keeps."""
+    ends = df.agg(F.min(column).cast("double").alias("low"), F.max(column).cast("double").alias("high"))
+    v = F.col(column).cast("double")
+    at = F.when(F.col("high") > F.col("low"), F.least(F.floor((v - F.col("low")) * bins / (F.col("high") - F.col("low"))), F.lit(bins - 1))).otherwise(0)
+    return df.where(F.col(column).isNotNull()).crossJoin(F.broadcast(ends)).groupBy(at.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))  # one row

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.temporal import latest_per_key
 from ..plans.rewrite import upsert_if_newer
-from ..plans.store import Folder, current, publish
+from ..plans.store import Folder, expire, manifest, rewrite_buckets
 
 
 def read_changes(spark, path: str, schema, files_per_trigger: int | None = None, glob: str | None = None) -> DataFrame:
@@ -20,20 +20,22 @@ def read_changes(spark, path: str, schema, files_per_trigger: int | None = None,
     return (r.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else r).parquet(path)
 
 
-def upsert_sink(root: str, keys: list[str], changed: str) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` writer: each batch publishes the next version; a batch that comes again is skipped.
+def upsert_sink(root: str, keys: list[str], changed: str, buckets: int = 64, expire_every: int = 20) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` writer: each batch rewrites the hash buckets that it touches; a batch that comes again is skipped.
 
-    Rows of one key in one batch are reduced to the newest first.
+    Rows of one key in one batch are reduced to the newest first.  Files of earlier versions go every
+    ``expire_every`` batches.  A table without its manifest is an error, not a first batch.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        folder = Folder(batch.sparkSession, root)
-        done = folder.read_json("MANIFEST.json")
+        spark = batch.sparkSession
+        done = manifest(Folder(spark, root))
         if done is not None and int(done["version"]) >= number:
             return
         newest = latest_per_key(batch, keys, [F.col(changed).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in batch.columns if c not in (*keys, changed)]])
-        merged = newest if done is None else upsert_if_newer(current(batch.sparkSession, root), newest, keys, changed)
-        publish(merged.select(*batch.columns), root, str(number))
+        rewrite_buckets(newest, root, str(number), keys, lambda old, new: upsert_if_newer(old, new, keys, changed), buckets)
+        if number % expire_every == expire_every - 1:
+            expire(spark, root)
 
     return write
 
