@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import types
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.shared import checkpoint_dir, cut, shared_dir  # noqa: F401  (operators take them from here)
+
 #: The white space that separates words: space and the code points 9 to 13.
 WS = " \t\n\x0b\x0c\r"
 WS_BYTES = WS.encode()
@@ -22,26 +22,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the session names in ``spark.checkpoint.dir``; only where none is set
-    (single-machine tests) a temporary one."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="checkpoint-"))
-    return sc.getCheckpointDir()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder and cut its lineage."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared one."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def process_cache(name: str) -> dict:
     """A dictionary that lives as long as the Python worker process, whichever task uses it."""
     holder = sys.modules.setdefault("_tallyfold_process_cache", types.ModuleType("_tallyfold_process_cache"))

@@ -5,16 +5,20 @@ Two texts are linked when the sets of their ``WORDS``-word shingles (ASCII case
 form a group.
 
 1. Equal texts are one point, their 128-bit digest.
-2. Candidates share a key: a component of SimHash links, found with the bands and trees of
-   ``simhash_vptree`` (five words, four bits), or one of ``KEYS`` MinHash keys of ``EACH`` values.  SimHash
-   alone does not do: texts of similarity 0.8 differ by up to 17 of 64 bits, where bands no longer tell points
-   apart.  A linked pair shares no MinHash key with probability (1 - 0.8 ** 3) ** 24 = 3e-8 at most.
-3. Candidates are verified on their shingle sets.  In round r each key takes up to 2 ** r of its texts, compares them
-   with its other texts that are not yet in the same group, and lets them go; a key whose texts are
-   all in one group is done.  A group of near copies thus costs about one comparison a text, and
-   a pair that shares a key is left out only if it is connected already.
-
-Defined cases: null is empty text; fewer words than a shingle give one shingle, the whole sequence.
+2. Candidates share a key: a component of SimHash links, found with the shards and trees of ``simhash_vptree``
+   (five words, four bits), or one of ``KEYS`` MinHash keys of ``EACH`` values.  SimHash alone does not do: texts of
+   similarity 0.8 differ by up to 17 of 64 bits, where bands no longer tell points apart.  A linked pair shares no
+   MinHash key with probability (1 - 0.8 ** 3) ** 24 = 3e-8 at most.
+3. The ``KEYS * EACH`` MinHash values of a text also estimate similarities (standard error 0.05 at 0.8).  Inside a
+   key a pair whose estimate is below ``MAYBE``, five standard errors under ``ALIKE``, is no candidate.
+4. Candidates are verified on their texts' shingle sets, in passes.  The first verifies a maximum spanning forest of
+   each key's estimates, fewer pairs than texts, which connects nearly all that belongs together.  Later passes
+   look only at pairs that are still in different groups, most similar first, eight times as many in each pass,
+   until a key has no candidate left: no pair that may link two groups stays unverified.
+   Keys of any size are compared in cells of bounded size, see ``hot_groups``.
+
+Defined cases: null is empty text; fewer words than a shingle give one shingle, the whole sequence; an empty
+table has no groups; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,12 +30,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import hot_groups
 from .common import cut, texts_of
-from .simhash_vptree import bit_counts, components, link_fingerprints
+from .simhash_vptree import bit_counts, classes, link_fingerprints
 
 WORDS, ALIKE, MAX_BITS = 5, 0.8, 4
-KEYS, EACH, SEED = 24, 3, 42
-_AT_ONCE = 4096
+KEYS, EACH, SEED, MAYBE = 24, 3, 42, 0.56
+#: Rows of a key that one task compares at once.
+CELL = 1024
+_AT_ONCE = 2048
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -49,18 +56,28 @@ def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
 
 def _constants() -> tuple[np.ndarray, np.ndarray]:
     rng = np.random.default_rng(SEED)
-    return rng.integers(0, 2**64, (KEYS * EACH, 1), np.uint64), rng.integers(0, 2**64, (KEYS * EACH, 1), np.uint64) | np.uint64(1)
+    return rng.integers(0, 2**32, (KEYS * EACH, 1), np.uint32), rng.integers(0, 2**32, (KEYS * EACH, 1), np.uint32) | np.uint32(1)
 
 
-def minhash_keys(hashes: np.ndarray) -> np.ndarray:
-    """``KEYS`` keys, each of ``EACH`` minima over the shingles."""
+_FLIP, _FACTOR = _constants()
+
+
+def minhashes(hashes: np.ndarray) -> np.ndarray:
+    """``KEYS * EACH`` minima over the shingles, of 32 bits."""
+    low = np.full(KEYS * EACH, 2**32 - 1, np.uint32)
+    short = (hashes >> np.uint64(32)).astype(np.uint32) ^ hashes.astype(np.uint32)
+    for at in range(0, len(short), _AT_ONCE):  # bounded memory for very long texts
+        h = (short[at : at + _AT_ONCE] ^ _FLIP) * _FACTOR
+        h ^= h >> np.uint32(15)
+        h *= _FACTOR[::-1]
+        low = np.minimum(low, h.min(axis=1))
+    return low
+
+
+def minhash_keys(low: np.ndarray) -> np.ndarray:
+    """``KEYS`` keys, each of ``EACH`` minima."""
     import xxhash
 
-    flip, factor = _constants()
-    low = np.full(KEYS * EACH, 2**64 - 1, np.uint64)
-    for at in range(0, len(hashes), _AT_ONCE):  # bounded memory for very long texts
-        h = (hashes[at : at + _AT_ONCE] ^ flip) * factor
-        low = np.minimum(low, (h ^ (h >> np.uint64(32))).min(axis=1))
     return np.array([xxhash.xxh3_64_intdigest(k.tobytes(), i) for i, k in enumerate(low.reshape(KEYS, EACH))], np.uint64)
 
 
@@ -76,15 +93,92 @@ def text_key(text: Column) -> Column:
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints, keys = [], []
+        prints, keys, lows = [], [], []
         for text in texts_of(batch, 1):
             h = shingles(text)
             bits = np.nonzero(2 * bit_counts(h) > len(h))[0]
             prints.append(sum(1 << int(b) for b in bits))
-            keys.append(minhash_keys(np.unique(h)))
+            low = minhashes(h)
+            lows.append(low.tobytes())
+            keys.append(minhash_keys(low))
         flat = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
         offsets = pa.array(np.arange(len(keys) + 1) * KEYS, pa.int32())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(flat))], ["t", "fp", "keys"])
+        columns = [batch.column(0), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(flat)), pa.array(lows, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["t", "fp", "keys", "low"])
+
+
+# ---- candidates in a cell ----------------------------------------------------------------------------
+
+
+def spanning_forest(low: np.ndarray, root: np.ndarray) -> list[tuple[int, int]]:
+    """A maximum spanning forest over estimated similarities of at least ``MAYBE`` (rows of one root count as joined)."""
+    n, least = len(low), MAYBE * low.shape[1]
+    best, to, left = np.full(n, -1.0), np.zeros(n, np.int64), np.ones(n, bool)
+    out = []
+    for _ in range(n):
+        at = int(np.argmax(np.where(left, best, -2.0)))
+        if best[at] >= least and root[at] != root[to[at]]:
+            out.append((int(to[at]), at))
+        left[at] = False
+        same = np.count_nonzero(low == low[at], axis=1).astype(float)
+        same[root == root[at]] = low.shape[1] + 1
+        closer = left & (same > best)
+        best[closer], to[closer] = same[closer], at
+    return out
+
+
+def open_pairs(low: np.ndarray, root: np.ndarray, role: np.ndarray, most: int) -> tuple[list[tuple[int, int]], bool]:
+    """The ``most`` most similar candidate pairs of different roots with a row of role 1, and whether there are more."""
+    least, rows, cols, scores = MAYBE * low.shape[1], [], [], []
+    for i in np.flatnonzero(role == 1).tolist():
+        same = np.count_nonzero(low == low[i], axis=1)
+        j = np.flatnonzero((same >= least) & (root != root[i]) & ((role == 0) | (np.arange(len(low)) > i)))
+        rows.append(np.full(len(j), i))
+        cols.append(j)
+        scores.append(same[j])
+    if not rows:
+        return [], False
+    i, j, s = np.concatenate(rows), np.concatenate(cols), np.concatenate(scores)
+    order = np.argsort(-s, kind="stable")[:most]
+    return list(zip(i[order].tolist(), j[order].tolist(), strict=True)), len(s) > most
+
+
+def _candidates(step: int):
+    """(cell, role, key, t, root, low), sorted by cell -> (key, a, b) to verify; a null ``a`` says that more are left."""
+
+    def solve(rows: list[tuple]) -> list[tuple]:
+        role, keys, ts, roots, lows = zip(*rows, strict=True)
+        low = np.frombuffer(b"".join(lows), np.uint32).reshape(len(rows), -1)
+        root = np.unique(np.array([r.hex() for r in roots]), return_inverse=True)[1]
+        if step == 0:
+            pairs, more = spanning_forest(low, root), len(rows) > 2
+        else:
+            pairs, more = open_pairs(low, root, np.array(role), len(rows) * 8**step)
+        out = [(keys[0], min(ts[i], ts[j]), max(ts[i], ts[j])) for i, j in pairs if ts[i] != ts[j]]
+        return out + [(keys[0], None, None)] if more else out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, last, out = [], None, []
+        kinds = [pa.int64(), pa.binary(), pa.binary()]
+
+        def batch_of(found: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], k) for i, k in enumerate(kinds)], ["key", "a", "b"])
+
+        for batch in batches:
+            for cell, *row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                if cell != last and len(rows) > 1:
+                    out += solve(rows)
+                if cell != last:
+                    rows, last = [], cell
+                rows.append(tuple(row))
+            if len(out) > 10_000:
+                yield batch_of(out)
+                out = []
+        if len(rows) > 1:
+            out += solve(rows)
+        yield batch_of(out)
+
+    return run
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,30 +191,49 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([x.filter(pa.array(near, pa.bool_())) for x in batch.columns[:2]], ["a", "b"])
 
 
-def similar_texts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``t root`` for every text key in a group of two or more; ``root`` is the smallest key of its group."""
-    base = docs.select(text_key(F.col(text_col)).alias("t"), F.col(text_col).alias("text"))
-    signed = cut(base.mapInArrow(_signatures, "t binary, fp long, keys array<long>"))
-    linked = components(link_fingerprints(signed.select("fp").distinct(), MAX_BITS))
-    roots = cut(linked.select(F.col("node").alias("fp"), "root").union(linked.select(F.col("root").alias("fp"), "root").distinct()))
-    by_print = signed.join(roots, "fp", "left").select(F.xxhash64(F.lit("simhash"), F.coalesce("root", "fp")).alias("key"), "t")
-    members = signed.select(F.explode("keys").alias("key"), "t").union(by_print)
+def _shared_keys(signed: DataFrame) -> DataFrame:
+    """``key t low`` for keys that several texts have.  Sketches travel only with those."""
+    linked = link_fingerprints(signed.select("fp").distinct(), MAX_BITS)
+    by_print = signed.select("t", "fp").join(linked, "fp").select(F.xxhash64(F.lit("simhash"), "root").alias("key"), "t")
+    same_print = signed.select(F.xxhash64(F.lit("print"), "fp").alias("key"), "t")
+    members = signed.select(F.explode("keys").alias("key"), "t").union(by_print).union(same_print)
     shared = members.groupBy("key").agg(F.min("t").alias("low"), F.max("t").alias("high")).where("low <> high").select("key")
     members = cut(members.join(shared, "key").select("key", "t").distinct())
+    sketches = signed.join(members.select("t").distinct(), "t", "left_semi").groupBy("t").agg(F.max("low").alias("low"))
+    return cut(members.join(sketches, "t").select("key", "t", "low"))
+
+
+def similar_texts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``t root`` for every text key in a group of two or more; ``root`` is the smallest key of its group."""
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = docs.select(text_key(F.col(f"`{text_col}`")).alias("t"), F.col(f"`{text_col}`").alias("text"))
+    members = _shared_keys(cut(base.mapInArrow(_signatures, "t binary, fp long, keys array<long>, low binary")))
+    if members.isEmpty():
+        return spark.createDataFrame([], "t binary, root binary")
     texts = cut(base.join(members.select("t").distinct(), "t", "left_semi").groupBy("t").agg(F.max("text").alias("text")))
-    links = classes = None
-    step = 0
-    while not members.isEmpty():
-        rooted = members.withColumn("root", F.col("t")) if classes is None else members.join(classes, "t", "left").select("key", "t", F.coalesce("root", "t").alias("root"))
-        open_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-        rooted = cut(rooted.join(open_keys, "key"))
-        chosen = cut(rooted.groupBy("key", F.pmod(F.xxhash64("t"), F.lit(2**step)).alias("part")).agg(F.min(F.struct("t", "root")).alias("c")).select("key", F.col("c.t").alias("c"), F.col("c.root").alias("c_root")))
-        pairs = rooted.join(chosen, "key").where("root <> c_root").select(F.least("c", "t").alias("a"), F.greatest("c", "t").alias("b")).distinct()
-        known = lambda x: texts.select(F.col("t").alias(x), F.col("text").alias(f"text_{x}"))
-        found = cut(pairs.join(known("b"), "b").join(known("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a binary, b binary"))
-        links = found if links is None else links.union(found)
-        linked = components(links)
-        classes = cut(linked.select(F.col("node").alias("t"), "root").union(linked.select(F.col("root").alias("t"), "root").distinct()))
-        members = cut(rooted.join(chosen.select("key", F.col("c").alias("t")), ["key", "t"], "left_anti").select("key", "t"))
+    known = lambda x: texts.select(F.col("t").alias(x), F.col("text").alias(f"text_{x}"))
+    groups, verified, step = None, None, 0
+    while True:
+        if groups is None:
+            alone = members.withColumns({"root": F.col("t"), "of": F.col("key")})
+            cells = hot_groups.first_cells(alone, "of", "t", CELL).withColumn("role", F.lit(1))
+        else:
+            rooted = members.join(groups, "t", "left").select("key", "t", F.coalesce("root", "t").alias("root"), "low")
+            cells = hot_groups.rest_cells(rooted.withColumn("of", F.col("key")), "of", "t", "root", CELL)
+        rows = cells.select("cell", "role", "key", "t", "root", "low").repartition(parts, "cell").sortWithinPartitions("cell", "t", "role")
+        found = cut(rows.mapInArrow(_candidates(step), "key long, a binary, b binary"))
+        pairs = found.where("a IS NOT NULL").select("a", "b").distinct()
+        new = pairs if verified is None else pairs.join(verified, ["a", "b"], "left_anti")
+        new = cut(new)
+        alike = cut(new.join(known("b"), "b").join(known("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a binary, b binary"))
+        verified = new if verified is None else verified.union(new)
+        if groups is None:
+            groups = classes(alike, "t")
+        elif not alike.isEmpty():
+            groups = classes(groups.select(F.col("t").alias("a"), F.col("root").alias("b")).union(alike), "t")
+        left = found.where("a IS NULL").select("key").distinct()
+        members = cut(members.join(left, "key", "left_semi"))
+        if members.isEmpty():
+            return groups
         step += 1
-    return docs.sparkSession.createDataFrame([], "t binary, root binary") if classes is None else classes

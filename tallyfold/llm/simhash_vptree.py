@@ -7,24 +7,24 @@ fingerprints are connected through links form a component.
 Finding the links, exactly:
 
 1. Equal fingerprints are merged first (partial aggregation), so a group of copies is one point.
-2. Shards.  Restricted to a band of bits, Hamming distance is still a (pseudo-)metric, and two points
-   within ``max_bits`` have distance zero on at least ``parts - max_bits`` of ``parts`` disjoint bands
-   (pigeonhole).  A shard is the set of points at distance zero from one vantage pattern on one choice
-   of bands; every linked pair meets in a shard, whatever it contains.  ``parts`` follows the counted
-   number of points so that random points fill a shard with about ``SHARD`` of them.
-3. Large shards (over ``RING_ABOVE`` points) are partitioned further by Hamming distance to a vantage
-   point of theirs, in rings of ``max_bits + 1``; a point also visits the ring below if the
-   triangle inequality allows a neighbour there (the overlap of ring boundaries).
-4. In a shard a vantage-point tree joins the points with themselves: a node splits its points at
-   the median distance to its vantage point and compares across the split only points whose
-   distances differ by at most ``max_bits``; leaves are compared in full.  A shard emits a
-   spanning forest of its links (fewer rows than points), never the pairs.
+2. Shards.  Restricted to a band of bits, Hamming distance is still a (pseudo-)metric, and two points within
+   ``max_bits`` have distance zero on at least ``parts - max_bits`` of ``parts`` disjoint bands (pigeonhole).  A shard is
+   the set of points at distance zero from one vantage pattern on one choice of bands, of which only as many bits are
+   used as leave about ``SHARD`` points in a shard; every linked pair meets in one, whatever it contains.
+3. In a shard a vantage-point tree joins the points with themselves.  A node measures its points' distance to a
+   vantage point and splits them at the median.  What the triangle inequality decides is not looked at: points
+   within ``max_bits / 2`` of the vantage point are all linked, branches further apart than ``max_bits`` are not
+   visited, and across a split only the shells next to it are compared.  Leaves of ``LEAF`` points are compared in
+   full.  A shard emits a spanning forest of its links (fewer rows than points), never the pairs.
+4. A shard of over ``LARGE`` points (a band that a group of near copies shares) is dealt to cells of bounded size, see
+   ``hot_groups``: blocks with common pivots first, then the points outside the shard's largest component against
+   all of its points.
 5. Components of the forest edges are found with large-star / small-star rounds on DataFrames, each
-   checkpointed; nothing but a convergence counter reaches the driver.
+   checkpointed; nothing but a checksum of the edges reaches the driver.
 
-A pure vantage-point partition of whole fingerprints is exact too, but near-uniform 64-bit points
-have distances of 32 +- 4, so a radius of 4 crosses 57 % of the split points at every level and the
-work grows with the power 1.8 of the points; the bands keep the method but make its shards disjoint.
+Without bands the trees would be exact too, but near-uniform 64-bit points have distances of 32 +- 4, so a radius of
+4 crosses 57 % of the split points at every level and the work grows with the power 1.8 of the points; shards keep
+the points under one tree to a few hundred, whatever the corpus holds.
 
 Defined cases: a null or empty text has fingerprint zero, linked like any other; fewer words than a
 shingle give one shingle, the whole sequence; a document with a null id has a fingerprint and the
@@ -34,18 +34,20 @@ empty table gives an empty result; other columns, whatever their names, are carr
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, zip_longest
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import hot_groups
 from .common import cut, texts_of
 
 WORDS, SEED, MAX_BITS = 4, 42, 4
-SHARD, RING_ABOVE, LEAF = 2048, 200_000, 192
+SHARD, LARGE, LEAF = 512, 8192, 24
 _LANES = np.uint64(0x0101010101010101)
 _CHUNK = 255
 
@@ -90,18 +92,20 @@ def _fingerprints(words: int):
     return run
 
 
-def parts_for(points: int, max_bits: int = MAX_BITS) -> int:
-    """Number of bands for which random points fill a shard with at most ``SHARD``."""
+def band_masks(points: int, max_bits: int = MAX_BITS) -> list[int]:
+    """One mask per choice of bands: as many bands as give enough bits for shards of ``SHARD`` random points, and of
+    each choice only as many bits as that takes."""
+    wanted = max(0, math.ceil(math.log2(max(points, 1) / SHARD)))
     parts = max_bits + 1
-    while parts < 2 * max_bits + 4 and points / 2.0 ** (64 * (parts - max_bits) / parts) > SHARD:
+    while parts < 2 * max_bits + 4 and 64 * (parts - max_bits) // parts < wanted:
         parts += 1
-    return parts
-
-
-def band_masks(parts: int, max_bits: int) -> list[int]:
     edges = [64 * i // parts for i in range(parts + 1)]
-    bands = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:], strict=False)]
-    return [sum(c) for c in combinations(bands, parts - max_bits)]
+    bands = [range(a, b) for a, b in zip(edges, edges[1:], strict=False)]
+    masks = []
+    for choice in combinations(bands, parts - max_bits):
+        turns = [b for several in zip_longest(*choice) for b in several if b is not None]  # bits from all bands alike
+        masks.append(sum(1 << b for b in turns[:wanted]))
+    return sorted(set(masks))
 
 
 def _signed(x: int) -> int:
@@ -111,149 +115,199 @@ def _signed(x: int) -> int:
 # ---- the tree, on one shard -------------------------------------------------------------------
 
 
-def _close(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
-    return np.bitwise_count(a[:, None] ^ b[None, :]) <= most
-
+class Links:
+    """Components of a shard's points while its tree is walked, and what the walk did: inner ``nodes`` and ``leaves``
+    visited, ``distances`` measured, balls ``enclosed`` whole, and pairs of points that were never looked at because
+    of the triangle inequality (``pruned``) or because they were connected already (``connected``)."""
 
-class _Forest:
     def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        up = self.up
-        while up[i] != i:
-            up[i] = up[up[i]]
-            i = up[i]
-        return i
-
-    def link(self, pairs: Iterator[tuple[int, int]]) -> None:
-        for i, j in pairs:
-            a, b = self.root(i), self.root(j)
-            if a != b:
-                self.up[max(a, b)] = min(a, b)
-
-
-def _own(x: np.ndarray, at: np.ndarray, most: int, out: _Forest) -> None:
+        self.label = np.arange(n)
+        self.nodes = self.leaves = self.distances = self.enclosed = self.pruned = self.connected = 0
+
+    def join(self, at: np.ndarray) -> None:
+        """All points ``at`` are connected."""
+        own = np.unique(self.label[at])
+        if len(own) > 1:
+            self.label[np.isin(self.label, own)] = own[0]
+
+    def compare(self, x: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> None:
+        self.leaves += 1
+        self.distances += len(a) * len(b)
+        near = np.bitwise_count(x[a][:, None] ^ x[b][None, :]) <= most
+        near &= self.label[a][:, None] != self.label[b][None, :]
+        i, j = np.nonzero(near)
+        for u, v in zip(a[i].tolist(), b[j].tolist(), strict=True):
+            p, q = self.label[u], self.label[v]
+            if p != q:
+                self.label[self.label == max(p, q)] = min(p, q)
+
+    def apart(self, a: np.ndarray, b: np.ndarray) -> bool:
+        """False if every point of both sides is in one component already."""
+        first = self.label[a[0]]
+        return bool((self.label[a] != first).any() or (self.label[b] != first).any())
+
+
+def _distances(x: np.ndarray, at: np.ndarray, vantage: int, out: Links) -> np.ndarray:
+    out.distances += len(at)
+    return np.bitwise_count(x[at] ^ x[vantage]).astype(np.int64)
+
+
+def _own(x: np.ndarray, at: np.ndarray, most: int, out: Links) -> None:
     """Link the points ``at`` of ``x`` among themselves."""
+    if len(at) < 2 or not out.apart(at[:1], at):
+        out.connected += len(at) * (len(at) - 1) // 2
+        return
     if len(at) <= LEAF:
-        i, j = np.nonzero(np.triu(_close(x[at], x[at], most), 1))
-        out.link(zip(at[i].tolist(), at[j].tolist(), strict=True))
+        out.compare(x, at, at, most)
         return
-    d = np.bitwise_count(x[at] ^ x[at[0]]).astype(np.int64)
+    out.nodes += 1
+    vantage = int(at[len(at) // 2])
+    d = _distances(x, at, vantage, out)
+    inside = d <= most // 2  # any two of them are within ``most``
+    if inside.sum() > 1:
+        out.enclosed += 1
+        out.join(at[inside])
+    out.join(at[d <= most])  # neighbours of the vantage point
     mid = int(np.median(d))
     inner = d <= mid
     if inner.all():
         inner = d < mid
-        if not inner.any():  # all at one distance: no split here, cut by order and compare across
-            half = len(at) // 2
-            _own(x, at[:half], most, out)
-            _own(x, at[half:], most, out)
-            _cross(x, at[:half], at[half:], most, out)
-            return
+    if not inner.any():  # all at one distance: no split here, cut by order and compare across
+        half = len(at) // 2
+        _own(x, at[:half], most, out)
+        _own(x, at[half:], most, out)
+        _cross(x, at[:half], at[half:], most, out)
+        return
     edge = int(d[inner].max())
     _own(x, at[inner], most, out)
     _own(x, at[~inner], most, out)
-    _cross(x, at[inner & (d >= edge + 1 - most)], at[~inner & (d <= edge + most)], most, out)
+    shell, beyond = at[inner & (d >= edge + 1 - most)], at[~inner & (d <= edge + most)]
+    out.pruned += int(inner.sum() * (~inner).sum()) - len(shell) * len(beyond)
+    _cross(x, shell, beyond, most, out)
 
 
-def _cross(x: np.ndarray, a: np.ndarray, b: np.ndarray, most: int, out: _Forest) -> None:
+def _cross(x: np.ndarray, a: np.ndarray, b: np.ndarray, most: int, out: Links) -> None:
     """Link points of ``a`` with points of ``b``: both sides split at the same vantage point."""
-    if not len(a) or not len(b):
+    if not len(a) or not len(b) or not out.apart(a, b):
+        out.connected += len(a) * len(b)
         return
     if len(a) * len(b) <= LEAF * LEAF:
-        i, j = np.nonzero(_close(x[a], x[b], most))
-        out.link(zip(a[i].tolist(), b[j].tolist(), strict=True))
+        out.compare(x, a, b, most)
+        return
+    out.nodes += 1
+    side = a if len(a) >= len(b) else b
+    vantage = int(side[len(side) // 2])
+    da, db = _distances(x, a, vantage, out), _distances(x, b, vantage, out)
+    if da.min() - db.max() > most or db.min() - da.max() > most:
+        out.pruned += len(a) * len(b)
         return
-    v = x[a[0]]
-    da, db = np.bitwise_count(x[a] ^ v).astype(np.int64), np.bitwise_count(x[b] ^ v).astype(np.int64)
     mid = int(np.median(np.concatenate((da, db))))
     ia, ib = da <= mid, db <= mid
-    if (ia.all() and ib.all()) or not (ia.any() or ib.any()):
-        for u in np.array_split(a, 2 if len(a) > 1 else 1):
-            for w in np.array_split(b, 2 if len(b) > 1 else 1):
-                _block(x, u, w, most, out)
-        return
-    _cross(x, a[ia], b[ib], most, out)
-    _cross(x, a[~ia], b[~ib], most, out)
-    _cross(x, a[ia & (da > mid - most)], b[~ib & (db <= mid + most)], most, out)
-    _cross(x, a[~ia & (da <= mid + most)], b[ib & (db > mid - most)], most, out)
-
-
-def _block(x: np.ndarray, a: np.ndarray, b: np.ndarray, most: int, out: _Forest) -> None:
-    for i in range(0, len(a), LEAF):
-        for j in range(0, len(b), LEAF):
-            r, c = np.nonzero(_close(x[a[i : i + LEAF]], x[b[j : j + LEAF]], most))
-            out.link(zip(a[i + r].tolist(), b[j + c].tolist(), strict=True))
-
-
-def tree_links(points: np.ndarray, max_bits: int = MAX_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning forest of the links among distinct fingerprints, as (point, smaller root) arrays."""
-    out = _Forest(len(points))
-    _own(points, np.arange(len(points)), max_bits, out)
-    roots = np.array([out.root(i) for i in range(len(points))])
-    linked = np.nonzero(roots != np.arange(len(points)))[0]
-    return points[linked], points[roots[linked]]
-
-
-def _join_shards(max_bits: int):
-    """Batches of (shard, fp), sorted by shard -> forest edges."""
+    visited = 0
+    shells = (ia & (da > mid - most), ~ib & (db <= mid + most)), (~ia & (da <= mid + most), ib & (db > mid - most))
+    for ma, mb in ((ia, ib), (~ia, ~ib), *shells):
+        if ma.all() and mb.all():  # the vantage point tells nothing apart
+            _block(x, a, b, most, out)
+        else:
+            _cross(x, a[ma], b[mb], most, out)
+        visited += int(ma.sum() * mb.sum())
+    out.pruned += len(a) * len(b) - visited
+
+
+def _block(x: np.ndarray, a: np.ndarray, b: np.ndarray, most: int, out: Links) -> None:
+    for i in range(0, len(a), 16 * LEAF):
+        for j in range(0, len(b), 16 * LEAF):
+            u, w = a[i : i + 16 * LEAF], b[j : j + 16 * LEAF]
+            if out.apart(u, w):
+                out.compare(x, u, w, most)
+
+
+def walk(points: np.ndarray, max_bits: int = MAX_BITS, rest: np.ndarray | None = None) -> Links:
+    """The tree over distinct fingerprints; with ``rest`` (a mask) only pairs with one of them are looked for."""
+    out = Links(len(points))
+    at = np.arange(len(points))
+    if rest is None:
+        _own(points, at, max_bits, out)
+    else:
+        _cross(points, at[rest], at[~rest], max_bits, out)
+        _own(points, at[rest], max_bits, out)
+    return out
+
+
+def tree_links(points: np.ndarray, max_bits: int = MAX_BITS, rest: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links among distinct fingerprints, as (point, another of its component) arrays."""
+    label = walk(points, max_bits, rest).label
+    linked = np.flatnonzero(label != np.arange(len(points)))
+    return points[linked], points[label[linked]]
+
+
+def _join_cells(max_bits: int):
+    """Batches of (cell, role, fp), sorted by cell -> forest edges.  A cell holds a bounded number of rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_k, held_x = np.empty(0, np.int64), np.empty(0, np.uint64)
+        held: list[tuple[np.ndarray, ...]] = []
 
-        def edges(k: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+        def edges(k: np.ndarray, role: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
             at = np.flatnonzero(np.concatenate(([True], k[1:] != k[:-1], [True])))
             a, b = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
             for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
                 if j - i > 1:
-                    p = x[i:j]
-                    if j - i <= LEAF:  # most shards are smaller than a leaf of the tree
-                        near = _close(p, p, max_bits)
-                        if np.count_nonzero(near) == j - i:
-                            continue
-                    u, v = tree_links(p, max_bits)
+                    if role[i:j].all():
+                        u, v = tree_links(x[i:j], max_bits)
+                    else:  # a point of the rest comes with both roles
+                        p, first = np.unique(x[i:j][np.argsort(-role[i:j], kind="stable")], return_index=True)
+                        u, v = tree_links(p, max_bits, np.sort(-role[i:j])[first] == -1)
                     a.append(u)
                     b.append(v)
             return pa.RecordBatch.from_arrays([pa.array(np.concatenate(z).view(np.int64)) for z in (a, b)], ["a", "b"])
 
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                yield edges(*(np.concatenate(z) for z in zip(*held, strict=True)))
+                held.clear()
+
         for batch in batches:
-            k = np.concatenate((held_k, batch.column(0).to_numpy()))
-            x = np.concatenate((held_x, batch.column(1).to_numpy().view(np.uint64)))
+            k, role, x = batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy().view(np.uint64)
             if not len(k):
                 continue
-            whole = np.flatnonzero(k != k[-1])
-            cutoff = int(whole[-1]) + 1 if len(whole) else 0
-            if cutoff:
-                yield edges(k[:cutoff], x[:cutoff])
-            held_k, held_x = k[cutoff:], x[cutoff:]
-        if len(held_k):
-            yield edges(held_k, held_x)
+            new = np.flatnonzero(k != (held[-1][0][-1] if held else k[0]))
+            if not len(new):
+                held.append((k, role, x))
+                continue
+            last = int(np.flatnonzero(k != k[-1])[-1]) + 1 if (k != k[-1]).any() else 0
+            held.append((k[:last], role[:last], x[:last]))
+            yield from flush()
+            held.append((k[last:], role[last:], x[last:]))
+        yield from flush()
 
     return run
 
 
+def _cell_links(cells: DataFrame, max_bits: int) -> DataFrame:
+    n = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = cells.select("cell", F.col("role").cast("int").alias("role"), "fp").repartition(n, "cell").sortWithinPartitions("cell", "fp")
+    return rows.mapInArrow(_join_cells(max_bits), "a long, b long")
+
+
 def link_fingerprints(points: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Distinct ``fp`` -> forest edges ``a b`` that connect exactly the linked fingerprints."""
-    spark = points.sparkSession
-    masks = band_masks(parts_for(points.count(), max_bits), max_bits)
+    """Distinct ``fp`` -> ``fp root`` of those that are linked to another one, directly or through others."""
+    masks = band_masks(points.count(), max_bits)
     shard = F.explode(F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(_signed(m)))) for i, m in enumerate(masks)]))
     placed = points.select(shard.alias("shard"), "fp")
-    large = cut(placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.min("fp").alias("vantage")).where(F.col("n") > RING_ABOVE).select("shard", "vantage"))
-    if not large.isEmpty():
-        ring = max_bits + 1
-        d = F.bit_count(F.col("fp").bitwiseXOR(F.col("vantage")))
-        own, below = F.floor(d / ring), F.when((d % ring < max_bits) & (d >= ring), F.floor(d / ring) - 1)
-        rings = F.transform(F.array_compact(F.array(own, below)), lambda r: F.xxhash64(F.col("shard"), r))
-        placed = placed.join(large, "shard", "left").select(F.explode(F.when(F.col("vantage").isNull(), F.array("shard")).otherwise(rings)).alias("shard"), "fp")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return placed.repartition(n, "shard").sortWithinPartitions("shard", "fp").mapInArrow(_join_shards(max_bits), "a long, b long")
+    found = classes(_cell_links(hot_groups.first_cells(placed, "shard", "fp", LARGE).withColumn("role", F.lit(1)), max_bits), "fp")
+    large = cut(placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LARGE).select("shard"))
+    if large.isEmpty():
+        return found
+    hot = placed.join(large, "shard").join(found, "fp", "left").select("shard", "fp", F.coalesce("root", "fp").alias("root"))
+    more = _cell_links(hot_groups.rest_cells(hot, "shard", "fp", "root", LARGE), max_bits)
+    return classes(found.select(F.col("fp").alias("a"), F.col("root").alias("b")).union(more), "fp")
 
 
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
-    """``node root``: the smallest node reachable over undirected edges ``a b`` (both columns long).
+    """``node root``: the smallest node reachable over undirected edges ``a b``, for all nodes that are no roots.
 
-    Alternating large-star and small-star rounds; a hub's neighbours are never gathered, only their
-    minimum (a partial aggregation) which is joined back.
+    Alternating large-star and small-star rounds until the edges stay as they are; a hub's neighbours are never
+    gathered, only their minimum (a partial aggregation) which is joined back.
     """
 
     def star(e: DataFrame, large: bool) -> DataFrame:
@@ -265,14 +319,28 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         moved = e.join(low, "a")
         return moved.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b")).union(low.select("a", F.col("low").alias("b"))).where("a <> b").distinct()
 
+    def state(e: DataFrame) -> tuple:
+        return tuple(e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
     e = cut(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    before = state(e)
     for _ in range(most_rounds):
+        if not before[0]:
+            break
         e = cut(star(star(e, True), False))
-        # done when every node has one parent and no parent has a parent
-        parents = e.select(F.col("b").alias("a")).distinct()
-        if e.join(parents, "a", "left_semi").isEmpty() and e.groupBy("a").count().where("count > 1").isEmpty():
-            return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+        now = state(e)
+        if now == before:
+            break
+        before = now
+    else:
+        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
+    return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def classes(edges: DataFrame, name: str) -> DataFrame:
+    """``<name> root`` for every node of an edge, roots included."""
+    found = components(edges)
+    return cut(found.select(F.col("node").alias(name), "root").union(found.select(F.col("root").alias(name), "root").distinct()))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, max_bits: int = MAX_BITS, carry: list[str] | None = None) -> DataFrame:
@@ -282,10 +350,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kind = base.schema["row"].dataType.simpleString()
     prints = cut(base.mapInArrow(_fingerprints(words), f"row {kind}, fp long"))
     points = cut(prints.groupBy("fp").agg(F.min("row.id").alias("first_id")))
-    found = components(link_fingerprints(points.select("fp"), max_bits))
-    classes = found.select(F.col("node").alias("fp"), "root").union(found.select(F.col("root").alias("fp"), "root").distinct())
-    classed = cut(points.join(classes, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "first_id"))
-    ids = classed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_print = classed.join(ids, "root").select("fp", "component_id")
+    linked = points.join(link_fingerprints(points.select("fp"), max_bits), "fp")
+    # only linked points take part: a component's smallest id is a partial aggregation, whatever its size
+    ids = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    of_print = cut(linked.join(ids, "root").select("fp", F.col("component_id").alias("shared_id")))
+    whole = points.join(of_print.withColumn("linked", F.lit(True)), "fp", "left").select("fp", F.when(F.col("linked"), F.col("shared_id")).otherwise(F.col("first_id")).alias("component_id"))
     row = F.struct(*[F.col(f"row.c{i}").alias(c) for i, c in enumerate(carry)]).alias("row")
-    return prints.join(of_print, "fp").select(row, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(whole, "fp").select(row, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
