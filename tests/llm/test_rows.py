@@ -11,7 +11,7 @@ import corpus_pipeline
 from tallyfold.llm import line_dedup, quality_ledger, source_mix
 
 from . import slow
-from .test_simhash import slow_components, slow_fingerprint
+from .test_near_stage import smallest
 
 LONG = "A line that is long enough to be a key, ÄÖ"
 EDGES = [
@@ -106,9 +106,7 @@ def test_stages_against_plain_versions(spark, sf):
     rows = run("quality_rules", [r for r in rows if not any(slow.failed(slow.measures(r[1])))])
     kept = {d: t for d, t, _, _ in slow.line_dedup([(r[0], r[1]) for r in rows])}
     rows = run("line_dedup", [(r[0], kept[r[0]], r[2], r[3], len(kept[r[0]])) for r in rows if slow.words(kept[r[0]])])
-    prints = [slow_fingerprint(r[1]) for r in rows]
-    ids = [r[0] for r in rows]
-    rows = run("simhash_near_dedup", [r for r, c in zip(rows, slow_components(ids, prints), strict=True) if c == r[0]])
+    rows = run("simhash_near_dedup", [rows[i] for i in smallest([r[1] for r in rows])])  # five words, similarity 0.8
     copies = {m[0]: m[5] for m in slow.mix([(r[0], r[3], r[1]) for r in rows])}
     rows = run("source_mixing", [r for r in rows for _ in range(copies[r[0]])])
     want = []
