@@ -22,7 +22,7 @@ def print_of(t):
 
 def slow(rows):
     texts = [t or "" for _, t in rows]
-    order = sorted(range(len(rows)), key=lambda i: texts[i].encode(), reverse=True)
+    order = sorted(range(len(rows)), key=lambda i: hashlib.sha256(texts[i].encode()).digest(), reverse=True)
     order.sort(key=lambda i: (rows[i][0] is None, -(rows[i][0] or 0)))
     out = []
     for at, i in enumerate(order):
@@ -58,7 +58,29 @@ def test_documents(spark, sf):
 def test_collisions_are_told_apart(spark, monkeypatch):
     monkeypatch.setattr(D, "wide_hash", lambda c: F.substring(c, 1, 1))
     df = spark.createDataFrame([(1, "ax"), (2, "ay"), (3, "AX"), (4, "b")], "doc_id long, text string")
-    got = {r.row.doc_id: r.fingerprint for r in D.fingerprints(df).collect()}
-    assert got[1] == got[3] != got[2] and got[4] == "b"
-    monkeypatch.setattr(D, "BROADCAST_BUCKETS", 0)
-    assert D.collided(df) == ["a"]
+    for few in (100_000, 0):
+        monkeypatch.setattr(D, "BROADCAST_TEXTS", few)
+        got = {r.row.doc_id: r.fingerprint for r in D.fingerprints(df).collect()}
+        assert got[1] == got[3] != got[2] and got[4] == "b" and got[1][0] == got[2][0] == "a"
+
+
+def test_edited_texts_are_told_apart_too(spark, monkeypatch):
+    """With a hash that collides all the time the bytes decide: equal texts, and only those, have equal fingerprints."""
+    monkeypatch.setattr(D, "wide_hash", lambda c: F.substring(c, 1, 1))
+    rows = [(1, "abcd"), (2, "ABcd"), (3, "abxy"), (4, "b"), (5, "abcd"), (6, ""), (7, "abab"), (8, "ab")]
+    got = {r.doc_id: r for r in D.edited_fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    edited = {i: text[i][: len(text[i]) - len(text[i]) // 2] + text[i - 1 if i > 1 else 8][: len(text[i]) // 2] for i in text}
+    prints = [(canon(text[i]), got[i].fingerprint) for i in text] + [(canon(edited[i]), got[i].edited_fingerprint) for i in text]
+    for a, x in prints:
+        assert all((a == b) == (x == y) for b, y in prints)
+    for i in text:
+        assert got[i].near_edited == float(canon(text[i]) == canon(edited[i])) and got[i].near_next == float(canon(text[i]) == canon(text[i - 1 if i > 1 else 8]))
+
+
+def test_hot_and_missing_ids_are_spread(spark):
+    rows = [(None, f"text {i}") for i in range(400)] + [(7, f"other {i % 150}") for i in range(400)] + [(i, f"own {i}") for i in range(-200, 200)]
+    assert fast(spark, rows) == slow(rows)
+    base = spark.createDataFrame(rows, "id long, text string").withColumn("raw", D.raw_key(F.col("text")))
+    sizes = base.groupBy(D._places(base).alias("p")).count()
+    assert sizes.agg(F.max("count")).first()[0] < 150
