@@ -129,3 +129,21 @@ def split_valid(df: DataFrame, valid: Column) -> tuple[DataFrame, DataFrame]:
     """(rows to write, rows that become warnings): unknown validity is not valid."""
     ok = F.coalesce(valid, F.lit(False))
     return df.where(ok), df.where(~ok)
+
+
+def running_sums(df: DataFrame, order: list[Column], columns: list[str]) -> DataFrame:
+    """``before_<column>`` (the sum over all earlier rows in ``order``) and ``nth`` (from 1), without gathering the rows.
+
+    Rows are dealt to ranges of the order and sorted there; the ranges' totals (one row each) are carried forward.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = cut(df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_part", F.shiftrightunsigned("_at", 33)).withColumn("_one", F.lit(1).cast("long"))
+    counted = {**{f"before_{c}": c for c in columns}, "nth": "_one"}
+    totals = placed.groupBy("_part").agg(*[F.sum(c).alias(n) for n, c in counted.items()])
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    bases = totals.select("_part", *[zero(F.sum(n).over(earlier)).alias(f"_{n}") for n in counted])  # one row a range
+    inside = Window.partitionBy("_part").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    out = placed.join(F.broadcast(bases), "_part").withColumns({n: F.col(f"_{n}") + zero(F.sum(c).over(inside)) for n, c in counted.items()})
+    return out.withColumn("nth", F.col("nth") + 1).select(*df.columns, *counted)
