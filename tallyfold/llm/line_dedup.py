@@ -4,17 +4,17 @@ A line's key is the line without the white space ``[\\x20\\x09-\\x0D]`` at both
 lower-cased.  Keys of at least ``min_chars`` code points that at least ``min_docs`` documents hold
 lose all their lines, except in the holder with the largest id.
 
-Plan: pass 1 emits each document's distinct long keys as 128-bit hashes (no text is shuffled) and
-counts them with map-side partial sums, so a line that a third of all documents hold shuffles one
-row per task.  The over-threshold keys are joined back to the (id, hash) rows.  A key with more than
+Plan: pass 1 emits each document's distinct long keys as 128-bit hashes (no text is shuffled), keeps one row per
+(id, hash) and counts those with partial sums, so a line that a third of all documents hold is counted from one row
+per task.  The over-threshold keys are joined back to the (id, hash) rows.  A key with more than
 1/``HOT_KEYS`` of those rows is hot; there can be at most ``HOT_KEYS`` of them, so they are broadcast, and
 their rows are dealt out by document; the other keys take a sort-merge join.  The verdicts are gathered per document (bounded by
 that document's lines) and pass 2 reassembles each text by position.
 
 Defined cases: null or empty text is one empty line; a null id is smaller than any other, so a
-document with one never keeps a dropped line unless all holders have null ids; a repeated row counts
-as another document, and rows that share the largest id all keep their lines; an empty table gives
-an empty result; other columns, whatever their names, pass through untouched.
+document with one never keeps a dropped line unless all holders have null ids; rows that share an id (or have
+none) count as one document, and rows that share the largest id all keep their lines; an empty table
+gives an empty result; other columns, whatever their names, pass through untouched.
 """
 
 from __future__ import annotations
@@ -77,7 +77,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kind = docs.schema[id_col].dataType.simpleString()
     base = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row"))
     held = base.select("id", "text").mapInArrow(_long_keys(min_chars), f"id {kind}, k binary")
-    common = cut(held.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs))
+    common = cut(held.distinct().groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs))
     rows = common.agg(F.sum("n")).first()[0] or 0
     hot = common.where(F.col("n") > rows / HOT_KEYS).select("k", F.col("keeper").alias("hot_keeper"), F.lit(True).alias("is_hot"))
     rest = common.where(F.col("n") <= rows / HOT_KEYS).select(F.col("k").alias("key"), F.col("keeper").alias("rest_keeper"), F.lit(True).alias("is_rest"))

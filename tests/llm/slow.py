@@ -41,14 +41,14 @@ def failed(m):
 
 
 def line_dedup(rows):
-    """(doc, text) -> (doc, kept text, n_lines, n_dropped)"""
+    """(doc, text) -> (doc, kept text, n_lines, n_dropped); rows of one id are one document"""
     low = lambda d: -(10**30) if d is None else d
-    holders = defaultdict(list)
+    holders = defaultdict(set)
     key = lambda x: x.strip(WS).translate(UP)
     for d, t in rows:
         for k in {key(x) for x in (t or "").split("\n")}:
             if len(k) >= 40:
-                holders[k].append(low(d))
+                holders[k].add(low(d))
     out = []
     for d, t in rows:
         lines = (t or "").split("\n")
