@@ -6,18 +6,21 @@ own, so no sequence crosses documents, every sequence length is a power of two,
 and equal lengths are bucketed together: sequence ids run through the lengths from the longest to
 the shortest, so a trainer reads uniform batches.
 
-Sequence numbers are a distributed prefix sum: pieces are counted per (length, hash bucket of the
-id), at most 12 x 1,024 = 12,288 counts for ``max_len`` 2048 whatever the data size, whose running
-sum is broadcast (that bound is the proof); the rest is a row number inside each bucket.  No task
-sees more than 1/1,024th of one length's pieces.
-
-Defined cases: a null or empty text is the end token alone; a null id packs like any other and hashes
-to one value; repeated rows are packed once each (their order among equals does not matter, they are
-equal); an empty table gives no rows; other columns are ignored, whatever their names.
+Sequence numbers are a distributed prefix sum: pieces are dealt to hash buckets of all their columns, so neither an
+id with many rows nor the missing id is one bucket; pieces are counted per (length, bucket), at most 12 x
+``BUCKETS`` counts for ``max_len`` 2048 whatever the data size, whose running sum is broadcast (that bound is the
+proof); the rest is a row number inside each bucket.  ``BUCKETS`` grows with the session's shuffle partitions.
+
+Ids are made word by word only if the tokenizer's file has the parts that this relies on; any other file's tokenizer
+reads whole texts.
+
+Defined cases: a null or empty text is the end token alone; a null id packs like any other; repeated rows are
+packed once each (their order among equals does not matter, they are equal); an empty table gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -46,6 +49,41 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+#: What a tokenizer's file must say for ids to be made word by word: white space is dropped, words end in a mark of
+#: their own, and the pre-tokenizer splits letters, single digits and runs of other characters.
+_WORDWISE = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ]},
+    "model": {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": "</w>", "fuse_unk": False, "byte_fallback": False, "ignore_merges": False},
+}
+
+
+def is_wordwise(path: str) -> bool:
+    """Whether a tokenizer's file has the parts that :class:`WordIds` relies on."""
+    with open(path, encoding="utf-8") as f:
+        have = json.load(f)
+    if any(have.get(k) != _WORDWISE[k] for k in ("normalizer", "pre_tokenizer")) or have.get("post_processor"):
+        return False
+    plain = all(re.fullmatch(r"<\|\w+\|>", t["content"]) and not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in have["added_tokens"])
+    return plain and all(have["model"].get(k) == v for k, v in _WORDWISE["model"].items())
+
+
+class TextIds:
+    """Token ids of whole texts, for tokenizers of any make."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+
+    def encode(self, text: bytes) -> bytes:
+        return _ids(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids)
+
+
 class WordIds(dict):
     """Token ids of white-space separated words as little-endian unsigned 32-bit bytes.
 
@@ -53,15 +91,16 @@ class WordIds(dict):
     its words in a row.  A word made of Latin letters and closing punctuation is taken apart the way
     the pre-tokenizer does it (letters, then the run of punctuation), which lets "Word", "word," and
     "word." share one BPE run, and goes to the BPE model directly; all others take the whole tokenizer.
+    Only for files of which :func:`is_wordwise` holds.
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.parts = Tokenizer.from_file(path), {}
+        self.tokenizer, self.parts = TextIds(path).tokenizer, {}
         self.model, self.letters = self.tokenizer.model, byte_letters()
 
+    def encode(self, text: bytes) -> bytes:
+        return b"".join(map(self.__getitem__, text.split()))
+
     def part(self, piece: str) -> bytes:
         if (got := self.parts.get(piece)) is None:
             if len(self.parts) > CACHE_WORDS:
@@ -90,10 +129,11 @@ def _ids(ids: Iterable[int]) -> bytes:
     return array("I", ids).tobytes()
 
 
-def word_ids(path: str) -> WordIds:
-    known = process_cache("word_ids")
+def encoder(path: str) -> WordIds | TextIds:
+    """The tokenizer of a file, once per worker process: word by word if the file allows it, else by whole texts."""
+    known = process_cache("encoders")
     if path not in known:
-        known[path] = WordIds(path)
+        known[path] = WordIds(path) if is_wordwise(path) else TextIds(path)
     return known[path]
 
 
@@ -105,11 +145,11 @@ def binary_pieces(n: int, max_len: int = MAX_LEN) -> list[int]:
 
 def _pieces(path: str, max_len: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of, end = word_ids(path), np.array([end_id], "<u4").tobytes()
+        encode, end = encoder(path).encode, np.array([end_id], "<u4").tobytes()
         for batch in batches:
             at, starts, lengths, crcs, totals = [], [], [], [], []
             for i, text in enumerate(texts_of(batch, 1)):
-                data = memoryview(b"".join(map(ids_of.__getitem__, text.split())) + end)
+                data = memoryview(encode(text) + end)
                 start, n = 0, len(data) // 4
                 for length in binary_pieces(n, max_len):
                     at.append(i)
@@ -136,11 +176,13 @@ def pack_pow2(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text
 def number_sequences(pieces: DataFrame) -> DataFrame:
     from .common import cut
 
-    pieces = cut(pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(BUCKETS)).cast("int")))
+    buckets = max(BUCKETS, 4 * int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    own = ("doc_id", "start", "ids_crc32", "doc_tokens")
+    pieces = cut(pieces.withColumn("bucket", F.pmod(F.xxhash64(*own), F.lit(buckets)).cast("int")))
     counts = pieces.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     order = Window.orderBy(F.col("length").desc(), "bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("length", "bucket", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base"))
-    within = Window.partitionBy("length", "bucket").orderBy("doc_id", "start", "ids_crc32", "doc_tokens")
+    within = Window.partitionBy("length", "bucket").orderBy(*own)
     return (
         pieces.withColumn("nth", F.row_number().over(within))
         .join(F.broadcast(bases), ["length", "bucket"])

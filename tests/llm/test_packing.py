@@ -19,7 +19,7 @@ def test_word_ids_equal_the_tokenizer(sf):
     tokenizer = Tokenizer.from_file(PATH)
     words = P.WordIds(PATH)
     for text in ODD + pq.read_table(f"{sf}/documents.parquet").column("text").to_pylist():
-        got = b"".join(map(words.__getitem__, (text or "").encode().split()))
+        got = words.encode((text or "").encode())
         assert got == ids_of(tokenizer, text)[:-1].tobytes()
 
 
@@ -52,3 +52,30 @@ def test_reruns_agree_and_empty(spark):
     one = sorted(map(tuple, P.pack_pow2(df, PATH).collect()))
     assert one == sorted(map(tuple, P.pack_pow2(df.repartition(3), PATH).collect()))
     assert P.pack_pow2(df.limit(0), PATH).count() == 0
+
+
+def test_other_tokenizers_read_whole_texts(spark, tmp_path):
+    """Ids word by word only where the file says what that needs; any other file still gives its own ids."""
+    import json
+
+    assert P.is_wordwise(PATH)
+    body = json.load(open(PATH))
+    body["normalizer"]["normalizers"].pop()  # case counts now
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(body))
+    for path in (str(other), public_tokenizers.path("byte_bpe_50k.json")):
+        assert not P.is_wordwise(path)
+        tokenizer = Tokenizer.from_file(path)
+        rows = list(enumerate(ODD))
+        got = {(r.doc_id, r.start): r for r in P.pack_pow2(spark.createDataFrame(rows, "doc_id long, text string"), path).collect()}
+        for doc, text in rows:
+            ids = ids_of(tokenizer, text)
+            assert got[doc, 0].doc_tokens == len(ids) and got[doc, 0].ids_crc32 == crc32(ids[: got[doc, 0].length].tobytes())
+
+
+def test_hot_ids_and_clashing_columns(spark, monkeypatch):
+    monkeypatch.setattr(P, "BUCKETS", 16)
+    rows = [(None, f"words of text {i}") for i in range(300)] + [(1, "same")] * 300
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: P.F.lit(0) for c in ("length", "bucket", "start", "nth", "base")})
+    got = P.pack_pow2(df, PATH).collect()
+    assert sorted(r.sequence_id for r in got) == list(range(len(got))) and {r.doc_id for r in got} == {None, 1}
