@@ -22,19 +22,21 @@ SELECT doc_id, source, size, source_size, target, (whole + CASE WHEN quota > 0 A
   (size * (whole + CASE WHEN quota > 0 AND before + tied / 2.0 <= quota THEN 1 ELSE 0 END))::BIGINT AS taken FROM c
 """,
     "op7_line_dedup": f"""
-WITH s AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM s),
+WITH s AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT rid, doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM s),
 k AS (SELECT *, translate(trim(line, {WS}), '{UPPER}', '{LOWER}') AS key FROM l),
-c AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
-j AS (SELECT k.*, c.key IS NOT NULL AND k.doc_id <> c.keeper AS gone FROM k LEFT JOIN c ON k.key = c.key)
+c AS (SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) + max((doc_id IS NULL)::INT) >= 5),
+j AS (SELECT k.*, c.key IS NOT NULL AND k.doc_id IS DISTINCT FROM c.keeper AS gone FROM k LEFT JOIN c ON k.key = c.key)
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM j GROUP BY doc_id
+FROM j GROUP BY rid, doc_id
 """,
     "op4_preference_format": """
-WITH t AS (SELECT conv_id AS id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i FROM conversations),
+WITH t0 AS (SELECT conv_id, coalesce(conv_id::VARCHAR, 'row ' || row_number() OVER ()) AS id, turn, replace(coalesce(role, ''), '<|', '< |') AS role, replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations),
+t AS (SELECT id, role, text, row_number() OVER (PARTITION BY id ORDER BY turn NULLS FIRST, role, text) AS i FROM t0),
+nx AS (SELECT id, conv_id, lead(id) OVER (ORDER BY conv_id) AS next_id FROM (SELECT DISTINCT id, conv_id FROM t0 WHERE conv_id IS NOT NULL)),
 l AS (SELECT id, count(*) AS n, coalesce(max(i) FILTER (WHERE role = 'assistant'), 0) AS last FROM t GROUP BY id),
-a AS (SELECT t.id - 1 AS before, t.role, t.text FROM t JOIN l ON t.id IS NOT DISTINCT FROM l.id AND t.i = l.last),
+a AS (SELECT nx.id AS before, t.role, t.text FROM t JOIN l ON t.id = l.id AND t.i = l.last JOIN nx ON nx.next_id = t.id),
 c AS (SELECT t.id, 'c' AS side, t.i, t.role, t.text FROM t JOIN l ON t.id IS NOT DISTINCT FROM l.id WHERE l.last = 0 OR t.i <= l.last),
 r AS (SELECT t.id, 'r' AS side, t.i, t.role, t.text FROM t JOIN l ON t.id IS NOT DISTINCT FROM l.id WHERE l.last = 0 OR t.i < l.last
   UNION ALL SELECT l.id, 'r', l.last, a.role, a.text FROM l JOIN a ON l.id = a.before WHERE l.last > 0),
@@ -43,19 +45,13 @@ m AS (SELECT l.id, coalesce(min(p.i) - 1, max(l.n_c)) AS n_prefix FROM (SELECT i
   ON l.id IS NOT DISTINCT FROM p.id GROUP BY l.id),
 s AS (SELECT x.*, m.n_prefix, x.i > m.n_prefix AS rest, '<|' || role || '|>' || chr(10) AS head, text || '<|end|>' || chr(10) AS body FROM (SELECT * FROM c UNION ALL SELECT * FROM r) x JOIN m ON x.id IS NOT DISTINCT FROM m.id),
 o AS (SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY id, side, rest ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos FROM s)
-SELECT m.id AS conv_id, m.n_prefix::BIGINT AS n_prefix,
+SELECT try_cast(m.id AS BIGINT) AS conv_id, m.n_prefix::BIGINT AS n_prefix,
   coalesce(string_agg(head || body, '' ORDER BY i) FILTER (WHERE side = 'c' AND NOT rest), '') AS prompt,
   coalesce(string_agg(head || body, '' ORDER BY i) FILTER (WHERE side = 'c' AND rest), '') AS chosen,
   coalesce(string_agg(head || body, '' ORDER BY i) FILTER (WHERE side = 'r' AND rest), '') AS rejected,
   coalesce(string_agg((pos + length(head)) || ':' || (pos + length(head) + length(body)), ',' ORDER BY i) FILTER (WHERE side = 'c' AND rest AND role = 'assistant'), '') AS chosen_spans,
   coalesce(string_agg((pos + length(head)) || ':' || (pos + length(head) + length(body)), ',' ORDER BY i) FILTER (WHERE side = 'r' AND rest AND role = 'assistant'), '') AS rejected_spans
 FROM m LEFT JOIN o ON m.id IS NOT DISTINCT FROM o.id GROUP BY m.id, m.n_prefix
-""",
-    "op6_token_rollups": r"""
-WITH d AS (SELECT source, lang, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g') AS plain FROM documents),
-k AS (SELECT source, lang, len(regexp_extract_all(plain, '[^\x20\x09-\x0D]+'))::BIGINT AS words, strlen(plain)::BIGINT AS bytes FROM d WHERE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) >= 5),
-u AS (SELECT source, lang, 'words-1' AS tokenizer, words AS n FROM k UNION ALL SELECT source, lang, 'utf8-bytes-1', bytes FROM k)
-SELECT source, lang, tokenizer, count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_tokens FROM u GROUP BY ALL
 """,
     "op3_quality_ledger": f"""
 WITH w0 AS (SELECT doc_id, coalesce(text, '') AS text, {WORDS} AS ws FROM documents),
@@ -72,7 +68,10 @@ m AS (SELECT w0.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_c
   FROM w0 LEFT JOIN a USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN f USING (doc_id) LEFT JOIN l USING (doc_id)),
 b AS (SELECT *, ((n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT + 4 * (100 * n_symbols > 5 * word_chars)::BIGINT + 8 * (100 * n_dup_lines > 40 * n_lines)::BIGINT
   + 16 * (word_chars < 2 * n_words OR word_chars > 15 * n_words)::BIGINT + 32 * (100 * n_plain < 60 * n_words)::BIGINT + 64 * (100 * top_word > 30 * n_words)::BIGINT + 128 * (100 * n_runs > 20 * n_words)::BIGINT + 256 * (100 * n_pipes > 10 * n_words)::BIGINT)::BIGINT AS failed_bits FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed_bits & 3) <> 0 AS base_failed, failed_bits = 0 AS kept, failed_bits FROM b
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed_bits & 3) <> 0 AS base_failed, failed_bits = 0 AS kept, failed_bits, sole_rule,
+  CASE WHEN sole_rule IS NOT NULL THEN count(*) OVER (PARTITION BY sole_rule) END AS sole_rule_rejects
+FROM (SELECT *, CASE failed_bits WHEN 1 THEN 'few_words' WHEN 2 THEN 'repeated_windows' WHEN 4 THEN 'symbols' WHEN 8 THEN 'duplicate_lines' WHEN 16 THEN 'word_length'
+  WHEN 32 THEN 'not_words' WHEN 64 THEN 'dominant_word' WHEN 128 THEN 'stuttering' WHEN 256 THEN 'table_pipes' END AS sole_rule FROM b)
 """,
     "op9_fm_substring": f"""
 WITH w0 AS (SELECT doc_id, {WORDS} AS ws FROM documents),

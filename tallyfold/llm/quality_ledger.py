@@ -1,10 +1,11 @@
 """Quality rules as a bitmask ledger.
 
-``measure`` reads each whole text once and stores measurements; ``ledger`` evaluates every rule once
-over the measurements and stores the failures as bits of one long; ``apply_policy`` then keeps or
-rejects by a versioned mask (no text is read again), and ``ablations`` tells, for each rule of a
-policy, how many documents it rejects, how many only it rejects, and how many would be kept without
-it, from one aggregation over the distinct bit patterns (at most 2^rules groups, partial sums first).
+``measure`` reads each whole text once and gives measurements; ``ledger`` evaluates every rule once over the
+measurements and adds the failures as bits of one long; ``store`` writes both as a Parquet table in the shared
+folder, with the rules it was made by, and ``load`` reads it back (another set of rules is an error).  From the stored
+ledger ``apply_policy`` keeps or rejects by a versioned mask and ``ablations`` tells, for each rule of a
+policy, how many documents it rejects, how many only it rejects, and how many would be kept without it, from one
+aggregation over the distinct bit patterns (at most 2^rules groups, partial sums first).  Neither reads a text.
 
 All of it is row-local but for the ablation sums, so nothing can be skewed but one very long text,
 which is measured with numpy in memory proportional to that text.
@@ -16,18 +17,19 @@ are carried in ``row``.
 
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WS_BYTES, mix, n_chars, row_of, texts_of, word_hashes
 
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_plain_words", "top_word", "n_runs", "n_pipes", "n_ended_lines", "n_distinct")
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_plain_words", "top_word", "n_runs", "n_pipes")
 
 #: name -> condition under which a document fails; the position is the bit.
 RULES: tuple[tuple[str, str], ...] = (
@@ -70,9 +72,8 @@ def measure_text(text: bytes) -> tuple[int, ...]:
     symbols = len(text) - len(text.translate(None, _SYMBOLS))
     chars = n_chars(text.translate(None, WS_BYTES))
     dup = len(lines) - len(set(lines))
-    ended = sum(x.rstrip(WS_BYTES)[-1:] in b".!?:;\"'" for x in lines)
     if not n:
-        return (0, 0, symbols, dup, 0, len(lines), 0, 0, 0, 0, ended, 0)
+        return (0, 0, symbols, dup, 0, len(lines), 0, 0, 0, 0)
     h = word_hashes(words)
     repeat = 0
     if n >= 4:
@@ -90,7 +91,7 @@ def measure_text(text: bytes) -> tuple[int, ...]:
     plain = sum(k for x, k in counts.items() if x.strip(b".,;:!?()\"'-").isalpha() or not x.isascii())
     runs = int(np.count_nonzero(h[1:] == h[:-1]))
     pipes = counts.get(b"|", 0)
-    return (n, chars, symbols, dup, repeat, len(lines), plain, max(counts.values()), runs, pipes, ended, len(counts))
+    return (n, chars, symbols, dup, repeat, len(lines), plain, max(counts.values()), runs, pipes)
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,6 +113,22 @@ def ledger(measured: DataFrame) -> DataFrame:
     return measured.withColumn("failed_bits", bits)
 
 
+def rules_version() -> str:
+    """A digest of the rules: bits of another version mean something else."""
+    return hashlib.sha256(repr((MEASURES, RULES)).encode()).hexdigest()[:16]
+
+
+def store(entries: DataFrame, path: str) -> DataFrame:
+    """Write a ledger under its rules' version and return it as read back; texts are read for this only."""
+    entries.write.mode("overwrite").parquet(f"{path}/rules={rules_version()}")
+    return load(entries.sparkSession, path)
+
+
+def load(spark: SparkSession, path: str) -> DataFrame:
+    """The ledger of the present rules; there is none if it was written by others."""
+    return spark.read.parquet(f"{path}/rules={rules_version()}")
+
+
 def apply_policy(entries: DataFrame, policy: Policy = STRICT) -> DataFrame:
     """Adds ``kept`` and ``policy_version``."""
     return entries.withColumns({"kept": F.col("failed_bits").bitwiseAND(F.lit(policy.mask)) == 0, "policy_version": F.lit(policy.version)})
@@ -129,3 +146,12 @@ def ablations(entries: DataFrame, policy: Policy = STRICT) -> DataFrame:
         F.sum(F.when(F.col("bits") == 0, F.col("n")).otherwise(zero)).alias("kept"),
         F.sum(F.when(F.col("bits").bitwiseAND(F.bitwise_not("bit")) == 0, F.col("n")).otherwise(zero)).alias("kept_without_it"),
     )
+
+
+def sole_failures(entries: DataFrame, policy: Policy = STRICT) -> DataFrame:
+    """Adds ``sole_rule``, the only rule of the policy that a document fails (null if none or several), and
+    ``sole_rule_rejects``, how many documents fail that rule only: what dropping it would bring back."""
+    bits = F.col("failed_bits").bitwiseAND(F.lit(policy.mask))
+    name = F.element_at(F.create_map(*[x for r in policy.rules for x in (F.lit(BIT[r]).cast("long"), F.lit(r))]), bits)
+    table = ablations(entries, policy).select(F.col("rule").alias("sole_rule"), F.col("failed_only_it").alias("sole_rule_rejects"))
+    return entries.withColumn("sole_rule", name).join(F.broadcast(table), "sole_rule", "left")  # a row a rule

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_digest, fm_substring, html_blstm, line_dedup, pow2_packing, preference_format, quality_ledger, simhash_vptree, source_mix, token_rollups
-from .common import read, shared_dir
+from . import exact_digest, fm_substring, html_blstm, line_dedup, pow2_packing, preference_format, quality_ledger, simhash_vptree, source_mix, token_counts, token_rollups
+from .common import cut, read, shared_dir
 
 
 def tokenizer_path(name: str) -> str:
@@ -27,9 +27,13 @@ def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = quality_ledger.ledger(quality_ledger.measure(read(spark, sf_dir, "documents"), carry=["doc_id"]))
+    """The ledger is written once; both policies and the ablations come from what was written."""
+    made = quality_ledger.ledger(quality_ledger.measure(read(spark, sf_dir, "documents"), carry=["doc_id"]))
+    entries = quality_ledger.store(made, shared_dir(spark, "ledger"))
     judged = quality_ledger.apply_policy(quality_ledger.apply_policy(entries, quality_ledger.BASE).withColumnRenamed("kept", "base_kept"), quality_ledger.STRICT)
-    return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", (~F.col("base_kept")).alias("base_failed"), "kept", "failed_bits")
+    judged = quality_ledger.sole_failures(judged)
+    base_failed = (~F.col("base_kept")).alias("base_failed")
+    return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed, "kept", "failed_bits", "sole_rule", "sole_rule_rejects")
 
 
 def op4_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,19 +48,17 @@ def op5_exact_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three batches: all documents come in; all are counted anew without markup symbols; those of under
-    five words go.  The second is sent twice and counts once."""
-    docs = read(spark, sf_dir, "documents")
-    plain = F.regexp_replace("text", r"[#*$%&|<>]", "")
+    five words go.  The second is sent twice and counts once.  Texts are read once, for all three."""
+    docs = read(spark, sf_dir, "documents").withColumn("n_words", source_mix.word_count(F.col("text")))
+    texts = {"raw": F.col("text"), "plain": F.regexp_replace("text", r"[#*$%&|<>]", "")}
+    files = {name: tokenizer_path(f"{name}.json") for name in ("word_bpe_49k", "byte_bpe_50k")}
+    counts = cut(token_counts.count_tokens(docs, files, texts, ["source", "lang", "n_words"]).select("row.*", "tokenizer", "raw", "plain"))
     store = token_rollups.RollupStore(spark, shared_dir(spark, "rollups"))
-    store.apply("insert", token_rollups.counted(docs, "new_tokens").withColumn("old_tokens", F.lit(None).cast("long")))
-    both = docs.select("doc_id", "source", "lang", "text", plain.alias("plain"))
-    counters = token_rollups.COUNTERS
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("tokenizer"), f(F.col("text")).alias("old_tokens"), f(F.col("plain")).alias("new_tokens")) for k, f in counters.items()]))
-    revised = both.select("source", "lang", each.alias("c")).select("source", "lang", "c.*")
+    none, was, now = F.lit(None).cast("long"), "old_tokens", "new_tokens"
+    store.apply("insert", counts.withColumns({was: none, now: F.col("raw")}))
     for _ in range(2):
-        store.apply("recount", revised)
-    short = docs.where(source_mix.word_count(F.col("text")) < 5)
-    store.apply("short", token_rollups.counted(short, "old_tokens", plain).withColumn("new_tokens", F.lit(None).cast("long")))
+        store.apply("recount", counts.withColumns({was: F.col("raw"), now: F.col("plain")}))
+    store.apply("short", counts.where("n_words < 5").withColumns({was: F.col("plain"), now: none}))
     return store.totals()
 
 

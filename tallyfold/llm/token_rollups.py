@@ -7,7 +7,10 @@ task), written as its own Parquet folder, and counts only once its commit marker
 is applied again finds its marker and changes nothing, and one that was interrupted is simply
 overwritten.  ``compact`` folds committed batches into one base batch.
 
-A store is a folder that driver and executors share; one writer at a time.
+Token counts come from ``token_counts``: real tokenizers by their files, each under a version name.  A new version of a
+tokenizer is a key of its own; a revised count of the same version is a pair of old and new numbers.
+
+A store is a folder that driver and executors share; its writers take a lock.
 
 Defined cases: a null source, language or version is a key of its own; a null count counts as 0 tokens; an
 event with both counts null changes nothing; a key whose documents and tokens are all taken away
@@ -17,25 +20,14 @@ other columns of events are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .source_mix import word_count
+from ..plans.store import Folder
 
 KEYS = ("source", "lang", "tokenizer")
 SCHEMA = "source string, lang string, tokenizer string, n_docs long, n_tokens long"
 
-#: Tokenizer versions that are plain expressions over the text.
-COUNTERS = {"words-1": word_count, "utf8-bytes-1": lambda text: F.coalesce(F.octet_length(text), F.lit(0)).cast("long")}
-
-
-def counted(docs: DataFrame, alias: str, text: Column | None = None, counters: dict = COUNTERS) -> DataFrame:
-    """``doc_id source lang tokenizer <alias>``: the count of each document under each tokenizer version."""
-    text = F.col("text") if text is None else text
-    each = F.explode(F.array(*[F.struct(F.lit(k).alias("tokenizer"), f(text).alias(alias)) for k, f in counters.items()]))
-    return docs.select("doc_id", "source", "lang", each.alias("c")).select("doc_id", "source", "lang", "c.*")
-
-
 def deltas(events: DataFrame) -> DataFrame:
     """Events with ``old_tokens`` (null: an insert) and ``new_tokens`` (null: a delete) -> signed sums per key."""
     old, new = F.col("old_tokens"), F.col("new_tokens")
@@ -49,10 +41,8 @@ class RollupStore:
     """Committed batches of signed sums under one shared folder."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.spark, self.root, self.folder = spark, root.rstrip("/"), Folder(spark, root)
+        self._path, self._fs = self.folder._Path, self.folder._fs
 
     def _marker(self, batch: str):
         return self._path(f"{self.root}/commits/{batch}")
@@ -65,11 +55,12 @@ class RollupStore:
         """Commit a batch once; False if it was there already."""
         if not batch.replace("-", "").replace("_", "").isalnum():
             raise ValueError("a batch is named by letters, digits, - and _")
-        if self._fs.exists(self._marker(batch)):
-            return False
-        deltas(events).write.mode("overwrite").parquet(f"{self.root}/deltas/{batch}")
-        self._fs.createNewFile(self._marker(batch))
-        return True
+        with self.folder.lock():
+            if self._fs.exists(self._marker(batch)):
+                return False
+            deltas(events).write.mode("overwrite").parquet(f"{self.root}/deltas/{batch}")
+            self._fs.createNewFile(self._marker(batch))
+            return True
 
     def totals(self) -> DataFrame:
         """``source lang tokenizer n_docs n_tokens`` over all committed batches."""
