@@ -12,16 +12,20 @@ Plan:
 2. The windows of an anchor's occurrence form one fragment of at most 32 words.  Equal fragments
    are merged to their first position before and after the shuffle, so copies of a passage shuffle
    little and are never paired.  An anchor found over ``HOT`` times gives single windows as
-   fragments, keyed by the whole window, so that no key gathers the surroundings of a common phrase.
-3. Fragments meet in shards by anchor.  A shard builds an FM-index (Burrows-Wheeler transform in a
-   wavelet tree of packed bits with popcount ranks) over its distinct fragments, streams them
-   through it, and finds each window's interval by backward search; a window is repeated if its interval
-   holds an earlier position.  The threshold on the matching statistics is the window length.
+   fragments, keyed by the whole window, so that no key gathers the surroundings of a common phrase; such
+   windows are therefore told apart by a 128-bit hash of the window and not by an index.
+3. Fragments meet in shards by anchor.  A shard builds a compressed FM-index over its distinct fragments:
+   the Burrows-Wheeler transform in a wavelet tree of packed bits with popcount ranks, and every ``SAMPLE``-th
+   entry of the suffix array; the others are found by walking back.  The fragments are streamed through it:
+   backward search gives the matching statistics of every word, the longest run of words ending there that the
+   shard holds a second time, up to the threshold of ``WINDOW``; where the threshold is reached, the
+   earliest place in the interval decides whether the window starts earlier too.
 4. Windows that are the first of their kind go back to their document; all other windows of counted
-   anchors are removed in a last pass over the text.
+   anchors are removed in a last pass over the text, which reports the removed intervals.
 
 A shard is cut into indexes of about ``INDEX_WORDS`` words at key boundaries; a key holds at most
-``HOT`` fragments, so an index has a bounded size whatever the corpus holds.
+``HOT`` fragments, so an index has a bounded size whatever the corpus holds.  A row is known by its document id and a
+64-bit hash of its text together, so two documents are never mixed up.
 
 Defined cases: null and empty texts have no words and an empty rest; null ids come before all others
 and form one document; rows that share an id and a position do not count against each other (a
@@ -40,7 +44,7 @@ from pyspark.sql import functions as F
 
 from .common import WS_BYTES, mix, texts_of
 
-WINDOW, GRAM, HOT, INDEX_WORDS = 20, 8, 20_000, 200_000
+WINDOW, GRAM, HOT, INDEX_WORDS, SAMPLE = 20, 8, 20_000, 200_000, 8
 _NO_ID = -(1 << 63)
 
 
@@ -147,9 +151,12 @@ class BitVector:
         mask = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
         return self.before[w] + np.bitwise_count(self.words[w] & mask)
 
+    def get(self, i: np.ndarray) -> np.ndarray:
+        return (self.words[i >> 6] >> (i & 63).astype(np.uint64) & np.uint64(1)).astype(bool)
+
 
 class WaveletTree:
-    """Ranks of symbols in a sequence, one bit vector per bit of a symbol (levels as one matrix)."""
+    """Ranks and symbols of a sequence, one bit vector per bit of a symbol (levels as one matrix)."""
 
     def __init__(self, symbols: np.ndarray, most: int):
         self.levels: list[tuple[int, BitVector, int]] = []
@@ -169,6 +176,16 @@ class WaveletTree:
             hi = np.where(one, zeros + h1, hi - h1)
         return lo - start, hi - start
 
+    def at(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbol at position ``i`` and how many of it stand before."""
+        symbol, start = np.zeros_like(i), np.zeros_like(i)
+        for b, bits, zeros in self.levels:
+            one = bits.get(i)
+            s1, i1 = bits.ones(start), bits.ones(i)
+            symbol |= one.astype(i.dtype) << b
+            start, i = np.where(one, zeros + s1, start - s1), np.where(one, zeros + i1, i - i1)
+        return symbol, i - start
+
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
     """Suffix array by prefix doubling; every suffix must differ from all others in a few steps."""
@@ -191,59 +208,86 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
 
 
 class FmIndex:
-    """An FM-index over fragments given as one array of symbols (from 1) and fragment lengths."""
+    """An FM-index over fragments given as one array of symbols (from 1) and fragment lengths.
+
+    The suffix array is only a step of its making: kept are the transform, and the array's entries for every
+    ``sample``-th place and for the fragments' first symbols (a walk back never leaves its fragment).
+    """
 
-    def __init__(self, symbols: np.ndarray, lengths: np.ndarray):
+    def __init__(self, symbols: np.ndarray, lengths: np.ndarray, sample: int = SAMPLE):
         k, n = len(lengths), int(symbols.max(initial=0))
         ends = np.cumsum(lengths)
         text = np.insert(symbols + k - 1, ends, np.arange(k))  # a separator of its own ends each fragment
-        self.sa = suffix_array(text)
-        bwt = text[self.sa - 1]
+        sa = suffix_array(text)
+        self.size = len(sa)
+        bwt = text[sa - 1]
         bwt = np.where(bwt < k, 0, bwt - k + 1)
         self.tree = WaveletTree(bwt, n)
         counts = np.bincount(bwt, minlength=n + 2)
         counts[0] = k
         self.before = np.concatenate(([0], np.cumsum(counts)))
+        kept = (bwt == 0) | (sa % sample == 0)
+        self.marked, self.places = BitVector(kept), sa[kept].astype(np.int32)
 
     def extend(self, symbol: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One backward step: the intervals of ``symbol`` followed by what the intervals stand for."""
         a, b = self.tree.ranks(symbol, lo, hi)
         return self.before[symbol] + a, self.before[symbol] + b
 
+    def locate(self, ranks: np.ndarray) -> np.ndarray:
+        """Places in the text (with its separators) of the suffixes at ``ranks``."""
+        out, todo, at, steps = np.empty(len(ranks), np.int64), np.arange(len(ranks)), ranks.astype(np.int64), 0
+        while len(todo):
+            here = self.marked.get(at)
+            out[todo[here]] = self.places[self.marked.ones(at[here])] + steps
+            todo, at = todo[~here], at[~here]
+            symbol, nth = self.tree.at(at)
+            at, steps = self.before[symbol] + nth, steps + 1
+        return out
+
+    def matching_statistics(self, symbols: np.ndarray, lengths: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For every word of streamed fragments: the longest run ending there, up to ``threshold``, that the index
+        holds at least twice, and the interval of that run (of use where the threshold is reached)."""
+        inside = np.arange(len(symbols)) - np.repeat(np.cumsum(lengths) - lengths, lengths)  # words before it in its fragment
+        best = np.zeros(len(symbols), np.int64)
+        lo, hi = np.zeros(len(symbols), np.int64), np.full(len(symbols), self.size, np.int64)
+        alive = np.arange(len(symbols))
+        for n in range(threshold):
+            alive = alive[inside[alive] >= n]
+            a, b = self.extend(symbols[alive - n], lo[alive], hi[alive])
+            twice = b - a > 1
+            alive = alive[twice]
+            lo[alive], hi[alive], best[alive] = a[twice], b[twice], n + 1
+            if not len(alive):
+                break
+        return best, lo, hi
+
 
 def repeated_windows(symbols: np.ndarray, lengths: np.ndarray, position: np.ndarray, window: int = WINDOW) -> np.ndarray:
     """For each window start (fragment by fragment): does an equal window have a smaller position?
 
-    ``position`` is given for every symbol: a number that orders the places of the corpus.
+    ``position`` is given for every fragment: a number that orders the places of the corpus, one a word.
     """
     index = FmIndex(symbols, lengths)
-    starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    n_windows = np.maximum(lengths - window + 1, 0)
-    first = np.repeat(starts, n_windows) + (np.arange(n_windows.sum()) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows))
-    lo, hi = np.zeros(len(first), np.int64), np.full(len(first), len(index.sa), np.int64)
-    alive = np.arange(len(first))
-    for back in range(window - 1, -1, -1):
-        lo[alive], hi[alive] = index.extend(symbols[first[alive] + back], lo[alive], hi[alive])
-        alive = alive[hi[alive] - lo[alive] > 1]  # an interval of one is the window itself
-        if not len(alive):
-            break
-    out = np.zeros(len(first), bool)
-    if len(alive):
-        shift = np.repeat(np.arange(len(lengths)), lengths + 1)  # separators stand between
-        place = np.full(len(index.sa), np.iinfo(np.int64).max)
-        inner = np.arange(len(symbols)) + np.repeat(np.arange(len(lengths)), lengths)
-        place[inner] = position
-        by_rank = place[index.sa]
-        del shift
-        l, which = np.unique(lo[alive], return_inverse=True)  # intervals of equal length are disjoint
-        r = np.zeros(len(l), np.int64)
-        r[which] = hi[alive]
-        cuts = np.stack((l, np.minimum(r, len(by_rank) - 1)), 1).ravel()
-        lows = np.minimum.reduceat(by_rank, cuts)[::2]
-        tail = r == len(by_rank)
-        if tail.any():
-            lows[tail] = np.minimum(lows[tail], by_rank[-1])
-        out[alive] = lows[which] < position[first[alive]]
+    best, lo, hi = index.matching_statistics(symbols, lengths, window)
+    first = np.cumsum(lengths) - lengths
+    offset = np.arange(len(symbols)) - np.repeat(first, lengths)
+    ends = np.flatnonzero(offset >= window - 1)  # one a window, in order
+    out = np.zeros(len(ends), bool)
+    hit = np.flatnonzero(best[ends] >= window)
+    if len(hit):
+        at = ends[hit]
+        left, which = np.unique(lo[at], return_inverse=True)  # intervals of runs of one length are disjoint
+        right = np.zeros(len(left), np.int64)
+        right[which] = hi[at]
+        size = right - left
+        cuts = np.cumsum(size) - size
+        text_at = index.locate(np.repeat(left - cuts, size) + np.arange(size.sum()))
+        starts = first + np.arange(len(lengths))  # separators stand between
+        of = np.searchsorted(starts, text_at, "right") - 1
+        earliest = np.minimum.reduceat(position[of] + text_at - starts[of], cuts)
+        own = np.searchsorted(first, at, "right") - 1
+        out[hit] = earliest[which] < position[own] + offset[at] - (window - 1)
     return out
 
 
@@ -254,7 +298,8 @@ def _anchor_rows(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, h, p, _, _ = anchor_table(texts_of(batch, 1), window, gram)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(0).take(pa.array(doc)), pa.array(p.astype(np.int32))], ["h", "rid", "p"])
+            row = pa.array(doc)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(0).take(row), batch.column(2).take(row), pa.array(p.astype(np.int32))], ["h", "rid", "doc", "p"])
 
     return run
 
@@ -265,7 +310,8 @@ _FRAGMENT = pa.schema([("key", pa.int64()), ("fh", pa.int64()), ("doc", pa.int64
 def _fragments(window: int, gram: int):
     """(row, doc, rid, text, spots) -> fragments of the counted anchors.
 
-    Equal fragments of a batch are merged to their first position, and a text is sent once per task.
+    Equal fragments of a task are merged to their first position (a bounded number at a time), and a text is sent
+    once per task.
     """
 
     def send(merged: dict, texts: dict) -> pa.RecordBatch:
@@ -277,10 +323,10 @@ def _fragments(window: int, gram: int):
 
         digest = xxhash.xxh3_64_intdigest
         sent: set[int] = set()
+        merged: dict[tuple[int, int], tuple] = {}
+        texts: dict[tuple[int, int], bytes] = {}
         for batch in batches:
             docs, rids, spots = batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(4).to_pylist()
-            merged: dict[tuple[int, int], tuple] = {}
-            texts: dict[tuple[int, int], bytes] = {}
             use = [i for i, s in enumerate(spots) if s]
             all_texts = texts_of(batch, 3)
             own = [all_texts[i] for i in use]
@@ -307,15 +353,15 @@ def _fragments(window: int, gram: int):
                 if len(merged) >= 50_000:
                     yield send(merged, texts)
                     merged, texts = {}, {}
-            if merged:
-                yield send(merged, texts)
+        if merged:
+            yield send(merged, texts)
 
     return run
 
 
 def _search(window: int):
     """Fragments sorted by key, hash and position -> of each distinct one the windows that are the first of their kind."""
-    schema = pa.schema([("rid", pa.int64()), ("s0", pa.int32()), ("firsts", pa.int32())])
+    schema = pa.schema([("doc", pa.int64()), ("rid", pa.int64()), ("s0", pa.int32()), ("firsts", pa.int32())])
 
     def solve(docs: list, s0s: list, rids: list, texts: list, single: list[bool]) -> pa.RecordBatch:
         masks = [0] * len(docs)
@@ -328,16 +374,14 @@ def _search(window: int):
             own = [texts[i].split() for i in many]
             symbols = np.array([known.setdefault(w, len(known) + 1) for f in own for w in f], np.int64)
             lengths = np.fromiter(map(len, own), np.int64, len(own))
-            ids = np.array([docs[i] for i in many], np.int64)
-            _, dense = np.unique(ids, return_inverse=True)
-            offset = np.arange(len(symbols)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            position = np.repeat(dense.astype(np.int64) << 32, lengths) + np.repeat(np.array([s0s[i] for i in many], np.int64), lengths) + offset
+            _, dense = np.unique(np.array([docs[i] for i in many], np.int64), return_inverse=True)
+            position = (dense.astype(np.int64) << 32) + np.array([s0s[i] for i in many], np.int64)
             twice = repeated_windows(symbols, lengths, position, window)
             n = lengths - window + 1
             bit = np.int64(1) << (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
             for i, m in zip(many, np.add.reduceat(np.where(twice, 0, bit), np.cumsum(n) - n).tolist(), strict=True):
                 masks[i] = m
-        return pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(s0s, pa.int32()), pa.array(masks, pa.int32())], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(rids, pa.int64()), pa.array(s0s, pa.int32()), pa.array(masks, pa.int32())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = [[], [], [], [], []]  # key doc s0 rid text
@@ -367,16 +411,19 @@ def _search(window: int):
     return run
 
 
+_SPANS = pa.list_(pa.struct([("from", pa.int32()), ("to", pa.int32())]))
+
+
 def _remove(window: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, total, gone = [], [], []
+            out, total, gone, spans = [], [], [], []
             texts, every = texts_of(batch, 3), batch.column(4).to_pylist()
             table = per_text(len(texts), anchor_table([t if s else b"" for t, s in zip(texts, every, strict=True)], window, gram))
             for text, spots, firsts, (_, p, first, last) in zip(texts, every, batch.column(5).to_pylist(), table, strict=True):
                 words = text.split()
                 n = len(words)
-                removed = 0
+                removed, runs = 0, []
                 if spots:
                     hit = np.isin(p, np.array([s >> 1 for s in spots], np.int64))
                     change = np.zeros(n + 1, np.int64)
@@ -396,34 +443,42 @@ def _remove(window: int, gram: int):
                     covered = np.cumsum(change)[:n] > 0
                     removed = int(covered.sum())
                     if removed:
+                        edge = np.flatnonzero(np.diff(np.concatenate(([0], covered.astype(np.int8), [0])))).tolist()
+                        runs = [{"from": a, "to": z} for a, z in zip(edge[::2], edge[1::2], strict=True)]
                         words = [words[i] for i in np.flatnonzero(~covered).tolist()]
                 out.append(b" ".join(words))
                 total.append(n)
                 gone.append(removed)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()).cast(pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64())], ["row", "text", "n_words", "n_removed"])
+                spans.append(runs)
+            columns = [batch.column(0), pa.array(out, pa.binary()).cast(pa.string()), pa.array(total, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, _SPANS)]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "text", "n_words", "n_removed", "removed"])
 
     return run
 
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, carry: list[str] | None = None) -> DataFrame:
-    """``row text n_words n_removed`` per input row; ``text`` holds the kept words joined by one space."""
+    """``row text n_words n_removed removed`` per input row; ``text`` holds the kept words joined by one space and
+    ``removed`` the intervals of words, from the first on and before the last, that are gone."""
     if not 1 <= gram < window <= gram + 30:
         raise ValueError("a window must be longer than an anchor, by 30 words at most")
     carry = [c for c in docs.columns if c != text_col] if carry is None else carry
     doc = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NO_ID))
     base = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), doc.alias("doc"), F.col(f"`{text_col}`").alias("text"))
-    base = base.withColumn("rid", F.xxhash64("doc", "text"))
-    spots = base.select("rid", "text").mapInArrow(_anchor_rows(window, gram), "h long, rid long, p int")
+    base = base.withColumn("rid", F.xxhash64("text"))
+    spots = base.select("rid", "text", "doc").mapInArrow(_anchor_rows(window, gram), "h long, rid long, doc long, p int")
     # joined on ~h, so that the counts are shuffled apart from their aggregation and AQE can split a hot anchor
     found = spots.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.bitwise_not("h").alias("j"), "n")
-    kept = spots.select(F.bitwise_not("h").alias("j"), "rid", "p").join(found, "j").select("rid", (F.col("p") * 2 + F.when(F.col("n") > HOT, 1).otherwise(0)).cast("int").alias("spot"))
-    by_row = kept.groupBy(F.col("rid").alias("of")).agg(F.collect_set("spot").alias("spots"))
+    spot = (F.col("p") * 2 + F.when(F.col("n") > HOT, 1).otherwise(0)).cast("int").alias("spot")
+    kept = spots.select(F.bitwise_not("h").alias("j"), "rid", "doc", "p").join(found, "j").select("rid", "doc", spot)
+    by_row = kept.groupBy(F.col("rid").alias("of"), F.col("doc").alias("of_doc")).agg(F.collect_set("spot").alias("spots"))
     # the two readers of this join take the same columns, so the texts are shuffled once
-    known = base.join(by_row, base["rid"] == by_row["of"], "left").select("row", "doc", "rid", "text", "spots")
+    same = lambda right: (base["rid"] == right["of"]) & (base["doc"] == right["of_doc"])
+    known = base.join(by_row, same(by_row), "left").select("row", "doc", "rid", "text", "spots")
     pieces = known.mapInArrow(_fragments(window, gram), "key long, fh long, doc long, s0 int, rid long, text binary")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = pieces.repartition(n, "key").sortWithinPartitions("key", "fh", "doc", "s0", "rid")
-    firsts = placed.mapInArrow(_search(window), "rid long, s0 int, firsts int").groupBy(F.col("rid").alias("of")).agg(F.collect_list(F.struct("s0", "firsts")).alias("firsts"))
-    joined = known.join(firsts, known["rid"] == firsts["of"], "left").select("row", "doc", "rid", "text", "spots", "firsts")
+    found_first = placed.mapInArrow(_search(window), "doc long, rid long, s0 int, firsts int")
+    firsts = found_first.groupBy(F.col("rid").alias("of"), F.col("doc").alias("of_doc")).agg(F.collect_list(F.struct("s0", "firsts")).alias("firsts"))
+    joined = known.join(firsts, (known["rid"] == firsts["of"]) & (known["doc"] == firsts["of_doc"]), "left").select("row", "doc", "rid", "text", "spots", "firsts")
     kind = base.schema["row"].dataType.simpleString()
-    return joined.mapInArrow(_remove(window, gram), f"row {kind}, text string, n_words long, n_removed long")
+    return joined.mapInArrow(_remove(window, gram), f"row {kind}, text string, n_words long, n_removed long, removed array<struct<from:int,to:int>>")

@@ -21,7 +21,7 @@ from .pow2_packing import CACHE_WORDS, TextIds, WordIds, is_wordwise
 _PIECES = re.compile(rb"[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+")
 _SPACES = re.compile(rb"[ \t\n\x0b\x0c\r]*\Z")
 #: White space of Unicode beyond ASCII's, and the separators 1C to 1F: a run of it may reach into the next piece.
-_WIDE = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
+_WIDE = re.compile("[" + "".join(map(chr, (*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
 
 
 class PieceCounts(dict):

@@ -39,13 +39,57 @@ def test_index_counts():
     parts = [x[e - n : e].tolist() for e, n in zip(ends, lengths, strict=True)]
     for _ in range(200):
         p = rng.integers(1, 5, rng.integers(1, 6)).tolist()
-        lo, hi = np.array([0]), np.array([len(index.sa)])
+        lo, hi = np.array([0]), np.array([index.size])
         for c in reversed(p):
             lo, hi = index.extend(np.array([c]), lo, hi)
         want = sum(f[i : i + len(p)] == p for f in parts for i in range(len(f)))
         assert hi[0] - lo[0] == want
 
 
+def test_places_are_found_from_samples():
+    rng = np.random.default_rng(2)
+    lengths = rng.integers(1, 40, 150)
+    x = rng.integers(1, 9, lengths.sum())
+    text = np.insert(x + len(lengths) - 1, np.cumsum(lengths), np.arange(len(lengths)))
+    want = S.suffix_array(text)
+    for sample in (1, 8, 1000):
+        index = S.FmIndex(x, lengths, sample)
+        ranks = np.arange(len(lengths), index.size)  # separators have no place of their own
+        assert index.locate(ranks).tolist() == want[ranks].tolist()
+        assert sample == 1 or len(index.places) < index.size / 2
+
+
+def test_matching_statistics():
+    """Streamed fragments against an index over others."""
+    rng = np.random.default_rng(4)
+    lengths = rng.integers(2, 30, 60)
+    x = rng.integers(1, 4, lengths.sum())
+    index = S.FmIndex(x, lengths)
+    held = [x[e - n : e].tolist() for e, n in zip(np.cumsum(lengths), lengths, strict=True)]
+    asked = rng.integers(3, 25, 20)
+    y = rng.integers(1, 4, asked.sum())
+    best, lo, hi = index.matching_statistics(y, asked, 9)
+    times = lambda p: sum(f[i : i + len(p)] == p for f in held for i in range(len(f)))
+    at = 0
+    for n in asked.tolist():
+        f = y[at : at + n].tolist()
+        for e in range(n):
+            want = max([k for k in range(1, min(9, e + 1) + 1) if times(f[e + 1 - k : e + 1]) > 1], default=0)
+            assert best[at + e] == want
+            if want:
+                assert hi[at + e] - lo[at + e] == times(f[e + 1 - want : e + 1])
+        at += n
+
+
+def test_intervals_and_clashing_columns(spark):
+    common = " ".join(f"c{i}" for i in range(25))
+    rows = [(1, f"a b {common} x"), (2, f"{common} y y {common}"), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumns({c: S.F.lit(c) for c in ("row", "doc", "rid", "spots", "firsts", "key", "h", "removed", "n_words")})
+    got = {r.row.doc_id: r for r in S.dedup_substrings(df).collect()}
+    assert [[(x["from"], x["to"]) for x in got[i].removed] for i in (1, 2, 3)] == [[], [(0, 25), (27, 52)], []]
+    assert got[2].text == "y y" and got[2].row.n_words == "n_words"
+
+
 def test_anchors(monkeypatch):
     rng = np.random.default_rng(3)
     texts = [b"", b" \n", b"a b", *[" ".join(f"w{i}" for i in rng.integers(0, 30, n)).encode() for n in (19, 20, 21, 300, 5)], "é\x0bÄ x\x1fy ".encode() * 40, b"\tz " * 25]
