@@ -23,9 +23,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def process_cache(name: str) -> dict:
-    """A dictionary that lives as long as the Python worker process, whichever task uses it."""
-    holder = sys.modules.setdefault("_tallyfold_process_cache", types.ModuleType("_tallyfold_process_cache"))
-    return holder.__dict__.setdefault(name, {})
+    """A dictionary that lives in the Python worker process until another operator asks for one of another name."""
+    holder = sys.modules.setdefault("_tallyfold_process_cache", types.ModuleType("_tallyfold_process_cache")).__dict__
+    if holder.get("_name") != name:
+        for key in [k for k in holder if not k.startswith("__")]:
+            del holder[key]
+        holder["_name"], holder["_cache"] = name, {}
+    return holder["_cache"]
 
 
 def texts_of(batch: pa.RecordBatch, i: int) -> list[bytes]:

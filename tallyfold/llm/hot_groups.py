@@ -44,7 +44,7 @@ def first_cells(members: DataFrame, key: str, id_: str, bound: int) -> DataFrame
 
 def rest_cells(members: DataFrame, key: str, id_: str, root: str, bound: int) -> DataFrame:
     """``cell role`` in place of ``key`` for keys whose rows are not all of one class (``root``); two rows of a cell are to
-    be compared if one of them has role 1."""
+    be compared if one of them has role 1.  A row of the rest is in one cell with both roles."""
     others = [c for c in members.columns if c != key]
     per = members.groupBy(key, root).agg(F.count(F.lit(1)).alias("_n"))
     sums = per.groupBy(key).agg(F.sum("_n").alias("_all"), F.max(F.struct("_n", root)).alias("_main"))

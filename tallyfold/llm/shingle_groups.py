@@ -11,11 +11,13 @@ form a group.
    MinHash key with probability (1 - 0.8 ** 3) ** 24 = 3e-8 at most.
 3. The ``KEYS * EACH`` MinHash values of a text also estimate similarities (standard error 0.05 at 0.8).  Inside a
    key a pair whose estimate is below ``MAYBE``, five standard errors under ``ALIKE``, is no candidate.
-4. Candidates are verified on their texts' shingle sets, in passes.  The first verifies a maximum spanning forest of
-   each key's estimates, fewer pairs than texts, which connects nearly all that belongs together.  Later passes
-   look only at pairs that are still in different groups, most similar first, eight times as many in each pass,
-   until a key has no candidate left: no pair that may link two groups stays unverified.
-   Keys of any size are compared in cells of bounded size, see ``hot_groups``.
+4. Candidates are verified on their texts' shingle sets, in two passes.  The first verifies a maximum spanning forest of
+   each key's estimates, fewer pairs than texts, which connects nearly all that belongs together.  The second looks at
+   every candidate pair that is still in different groups, once, in the first key that the two share: there they
+   bring their sets along (32 bits a shingle; of very long texts a sample by hash value of about ``SAMPLE``), and what
+   these cannot rule out is verified on the texts.  No pair that may link two groups stays unverified, and
+   pairs inside a group are not looked at again.  Keys of any size are compared in cells of bounded size, see
+   ``hot_groups``.
 
 Defined cases: null is empty text; fewer words than a shingle give one shingle, the whole sequence; an empty
 table has no groups; other columns are ignored.
@@ -23,6 +25,7 @@ table has no groups; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,6 +41,8 @@ WORDS, ALIKE, MAX_BITS = 5, 0.8, 4
 KEYS, EACH, SEED, MAYBE = 24, 3, 42, 0.56
 #: Rows of a key that one task compares at once.
 CELL = 1024
+#: A text of more shingles than this brings a sample to the second pass: standard error 0.006, allowed for five times.
+SAMPLE = 4096
 _AT_ONCE = 2048
 
 
@@ -93,18 +98,19 @@ def text_key(text: Column) -> Column:
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        prints, keys, lows = [], [], []
-        for text in texts_of(batch, 1):
-            h = shingles(text)
-            bits = np.nonzero(2 * bit_counts(h) > len(h))[0]
-            prints.append(sum(1 << int(b) for b in bits))
-            low = minhashes(h)
-            lows.append(low.tobytes())
-            keys.append(minhash_keys(low))
-        flat = np.concatenate(keys).view(np.int64) if keys else np.empty(0, np.int64)
-        offsets = pa.array(np.arange(len(keys) + 1) * KEYS, pa.int32())
-        columns = [batch.column(0), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(flat)), pa.array(lows, pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["t", "fp", "keys", "low"])
+        for at in range(0, batch.num_rows, 1024):
+            part, prints, keys, lows = batch.slice(at, 1024), [], [], []
+            for text in texts_of(part, 1):
+                h = shingles(text)
+                bits = np.nonzero(2 * bit_counts(h) > len(h))[0]
+                prints.append(sum(1 << int(b) for b in bits))
+                low = minhashes(h)
+                lows.append(low.tobytes())
+                keys.append(minhash_keys(low))
+            flat = np.concatenate(keys).view(np.int64)
+            offsets = pa.array(np.arange(len(keys) + 1) * KEYS, pa.int32())
+            columns = [part.column(0), pa.array(np.array(prints, np.uint64).view(np.int64)), pa.ListArray.from_arrays(offsets, pa.array(flat)), pa.array(lows, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["t", "fp", "keys", "low"])
 
 
 # ---- candidates in a cell ----------------------------------------------------------------------------
@@ -127,80 +133,120 @@ def spanning_forest(low: np.ndarray, root: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def open_pairs(low: np.ndarray, root: np.ndarray, role: np.ndarray, most: int) -> tuple[list[tuple[int, int]], bool]:
-    """The ``most`` most similar candidate pairs of different roots with a row of role 1, and whether there are more."""
-    least, rows, cols, scores = MAYBE * low.shape[1], [], [], []
+def sample_of(hashes: np.ndarray) -> tuple[int, np.ndarray]:
+    """``(b, values)``: the sorted 32-bit hashes below 2^(32 - b), with the smallest b that leaves ``SAMPLE`` or so."""
+    values = np.unique((hashes >> np.uint64(32)).astype(np.uint32))
+    b = max(0, math.ceil(math.log2(len(values) / SAMPLE)))
+    return b, values[values < 2 ** (32 - b)]
+
+
+def may_be_alike(a: tuple[int, np.ndarray], b: tuple[int, np.ndarray]) -> bool:
+    """Whether the samples of two texts leave it open that they are alike (32-bit hashes only ever add to what they share)."""
+    bits = max(a[0], b[0])
+    x, y = ((v[: np.searchsorted(v, 2 ** (32 - bits))] if k < bits else v) for k, v in (a, b))
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= (ALIKE - (5 * 0.4 / math.sqrt(SAMPLE) if bits else 0)) * (len(x) + len(y) - both)
+
+
+def open_pairs(band: int, low: np.ndarray, root: np.ndarray, role: np.ndarray, samples: list[tuple[int, np.ndarray]]) -> list[tuple[int, int]]:
+    """Pairs of different roots, one of role 1, that may be alike and share no MinHash key before ``band``."""
+    least, out = MAYBE * low.shape[1], []
+    size = np.array([len(v) << b for b, v in samples], float)
+    place = np.arange(len(low))
     for i in np.flatnonzero(role == 1).tolist():
-        same = np.count_nonzero(low == low[i], axis=1)
-        j = np.flatnonzero((same >= least) & (root != root[i]) & ((role == 0) | (np.arange(len(low)) > i)))
-        rows.append(np.full(len(j), i))
-        cols.append(j)
-        scores.append(same[j])
-    if not rows:
-        return [], False
-    i, j, s = np.concatenate(rows), np.concatenate(cols), np.concatenate(scores)
-    order = np.argsort(-s, kind="stable")[:most]
-    return list(zip(i[order].tolist(), j[order].tolist(), strict=True)), len(s) > most
-
-
-def _candidates(step: int):
-    """(cell, role, key, t, root, low), sorted by cell -> (key, a, b) to verify; a null ``a`` says that more are left."""
-
-    def solve(rows: list[tuple]) -> list[tuple]:
-        role, keys, ts, roots, lows = zip(*rows, strict=True)
-        low = np.frombuffer(b"".join(lows), np.uint32).reshape(len(rows), -1)
-        root = np.unique(np.array([r.hex() for r in roots]), return_inverse=True)[1]
-        if step == 0:
-            pairs, more = spanning_forest(low, root), len(rows) > 2
-        else:
-            pairs, more = open_pairs(low, root, np.array(role), len(rows) * 8**step)
-        out = [(keys[0], min(ts[i], ts[j]), max(ts[i], ts[j])) for i, j in pairs if ts[i] != ts[j]]
-        return out + [(keys[0], None, None)] if more else out
+        same = low == low[i]
+        j = np.flatnonzero((np.count_nonzero(same, axis=1) >= least) & (root != root[i]) & ((role == 0) | (place > i)))
+        if len(j):
+            shared = same[j].reshape(len(j), KEYS, EACH).all(axis=2)
+            j = j[np.where(shared.any(axis=1), shared.argmax(axis=1), KEYS) == band]
+            close = np.minimum(size[j], size[i]) >= 0.75 * np.maximum(size[j], size[i])  # sizes apart by over a fifth cannot be alike
+            out += [(i, k) for k in j[close].tolist() if may_be_alike(samples[i], samples[k])]
+    return out
+
+
+def _in_cells(solve, out: pa.Schema):
+    """Batches sorted by cell (the first column) -> what ``solve`` makes of the rows of each cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, last, out = [], None, []
-        kinds = [pa.int64(), pa.binary(), pa.binary()]
+        rows, last, found = [], None, []
 
-        def batch_of(found: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], k) for i, k in enumerate(kinds)], ["key", "a", "b"])
+        def batch_of() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], t) for i, t in enumerate(out.types)], schema=out)
 
         for batch in batches:
-            for cell, *row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                if cell != last and len(rows) > 1:
-                    out += solve(rows)
-                if cell != last:
-                    rows, last = [], cell
-                rows.append(tuple(row))
-            if len(out) > 10_000:
-                yield batch_of(out)
-                out = []
-        if len(rows) > 1:
-            out += solve(rows)
-        yield batch_of(out)
+            for at in range(0, batch.num_rows, 1024):
+                for cell, *row in zip(*(c.to_pylist() for c in batch.slice(at, 1024).columns), strict=True):
+                    if cell != last:
+                        found += solve(rows) if len(rows) > 1 else []
+                        rows, last = [], cell
+                    rows.append(tuple(row))
+            if len(found) > 10_000:
+                yield batch_of()
+                found = []
+        found += solve(rows) if len(rows) > 1 else []
+        yield batch_of()
 
     return run
 
 
+_PAIR = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+
+
+def _ordered(ts: tuple, pairs: list[tuple[int, int]]) -> list[tuple[bytes, bytes]]:
+    return [(min(ts[i], ts[j]), max(ts[i], ts[j])) for i, j in pairs if ts[i] != ts[j]]
+
+
+def _roots(roots: tuple) -> np.ndarray:
+    return np.unique(np.array([r.hex() for r in roots]), return_inverse=True)[1]
+
+
+def _sketches(lows: tuple) -> np.ndarray:
+    return np.frombuffer(b"".join(lows), np.uint32).reshape(len(lows), -1)
+
+
+def _first_pass(rows: list[tuple]) -> list[tuple]:
+    ts, lows = zip(*rows, strict=True)
+    return _ordered(ts, spanning_forest(_sketches(lows), np.arange(len(rows))))
+
+
+def _second_pass(rows: list[tuple]) -> list[tuple]:
+    role, band, ts, roots, lows, bits, values = zip(*rows, strict=True)
+    samples = [(b, np.frombuffer(v, np.uint32)) for b, v in zip(bits, values, strict=True)]
+    return _ordered(ts, open_pairs(band[0], _sketches(lows), _roots(roots), np.array(role), samples))
+
+
+def _samples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 1024):
+            part = batch.slice(at, 1024)
+            made = [sample_of(shingles(t)) for t in texts_of(part, 1)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([b for b, _ in made], pa.int32()), pa.array([v.tobytes() for _, v in made], pa.binary())], ["t", "bits", "sample"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    last, own = None, np.empty(0, np.uint64)
     for batch in batches:
-        near, last, own = [], None, np.empty(0, np.uint64)
-        for a, b in zip(texts_of(batch, 2), texts_of(batch, 3), strict=True):
-            if a != last:  # rows of one text tend to follow each other
-                last, own = a, shingles(a)
-            near.append(similarity(own, shingles(b)) >= ALIKE)
-        yield pa.RecordBatch.from_arrays([x.filter(pa.array(near, pa.bool_())) for x in batch.columns[:2]], ["a", "b"])
+        for at in range(0, batch.num_rows, 1024):
+            part, near = batch.slice(at, 1024), []
+            for a, b in zip(texts_of(part, 2), texts_of(part, 3), strict=True):
+                if a != last:  # rows of one text tend to follow each other
+                    last, own = a, shingles(a)
+                near.append(similarity(own, shingles(b)) >= ALIKE)
+            yield pa.RecordBatch.from_arrays([x.filter(pa.array(near, pa.bool_())) for x in part.columns[:2]], ["a", "b"])
 
 
 def _shared_keys(signed: DataFrame) -> DataFrame:
-    """``key t low`` for keys that several texts have.  Sketches travel only with those."""
+    """``key band t low`` for keys that several texts have.  Sketches travel only with those."""
     linked = link_fingerprints(signed.select("fp").distinct(), MAX_BITS)
-    by_print = signed.select("t", "fp").join(linked, "fp").select(F.xxhash64(F.lit("simhash"), "root").alias("key"), "t")
-    same_print = signed.select(F.xxhash64(F.lit("print"), "fp").alias("key"), "t")
-    members = signed.select(F.explode("keys").alias("key"), "t").union(by_print).union(same_print)
+    minhash = signed.select(F.posexplode("keys").alias("band", "key"), "t").select("key", "band", "t")
+    last = F.lit(KEYS).alias("band")
+    by_print = signed.select("t", "fp").join(linked, "fp").select(F.xxhash64(F.lit("simhash"), "root").alias("key"), last, "t")
+    same_print = signed.select(F.xxhash64(F.lit("print"), "fp").alias("key"), last, "t")
+    members = minhash.union(by_print).union(same_print)
     shared = members.groupBy("key").agg(F.min("t").alias("low"), F.max("t").alias("high")).where("low <> high").select("key")
-    members = cut(members.join(shared, "key").select("key", "t").distinct())
+    members = cut(members.join(shared, "key").select("key", "band", "t").distinct())
     sketches = signed.join(members.select("t").distinct(), "t", "left_semi").groupBy("t").agg(F.max("low").alias("low"))
-    return cut(members.join(sketches, "t").select("key", "t", "low"))
+    return cut(members.join(sketches, "t").select("key", "band", "t", "low"))
 
 
 def similar_texts(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -209,31 +255,21 @@ def similar_texts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     base = docs.select(text_key(F.col(f"`{text_col}`")).alias("t"), F.col(f"`{text_col}`").alias("text"))
     members = _shared_keys(cut(base.mapInArrow(_signatures, "t binary, fp long, keys array<long>, low binary")))
-    if members.isEmpty():
-        return spark.createDataFrame([], "t binary, root binary")
     texts = cut(base.join(members.select("t").distinct(), "t", "left_semi").groupBy("t").agg(F.max("text").alias("text")))
     known = lambda x: texts.select(F.col("t").alias(x), F.col("text").alias(f"text_{x}"))
-    groups, verified, step = None, None, 0
-    while True:
-        if groups is None:
-            alone = members.withColumns({"root": F.col("t"), "of": F.col("key")})
-            cells = hot_groups.first_cells(alone, "of", "t", CELL).withColumn("role", F.lit(1))
-        else:
-            rooted = members.join(groups, "t", "left").select("key", "t", F.coalesce("root", "t").alias("root"), "low")
-            cells = hot_groups.rest_cells(rooted.withColumn("of", F.col("key")), "of", "t", "root", CELL)
-        rows = cells.select("cell", "role", "key", "t", "root", "low").repartition(parts, "cell").sortWithinPartitions("cell", "t", "role")
-        found = cut(rows.mapInArrow(_candidates(step), "key long, a binary, b binary"))
-        pairs = found.where("a IS NOT NULL").select("a", "b").distinct()
-        new = pairs if verified is None else pairs.join(verified, ["a", "b"], "left_anti")
-        new = cut(new)
-        alike = cut(new.join(known("b"), "b").join(known("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a binary, b binary"))
-        verified = new if verified is None else verified.union(new)
-        if groups is None:
-            groups = classes(alike, "t")
-        elif not alike.isEmpty():
-            groups = classes(groups.select(F.col("t").alias("a"), F.col("root").alias("b")).union(alike), "t")
-        left = found.where("a IS NULL").select("key").distinct()
-        members = cut(members.join(left, "key", "left_semi"))
-        if members.isEmpty():
-            return groups
-        step += 1
+
+    def alike(cells: DataFrame, columns: list[str], solve) -> DataFrame:
+        rows = cells.select("cell", *columns).repartition(parts, "cell").sortWithinPartitions("cell", "t")
+        pairs = rows.mapInArrow(_in_cells(solve, _PAIR), "a binary, b binary").distinct()
+        return pairs.join(known("b"), "b").join(known("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a binary, b binary")
+
+    groups = classes(alike(hot_groups.first_cells(members.select("key", "t", "low"), "key", "t", CELL), ["t", "low"], _first_pass), "t")
+    rooted = cut(members.join(groups, "t", "left").select("key", "band", "t", F.coalesce("root", "t").alias("root"), "low"))
+    still = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
+    rooted = cut(rooted.join(still, "key"))
+    samples = texts.join(rooted.select("t").distinct(), "t", "left_semi").mapInArrow(_samples, "t binary, bits int, sample binary")
+    cells = hot_groups.rest_cells(rooted, "key", "t", "root", CELL).join(samples, "t")
+    more = cut(alike(cells, ["role", "band", "t", "root", "low", "bits", "sample"], _second_pass))
+    if more.isEmpty():
+        return groups
+    return classes(groups.select(F.col("t").alias("a"), F.col("root").alias("b")).union(more), "t")

@@ -92,3 +92,34 @@ def test_null_and_repeated_ids(spark):
     assert len(got) == 7 and got == stage(spark, rows[::-1])
     assert [r[:2] for r in got if r[0] is not None] == [(3, texts[5]), (7, texts[3]), (7, texts[4]), (9, near)]
     assert [r[1] for r in got if r[0] is None and r[1]] == texts[1:3]
+
+
+def test_samples_of_long_texts(monkeypatch):
+    """What the second pass rules out is not alike; texts above and below the sampling bound are compared on common ground."""
+    import numpy as np
+
+    monkeypatch.setattr(shingle_groups, "SAMPLE", 4096)
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 2**64, 30_000, np.uint64)
+    for size in (900, 5000, 30_000):
+        for share in (0.75, 0.86, 0.89, 0.92, 1.0):
+            a = base[:size]
+            b = np.concatenate((a[: int(size * share)], rng.integers(0, 2**64, size - int(size * share), np.uint64)))
+            alike_ = shingle_groups.similarity(a, b) >= 0.8
+            may = shingle_groups.may_be_alike(shingle_groups.sample_of(a), shingle_groups.sample_of(b))
+            assert may or not alike_
+            if share == 0.75:
+                assert not may
+    small, large = shingle_groups.sample_of(base[:4000]), shingle_groups.sample_of(base[:4500])
+    assert small[0] == 0 and large[0] == 1 and shingle_groups.may_be_alike(small, large)
+
+
+def test_a_large_group_in_small_cells(spark, monkeypatch):
+    """Hundreds of near copies, some of them apart from the rest, in cells of a few rows."""
+    monkeypatch.setattr(shingle_groups, "CELL", 24)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(120)]
+    texts = [" ".join(edited(rng, base, rng.randrange(0, 8))) for _ in range(180)]
+    other = edited(rng, base, 40)
+    texts += [" ".join(edited(rng, other, rng.randrange(0, 3))) for _ in range(40)]
+    assert [r[0] for r in stage(spark, [row(i, t) for i, t in enumerate(texts)])] == smallest(texts)
