@@ -1,7 +1,11 @@
 """HTML extraction: a recurrent block labeller.
 
 A page is read into its leaf blocks: runs of text between block-level tags, each with the path of its
-open elements (names, class, id and role words), its share of link text and its words.  Paths and
+open elements (names, class, id and role words), its share of link text and its words, all of them.  Nothing is
+thrown away before it is judged but what a page does not show: scripts, styles, templates, titles, comments,
+annotations of formulas and the raw content of frames and text areas.  Formulas and drawings are part of the
+text around them; buttons, choices and what stands in for media are insets, blocks of their own within a block.  A
+head ends where HTML ends it, at the first thing that does not belong in one.  Paths and
 words are hashed into fixed-size vectors; a bidirectional LSTM (numpy) reads the blocks of the whole page and
 labels each of them, so a block is judged in the light of all others.  Blocks labelled as article
 are joined in page order by an empty line.
@@ -35,20 +39,22 @@ from pyspark.sql import functions as F
 
 from .common import process_cache
 
-PATH_DIM, WORD_DIM, OTHER_DIM, HIDDEN = 160, 48, 8, 24
+#: A path size at which no element that tells much shares its hashed position with another one.
+PATH_DIM, WORD_DIM, OTHER_DIM, HIDDEN = 250, 96, 8, 24
 DIM = PATH_DIM + WORD_DIM + OTHER_DIM
-TRAIN_PAGES, EPOCHS, SEED = 1600, 8, 20
+TRAIN_PAGES, EPOCHS, SEED = 3200, 7, 20
 #: Article blocks that are lost weigh more than strays: a block counts as article from here.
 THRESHOLD = 0.4
 
 # Elements of HTML by how they are read.
-BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav noscript ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
-DROPPED = frozenset("script style template svg math iframe object canvas audio video select button textarea title noembed noframes head".split())
-RAW = frozenset("script style textarea title noembed noframes iframe".split())
+BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav noscript ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
+HIDDEN_PARTS = frozenset("template annotation annotation-xml".split())
+INSETS = frozenset("audio button canvas datalist object select video".split())
+RAW = frozenset("script style textarea title noembed noframes iframe xmp".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 CLOSED_BY = {"p": frozenset(["p"]), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"])}
 #: An element is not closed by a start tag across these.
-FENCES = frozenset("table ul ol dl div section article aside main nav form blockquote body td th header footer select".split())
+FENCES = frozenset("table ul ol dl div section article aside main nav form blockquote body td th header footer".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 _ATTR = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -91,99 +97,134 @@ def _labels(name: str, attrs: str) -> list[str]:
     return out
 
 
+class _Reader:
+    """Open elements and the text since the last block ended."""
+
+    def __init__(self):
+        self.blocks: list[Block] = []
+        self.stack: list[tuple[str, Element]] = []
+        self.parts: list[str] = []
+        self.inset: tuple[str, Element, list[str]] | None = None
+        self.linked = self.hidden = self.in_link = 0
+
+    def _emit(self, element: Element | None, parts: list[str], linked: int) -> None:
+        text = " ".join(html.unescape("".join(parts)).split())
+        if text:
+            self.blocks.append(Block(element, text, min(linked, len(text))))
+
+    def around(self) -> Element | None:
+        return self.stack[-1][1] if self.stack else None
+
+    def end_inset(self) -> None:
+        if self.inset is not None:
+            (_, element, parts), self.inset = self.inset, None
+            self._emit(element, parts, 0)
+
+    def end_block(self) -> None:
+        self.end_inset()
+        if self.parts:
+            self._emit(self.around(), self.parts, self.linked)
+        self.parts, self.linked = [], 0
+
+    def pop_to(self, i: int) -> None:
+        self.hidden -= sum(name in HIDDEN_PARTS for name, _ in self.stack[i:])
+        del self.stack[i:]
+
+    def add(self, text: str) -> None:
+        if not text or self.hidden:
+            return
+        if self.inset is not None:
+            self.inset[2].append(text)
+            return
+        self.parts.append(text)
+        if self.in_link:
+            self.linked += len(text.strip())
+
+    def close(self, name: str) -> None:
+        if name == "a":
+            self.in_link = 0
+        elif name in INSETS:
+            if self.inset is not None and self.inset[0] == name:
+                self.end_inset()
+        elif name in BLOCKS or name in HIDDEN_PARTS:
+            if name in BLOCKS and self.inset is not None and name in ("option", "optgroup"):
+                self.add(" ")
+                return
+            for k in range(len(self.stack) - 1, -1, -1):
+                if self.stack[k][0] == name:
+                    if name in BLOCKS:
+                        self.end_block()
+                        self.in_link = 0
+                    self.pop_to(k)
+                    return
+            if name in BLOCKS:
+                self.end_block()
+
+    def open(self, name: str, attrs: str) -> None:
+        if name in ("br", "wbr"):
+            self.add(" " if name == "br" else "")
+        elif name == "a":
+            self.in_link = 1
+        elif name in ("html", "head"):  # they hold the page and split nothing
+            pass
+        elif self.inset is not None and name in ("option", "optgroup"):
+            self.add(" ")
+        elif name in INSETS:
+            self.end_inset()
+            if not self.hidden:
+                self.inset = (name, Element(self.around(), _labels(name, attrs)), [])
+        elif name in HIDDEN_PARTS:
+            if not attrs.rstrip().endswith("/"):
+                self.stack.append((name, Element(self.around(), _labels(name, attrs))))
+                self.hidden += 1
+        elif name in VOID:
+            if name in BLOCKS:
+                self.end_block()
+        elif name in BLOCKS:
+            self.end_block()
+            self.in_link = 0
+            if name == "body":
+                self.pop_to(0)
+            closes = CLOSED_BY.get(name, frozenset()) | {"p"}
+            for k in range(len(self.stack) - 1, -1, -1):
+                if self.stack[k][0] in closes:
+                    self.pop_to(k)
+                    break
+                if self.stack[k][0] in FENCES:
+                    break
+            self.stack.append((name, Element(self.around(), _labels(name, attrs))))
+
+
 def read_blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order; ones without text are left out."""
-    out: list[Block] = []
-    stack: list[tuple[str, Element]] = []
-    parts: list[str] = []
-    linked = dropped = in_link = 0
-
-    def end_block() -> None:
-        nonlocal parts, linked
-        if parts:
-            text = " ".join(html.unescape("".join(parts)).split())
-            if text:
-                out.append(Block(stack[-1][1] if stack else None, text, min(linked, len(text))))
-        parts, linked = [], 0
-
-    def pop_to(i: int) -> None:
-        nonlocal dropped
-        for name, _ in stack[i:]:
-            dropped -= name in DROPPED
-        del stack[i:]
-
-    def add(text: str) -> None:
-        nonlocal linked
-        if text and not dropped:
-            parts.append(text)
-            if in_link:
-                linked += len(text.strip())
-
+    r = _Reader()
     at, size = 0, len(page)
     while at < size:
         i = page.find("<", at)
         if i < 0:
-            add(page[at:])
+            r.add(page[at:])
             break
         if i > at:
-            add(page[at:i])
+            r.add(page[at:i])
         m = _TOKEN.match(page, i)
         if not m:
-            add("<")
+            r.add("<")
             at = i + 1
             continue
         at = m.end()
         name = m[2] or m[5]
         if not name:
             continue
-        name, closing, attrs = name.lower(), m[1] or m[4], m[3] or m[6] or ""
-        if closing:
-            if name == "a":
-                in_link = 0
-            elif name in BLOCKS or name in DROPPED:
-                for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == name:
-                        end_block()
-                        pop_to(k)
-                        in_link = 0
-                        break
-                else:
-                    if name in BLOCKS:
-                        end_block()
-            continue
-        if name == "br":
-            add(" ")
-            continue
-        if name == "a":
-            in_link = 1
-            continue
-        if name not in BLOCKS and name not in DROPPED:
-            continue
-        if name in RAW:  # everything up to its end tag
+        name = name.lower()
+        if m[1] or m[4]:
+            r.close(name)
+        elif name in RAW:  # everything up to its end tag
             close = re.compile(rf"</{name}[^>]*>", re.I).search(page, at)
             at = close.end() if close else size
-            continue
-        if name in VOID:
-            end_block()
-            continue
-        if attrs.rstrip().endswith("/") and name in DROPPED:
-            continue
-        if name in BLOCKS:
-            end_block()
-            if name == "body":
-                pop_to(0)
-            in_link = 0
-            closes = CLOSED_BY.get(name, frozenset()) | {"p"}
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in closes:
-                    pop_to(k)
-                    break
-                if stack[k][0] in FENCES:
-                    break
-        stack.append((name, Element(stack[-1][1] if stack else None, _labels(name, attrs))))
-        dropped += name in DROPPED
-    end_block()
-    return out
+        else:
+            r.open(name, m[3] or m[6] or "")
+    r.end_block()
+    return r.blocks
 
 
 # ---- vectors ---------------------------------------------------------------------------------------
@@ -216,13 +257,13 @@ def _path_counts(element: Element | None, slots: _Slots) -> np.ndarray:
 
 
 def _path_vector(element: Element | None, slots: _Slots) -> np.ndarray:
-    """The innermost three labels weigh 1, all others 0.6; more than two alike count as two, however deep."""
-    out, last = 0.6 * np.minimum(_path_counts(element, slots), 2), 3
+    """Every label weighs 1 at any depth, the innermost three 0.5 more; more than two alike count as two."""
+    out, last = np.minimum(_path_counts(element, slots), 2), 3
     while element is not None and last:
         for w in element.labels[::-1][:last]:
             last -= 1
             if (k := slots[w]) < PATH_DIM:
-                out[k] += 0.4
+                out[k] += 0.5
         element = element.outer
     return out
 
@@ -242,7 +283,7 @@ def vectors(blocks: list[Block]) -> np.ndarray:
         # all words; from 64 on in proportion, so that a long block keeps the scale
         row[PATH_DIM:o] = np.bincount(list(map(of_word, words)), minlength=WORD_DIM)[:WORD_DIM] / max(math.sqrt(len(words)), len(words) / 8)
         row[o:] = (math.log1p(len(words)) / 4, b.linked / size, text[-1] in ".!?:;\"'", "©" in text, len(_DIGITS.findall(text)) / size, i / n, (n - 1 - i) / n, 1.0)
-    return np.minimum(x, 2.0)
+    return np.minimum(x, 2.5)
 
 
 # ---- network -----------------------------------------------------------------------------------------

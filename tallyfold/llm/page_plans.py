@@ -36,12 +36,12 @@ SYLLABLES = "th er on an re he in ed nd ha at en es of or nt ea ti to it st io l
 
 class Plan:
     def __init__(self, rng: random.Random):
-        self.rng, self.apart = rng, random.Random(rng.getstate()[1][0])
+        self.rng, self.apart = rng, random.Random(rng.getstate()[1][7])
         self.pool = ["".join(rng.choices(SYLLABLES, k=rng.randint(1, 4))) for _ in range(300)]
         self.noise = ["", "%%%", "###", "***", "$$$", "&amp;&amp;&amp;"] if rng.random() < 0.12 else [""]
         self.bars = rng.random() < 0.15  # articles of words between bars, as tables and lists leave them
         self.kinds: list[str] = []
-        self.n = 0
+        self.bare = self.apart.random() < 0.18  # a page whose parts have no telling names: words, links and places decide
 
     def some(self, xs):
         return self.rng.choice(xs)
@@ -51,7 +51,7 @@ class Plan:
 
     def words(self, kind: str, lo: int, hi: int) -> str:
         own = WORDS.get(kind)
-        out = [self.some(own) if own and self.chance(0.5 if self.named else 0.35) else self.some(self.pool) + self.some(self.noise) for _ in range(self.rng.randint(lo, hi))]
+        out = [self.some(own) if own and self.chance(0.7 if self.bare else 0.5 if self.named else 0.35) else self.some(self.pool) + self.some(self.noise) for _ in range(self.rng.randint(lo, hi))]
         if kind == "article":
             if self.bars and self.chance(0.6):
                 return " | ".join(out) + self.some(["", " |"])
@@ -80,6 +80,8 @@ class Plan:
         return f"\x02{len(self.kinds) - 1}\x03"
 
     def attr(self, kind: str) -> str:
+        if self.bare:
+            return f' class="{self.some(CLASSES["plain"])}"' if self.chance(0.3) else ""
         if not self.chance(0.85 if kind != "article" else 0.6):
             return ""
         names = [self.some(CLASSES[kind])]
@@ -106,9 +108,9 @@ class Plan:
 
     def other(self, kind: str, inside: bool = False) -> str:
         self.named = self.chance(0.8)
-        tag = self.some(OWN_TAG[kind])
+        tag = self.some([t for t in OWN_TAG[kind] if t in ("div", "ul", "p")]) if self.bare else self.some(OWN_TAG[kind])
         attr = self.attr(kind) if tag in ("div", "p", "section", "ul", "ol") or self.chance(0.5) else ""
-        if tag in ("div", "p", "section", "ul", "ol") and not attr and (inside or not self.named or self.chance(0.5)):
+        if not self.bare and tag in ("div", "p", "section", "ul", "ol") and not attr and (inside or not self.named or self.chance(0.5)):
             attr = f' class="{self.some(CLASSES[kind])}"'
         if kind == "menu":
             body = self.links(kind, 2, 12)
@@ -122,17 +124,19 @@ class Plan:
             body = self.some(["", self.block("h3", kind, self.words(kind, 1, 4))]) + self.some([self.block("p", kind, self.sentences(kind, 1, 2)), self.block("div", kind, f"<label>{self.words(kind, 1, 3)}</label><input name=x>"), self.mark(kind) + self.words(kind, 2, 6) + ' <input type="text">']) + self.some(["", f"<button>{self.words(kind, 1, 2)}</button>"])
         elif kind == "comments":
             body = (self.block("h3", kind, self.words(kind, 1, 3)) if self.chance(0.7) else "")
-            inner = self.some(["li", "div", "li", "div", "article"])
+            inner = self.some(["li", "div", "li", "div", "div" if self.bare else "article"])
             if inner == "article" and not attr:  # nothing else would tell such comments from an article
                 attr = f' class="{self.some(CLASSES[kind])}"'
             for _ in range(self.rng.randint(1, 5)):
-                c = f' class="{self.some(CLASSES["comments"])}"' if inner == "article" or self.chance(0.7) else ""
+                c = f' class="{self.some(CLASSES["comments"])}"' if inner == "article" or (not self.bare and self.chance(0.7)) else ""
                 body += f"<{inner}{c}>" + (self.block("div", kind, self.words(kind, 1, 4), ' class="meta"' if self.chance(0.5) else "") if self.chance(0.6) else "") + self.block("p", kind, self.sentences(kind, *((15, 40) if self.rare(0.05) else (1, 4)))) + f"</{inner}>"
         else:
             body = self.some([self.mark(kind) + self.sentences(kind, 1, 3), self.block("p", kind, self.sentences(kind, 1, 3)), self.block("div", kind, self.words(kind, 1, 10)), self.links(kind, 1, 4)])
         if tag == "p":
             return self.block("p", kind, self.sentences(kind, 1, 3), attr)
-        if tag not in ("ul", "ol") and self.rare(0.06):
+        if self.rare(0.15):
+            body += self.inset(kind)
+        if tag not in ("ul", "ol") and self.rare(0.12):
             body = self.deep(body)
         return f"<{tag}{attr}>{body}</{tag}>"
 
@@ -145,9 +149,32 @@ class Plan:
         n = self.apart.randint(10, 40)
         return "".join(self.apart.choice(["<div>", f'<div class="{self.apart.choice(CLASSES["plain"])}">']) for _ in range(n)) + inner + "</div>" * n
 
+    def extra(self, kind: str) -> str:
+        """What articles hold besides paragraphs: captions, definitions, folded parts, formulas, lines of a poem."""
+        pick = self.apart.randrange(6)
+        if pick == 0:
+            return "<figure><img src=x>" + self.block("figcaption", kind, self.sentences(kind, 1, 2)) + "</figure>"
+        if pick == 1:
+            return "<dl>" + "".join(self.block("dt", kind, self.words(kind, 1, 3)) + self.block("dd", kind, self.sentences(kind, 1, 2)) for _ in range(2)) + "</dl>"
+        if pick == 2:
+            return "<details>" + self.block("summary", kind, self.words(kind, 1, 5)) + self.block("p", kind, self.sentences(kind, 1, 3)) + "</details>"
+        if pick == 3:
+            return self.block("p", kind, self.words(kind, 2, 9) + " <math><mi>x</mi><mo>=</mo><mn>2</mn></math> " + self.sentences(kind, 1, 2))
+        if pick == 4:
+            return "<table>" + self.block("caption", kind, self.words(kind, 2, 8)) + "<tr>" + "".join(self.block("th", kind, self.words(kind, 1, 2)) for _ in range(2)) + "</tr></table>"
+        return "<ol>" + "".join(self.block("li", kind, self.words(kind, 2, 9)) for _ in range(3)) + "</ol>"
+
+    def inset(self, kind: str) -> str:
+        """Buttons, choices and what stands in for media: never article text."""
+        name = self.apart.choice(["button", "select", "video", "audio", "canvas", "object"])
+        words = self.apart.choice([self.words("form", 1, 3), "your browser does not support this " + name, "please update your browser", "copy", "download"])
+        if name == "select":
+            return f"<select><option>{self.mark('form')}{words}<option>{self.words('form', 1, 2)}</select>"
+        return f"<{name}>{self.mark('notice')}{words}</{name}>"
+
     def article(self) -> str:
         self.named = False
-        tag = self.some(["article", "article", "div", "main", "section", "td"])
+        tag = "div" if self.bare else self.some(["article", "article", "div", "main", "section", "td"])
         attr = self.attr("article") if tag not in ("article", "main") or self.chance(0.5) else ""
         kind = "article"
         out = []
@@ -169,13 +196,17 @@ class Plan:
                 out.append("<pre>" + self.mark(kind) + self.words(kind, 3, 20) + "</pre>")
             elif p < 0.95:
                 out.append("<table><tr>" + "".join(f"<td>{self.mark(kind)}{self.words(kind, 1, 4)}</td>" for _ in range(3)) + "</tr></table>")
+            elif self.rare(0.5):
+                out.append(self.extra(kind))
             elif k and p < 0.985:
                 out.append(self.other(self.some(["advert", "share", "sidebar", "form", "notice"]), True))
                 self.named = False
+            if self.rare(0.06):
+                out.append(self.inset("notice"))
         end = self.other("share", True) if self.chance(0.3) else ""
         self.named = False
         body = "".join(out) + end
-        if self.rare(0.04):
+        if self.rare(0.07):
             body = self.deep(body)
         if tag == "td":
             return f"<table><tr><td{attr}>{body}</td></tr></table>"
