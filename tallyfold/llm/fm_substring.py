@@ -24,8 +24,9 @@ Plan:
    anchors are removed in a last pass over the text, which reports the removed intervals.
 
 A shard is cut into indexes of about ``INDEX_WORDS`` words at key boundaries; a key holds at most
-``HOT`` fragments, so an index has a bounded size whatever the corpus holds.  A row is known by its document id and a
-64-bit hash of its text together, so two documents are never mixed up.
+``HOT`` fragments, so an index has a bounded size whatever the corpus holds.  A row is known by a 64-bit hash of its id
+and text, which keeps anchors small; rows whose hash another row has too (held against a second hash, one small row a
+document) get another one first, so two documents are not mixed up however many there are.
 
 Defined cases: null and empty texts have no words and an empty rest; null ids come before all others
 and form one document; rows that share an id and a position do not count against each other (a
@@ -42,9 +43,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WS_BYTES, mix, texts_of
+from .common import WS_BYTES, cut, mix, texts_of
 
 WINDOW, GRAM, HOT, INDEX_WORDS, SAMPLE = 20, 8, 20_000, 200_000, 8
+BROADCAST_ROWS = 100_000
 _NO_ID = -(1 << 63)
 
 
@@ -245,15 +247,16 @@ class FmIndex:
             at, steps = self.before[symbol] + nth, steps + 1
         return out
 
-    def matching_statistics(self, symbols: np.ndarray, lengths: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For every word of streamed fragments: the longest run ending there, up to ``threshold``, that the index
-        holds at least twice, and the interval of that run (of use where the threshold is reached)."""
+    def matching_statistics(self, symbols: np.ndarray, lengths: np.ndarray, threshold: int, least: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For every word of streamed fragments with at least ``least`` words up to it: the longest run ending there,
+        up to ``threshold``, that the index holds at least twice, and the interval of that run (0 for other words)."""
         inside = np.arange(len(symbols)) - np.repeat(np.cumsum(lengths) - lengths, lengths)  # words before it in its fragment
         best = np.zeros(len(symbols), np.int64)
         lo, hi = np.zeros(len(symbols), np.int64), np.full(len(symbols), self.size, np.int64)
-        alive = np.arange(len(symbols))
+        alive = np.flatnonzero(inside >= least - 1)
         for n in range(threshold):
-            alive = alive[inside[alive] >= n]
+            if n >= least:
+                alive = alive[inside[alive] >= n]
             a, b = self.extend(symbols[alive - n], lo[alive], hi[alive])
             twice = b - a > 1
             alive = alive[twice]
@@ -269,7 +272,7 @@ def repeated_windows(symbols: np.ndarray, lengths: np.ndarray, position: np.ndar
     ``position`` is given for every fragment: a number that orders the places of the corpus, one a word.
     """
     index = FmIndex(symbols, lengths)
-    best, lo, hi = index.matching_statistics(symbols, lengths, window)
+    best, lo, hi = index.matching_statistics(symbols, lengths, window, window)
     first = np.cumsum(lengths) - lengths
     offset = np.arange(len(symbols)) - np.repeat(first, lengths)
     ends = np.flatnonzero(offset >= window - 1)  # one a window, in order
@@ -299,7 +302,7 @@ def _anchor_rows(window: int, gram: int):
         for batch in batches:
             doc, h, p, _, _ = anchor_table(texts_of(batch, 1), window, gram)
             row = pa.array(doc)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(0).take(row), batch.column(2).take(row), pa.array(p.astype(np.int32))], ["h", "rid", "doc", "p"])
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), batch.column(0).take(row), pa.array(p.astype(np.int32))], ["h", "rid", "p"])
 
     return run
 
@@ -361,7 +364,7 @@ def _fragments(window: int, gram: int):
 
 def _search(window: int):
     """Fragments sorted by key, hash and position -> of each distinct one the windows that are the first of their kind."""
-    schema = pa.schema([("doc", pa.int64()), ("rid", pa.int64()), ("s0", pa.int32()), ("firsts", pa.int32())])
+    schema = pa.schema([("rid", pa.int64()), ("s0", pa.int32()), ("firsts", pa.int32())])
 
     def solve(docs: list, s0s: list, rids: list, texts: list, single: list[bool]) -> pa.RecordBatch:
         masks = [0] * len(docs)
@@ -381,7 +384,7 @@ def _search(window: int):
             bit = np.int64(1) << (np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
             for i, m in zip(many, np.add.reduceat(np.where(twice, 0, bit), np.cumsum(n) - n).tolist(), strict=True):
                 masks[i] = m
-        return pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(rids, pa.int64()), pa.array(s0s, pa.int32()), pa.array(masks, pa.int32())], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(rids, pa.int64()), pa.array(s0s, pa.int32()), pa.array(masks, pa.int32())], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list] = [[], [], [], [], []]  # key doc s0 rid text
@@ -456,6 +459,19 @@ def _remove(window: int, gram: int):
     return run
 
 
+def known_rows(base: DataFrame) -> DataFrame:
+    """``doc text ...`` with ``rid``: equal for rows of equal id and text, and for no others."""
+    of = lambda seed: F.xxhash64(F.lit(seed), "doc", "text")
+    plain = F.xxhash64("doc", "text")
+    twice = cut(base.select(plain.alias("rid"), of(1).alias("other")).groupBy("rid").agg(F.min("other").alias("low"), F.max("other").alias("high")).where("low <> high").select("rid"))
+    rows = base.withColumn("rid", plain)
+    if twice.isEmpty():
+        return rows
+    few = twice.count() <= BROADCAST_ROWS
+    mark = twice.withColumn("_twice", F.lit(True))
+    return rows.join(F.broadcast(mark) if few else mark, "rid", "left").withColumn("rid", F.when(F.col("_twice"), of(2)).otherwise(F.col("rid"))).drop("_twice")
+
+
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, carry: list[str] | None = None) -> DataFrame:
     """``row text n_words n_removed removed`` per input row; ``text`` holds the kept words joined by one space and
     ``removed`` the intervals of words, from the first on and before the last, that are gone."""
@@ -464,21 +480,19 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     carry = [c for c in docs.columns if c != text_col] if carry is None else carry
     doc = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NO_ID))
     base = docs.select(F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"), doc.alias("doc"), F.col(f"`{text_col}`").alias("text"))
-    base = base.withColumn("rid", F.xxhash64("text"))
-    spots = base.select("rid", "text", "doc").mapInArrow(_anchor_rows(window, gram), "h long, rid long, doc long, p int")
+    base = known_rows(base)
+    spots = base.select("rid", "text").mapInArrow(_anchor_rows(window, gram), "h long, rid long, p int")
     # joined on ~h, so that the counts are shuffled apart from their aggregation and AQE can split a hot anchor
     found = spots.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.bitwise_not("h").alias("j"), "n")
     spot = (F.col("p") * 2 + F.when(F.col("n") > HOT, 1).otherwise(0)).cast("int").alias("spot")
-    kept = spots.select(F.bitwise_not("h").alias("j"), "rid", "doc", "p").join(found, "j").select("rid", "doc", spot)
-    by_row = kept.groupBy(F.col("rid").alias("of"), F.col("doc").alias("of_doc")).agg(F.collect_set("spot").alias("spots"))
+    kept = spots.select(F.bitwise_not("h").alias("j"), "rid", "p").join(found, "j").select("rid", spot)
+    by_row = kept.groupBy(F.col("rid").alias("of")).agg(F.collect_set("spot").alias("spots"))
     # the two readers of this join take the same columns, so the texts are shuffled once
-    same = lambda right: (base["rid"] == right["of"]) & (base["doc"] == right["of_doc"])
-    known = base.join(by_row, same(by_row), "left").select("row", "doc", "rid", "text", "spots")
+    known = base.join(by_row, base["rid"] == by_row["of"], "left").select("row", "doc", "rid", "text", "spots")
     pieces = known.mapInArrow(_fragments(window, gram), "key long, fh long, doc long, s0 int, rid long, text binary")
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = pieces.repartition(n, "key").sortWithinPartitions("key", "fh", "doc", "s0", "rid")
-    found_first = placed.mapInArrow(_search(window), "doc long, rid long, s0 int, firsts int")
-    firsts = found_first.groupBy(F.col("rid").alias("of"), F.col("doc").alias("of_doc")).agg(F.collect_list(F.struct("s0", "firsts")).alias("firsts"))
-    joined = known.join(firsts, (known["rid"] == firsts["of"]) & (known["doc"] == firsts["of_doc"]), "left").select("row", "doc", "rid", "text", "spots", "firsts")
+    firsts = placed.mapInArrow(_search(window), "rid long, s0 int, firsts int").groupBy(F.col("rid").alias("of")).agg(F.collect_list(F.struct("s0", "firsts")).alias("firsts"))
+    joined = known.join(firsts, known["rid"] == firsts["of"], "left").select("row", "doc", "rid", "text", "spots", "firsts")
     kind = base.schema["row"].dataType.simpleString()
     return joined.mapInArrow(_remove(window, gram), f"row {kind}, text string, n_words long, n_removed long, removed array<struct<from:int,to:int>>")

@@ -134,6 +134,19 @@ def test_periodic_hot_and_edges(spark, monkeypatch):
     assert fast(spark, rows) == slow(rows)
 
 
+def test_rows_whose_hashes_collide(spark, monkeypatch):
+    """A hash of a few bits for everything but the second choice: rows are told apart all the same."""
+    real = S.F.xxhash64
+    monkeypatch.setattr(S.F, "xxhash64", lambda *c: S.F.pmod(real(*c), S.F.lit(3)) if isinstance(c[0], str) and c[0] == "doc" else real(*c))
+    rng = np.random.default_rng(7)
+    rows = [(d, " ".join(f"w{i}" for i in rng.integers(0, 40, 60))) for d in range(30)] + [(1, "x y z " * 20), (1, "x y z " * 20)]
+    for few in (100_000, 0):
+        monkeypatch.setattr(S, "BROADCAST_ROWS", few)
+        base = S.known_rows(spark.createDataFrame(rows, "doc long, text string"))
+        assert base.select("rid").distinct().count() == 31
+        assert fast(spark, rows) == slow(rows)
+
+
 def test_empty(spark):
     assert fast(spark, []) == []
 
