@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -28,6 +29,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle and checkpoint files of finished steps now.
+
+    It follows the garbage collection of the driver's heap, which may be far off while an iteration piles up files of
+    many small steps.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder under the shared one."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
