@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.shared import checkpoint_dir, cut, shared_dir  # noqa: F401  (operators take them from here)
+from ..plans.shared import checkpoint_dir, cut, release, shared_dir  # noqa: F401  (operators take them from here)
 
 #: The white space that separates words: space and the code points 9 to 13.
 WS = " \t\n\x0b\x0c\r"

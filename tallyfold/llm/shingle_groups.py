@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import hot_groups
-from .common import cut, texts_of
+from .common import cut, release, texts_of
 from .simhash_vptree import bit_counts, classes, link_fingerprints
 
 WORDS, ALIKE, MAX_BITS = 5, 0.8, 4
@@ -263,10 +263,13 @@ def similar_texts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         pairs = rows.mapInArrow(_in_cells(solve, _PAIR), "a binary, b binary").distinct()
         return pairs.join(known("b"), "b").join(known("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a binary, b binary")
 
+    release(spark)
     groups = classes(alike(hot_groups.first_cells(members.select("key", "t", "low"), "key", "t", CELL), ["t", "low"], _first_pass), "t")
     rooted = cut(members.join(groups, "t", "left").select("key", "band", "t", F.coalesce("root", "t").alias("root"), "low"))
     still = rooted.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("key")
     rooted = cut(rooted.join(still, "key"))
+    del members, still
+    release(spark)
     samples = texts.join(rooted.select("t").distinct(), "t", "left_semi").mapInArrow(_samples, "t binary, bits int, sample binary")
     cells = hot_groups.rest_cells(rooted, "key", "t", "root", CELL).join(samples, "t")
     more = cut(alike(cells, ["role", "band", "t", "root", "low", "bits", "sample"], _second_pass))

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import hot_groups
-from .common import cut, texts_of
+from .common import cut, release, texts_of
 
 WORDS, SEED, MAX_BITS = 4, 42, 4
 SHARD, LARGE, LEAF = 512, 8192, 24
@@ -329,6 +329,7 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
             break
         e = cut(star(star(e, True), False))
         now = state(e)
+        release(e.sparkSession)  # files of earlier rounds
         if now == before:
             break
         before = now
