@@ -55,6 +55,19 @@ def parse_change_time(text: Column) -> Column:
     return F.when(F.coalesce(text.rlike(_ISO), F.lit(False)), F.when(zone.isin("", "Z"), naive).otherwise(shifted)).otherwise(fail)
 
 
+def parse_kept(text: Column) -> Column:
+    """``struct(at, kept)``: a parsed change time, or the text itself where it is well formed but no time that a
+    timestamp can hold (a year beyond 9999, a day that does not exist).  NULL stays NULL; other text is an error."""
+    shape = r"^[+-]?\d{4,}-\d{2}-\d{2}[ T]\d{2}:\d{2}:\d{2}(?:\.\d+)?(Z|[+-]\d{2}:?\d{2})?$"
+    inside = text.rlike(_ISO)
+    day = F.try_to_timestamp(F.substring(F.regexp_replace(text, "T", " "), 1, 19), F.lit("yyyy-MM-dd HH:mm:ss"))
+    good = inside & day.isNotNull()
+    at = F.when(good, parse_change_time(F.when(good, text).otherwise(F.lit("2000-01-01 00:00:00"))))
+    fail = F.raise_error(F.concat(F.lit("bad change time "), text)).cast("string")
+    kept = F.when(text.isNull() | good, None).when(text.rlike(shape), text).otherwise(fail)
+    return F.struct(at.alias("at"), kept.alias("kept"))
+
+
 def wall_clock(text: Column) -> Column:
     """Other date-times keep their wall clock; an offset is dropped."""
     return F.to_timestamp_ntz(F.regexp_replace(text, r"(Z|[+-]\d{2}:?\d{2})$", ""))

@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.search import rank_in
 from ..functions.timeutil import local_day
 
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
 
+BUCKETS = 64
+
+
 def valuation_statistics(df: DataFrame, groups: list[str], value: str, error: str | None = None) -> DataFrame:
     """Counts, share without a value, sums, extremes, exact percentiles and deviation per group."""
     v = F.col(value)
@@ -18,11 +22,61 @@ def valuation_statistics(df: DataFrame, groups: list[str], value: str, error: st
         n.alias("units"), without.alias("without_value"), F.count(value).alias("with_value"),
         F.round(100 * without / F.nullif(n, F.lit(0)), 2).cast("double").alias("without_pct"),
         F.sum(v.cast("decimal(20,2)")).cast("double").alias("total"), F.min(value).alias("low"), F.max(value).alias("high"), F.avg(v.cast("double")).alias("mean"),
-        *[F.percentile(v.cast("double"), F.lit(q)).alias(f"p{int(q * 100):02d}") for q in QUANTILES], F.stddev_pop(v.cast("double")).alias("deviation"),
+        F.stddev_pop(v.cast("double")).alias("deviation"),
     ]
     if error:
         aggs.append(F.count_if(F.trim(error) != "").alias("errors"))
-    return df.groupBy(*groups).agg(*aggs)
+    base = df.groupBy(*groups).agg(*aggs)
+    exact = exact_percentiles(df, groups, value).withColumnsRenamed({g: f"_{g}" for g in groups})
+    same = F.lit(True)
+    for g in groups:
+        same &= F.col(g).eqNullSafe(F.col(f"_{g}"))
+    return base.join(exact, same, "left").drop(*[f"_{g}" for g in groups])
+
+
+def exact_percentiles(df: DataFrame, groups: list[str], value: str, quantiles: tuple[float, ...] = QUANTILES) -> DataFrame:
+    """``groups p05 p25 ...``: interpolated percentiles, exact, in memory that does not grow with a group.
+
+    Equal values are counted first.  A bounded sketch per group cuts its values into ``BUCKETS`` ranges; sums over the
+    ranges tell in which of them the wanted ranks lie, whatever the sketch's error, and only those ranges are put in order.
+    """
+    v = F.col(value).cast("double")
+    known = df.where(F.col(value).isNotNull()).select(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)], v.alias("v"))
+    gs = [f"g{i}" for i in range(len(groups))]
+    key = F.struct(*gs)
+    counts = known.groupBy(key.alias("g"), "v").agg(F.count(F.lit(1)).alias("n"))
+    bounds = known.groupBy(key.alias("g")).agg(F.count(F.lit(1)).alias("all"), F.percentile_approx("v", [i / BUCKETS for i in range(1, BUCKETS)], 10_000).alias("bounds"))
+    placed = counts.join(bounds, "g").select("g", "v", "n", "all", rank_in(F.array_sort(F.array_distinct("bounds")), F.col("v"), BUCKETS).alias("bucket"))
+    sums = placed.groupBy("g", "all", "bucket").agg(F.sum("n").alias("n"))
+    upto = Window.partitionBy("g").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # at most BUCKETS rows a group
+    sums = sums.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
+    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("q"), (F.lit(q) * (F.col("all") - 1)).alias("at"), F.lit(up).alias("up")) for i, q in enumerate(quantiles) for up in (0, 1)]))
+    rank = F.least(F.floor(F.col("w.at")) + F.col("w.up"), F.col("all") - 1)
+    hits = sums.withColumn("w", wanted).withColumn("rank", rank).where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
+    hits = hits.select("g", "bucket", "before", "rank", "w.q", "w.up", (F.col("w.at") - F.floor(F.col("w.at"))).alias("frac"))
+    of = hits.select("g", "bucket", "before").distinct()
+    inside = Window.partitionBy("g", "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+    ordered = placed.join(of, ["g", "bucket"]).withColumn("first", F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    found = ordered.select("g", "bucket", "v", "first", "n").join(hits.drop("before"), ["g", "bucket"]).where((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("n")))
+    end = lambda i, up: F.max(F.when((F.col("q") == i) & (F.col("up") == up), F.col("v")))
+    part = lambda i: F.max(F.when(F.col("q") == i, F.col("frac")))
+    names = [f"p{round(q * 100):02d}" for q in quantiles]
+    out = found.groupBy("g").agg(*[((1 - part(i)) * end(i, 0) + part(i) * end(i, 1)).alias(n) for i, n in enumerate(names)])
+    return out.select(*[F.col(f"g.{x}").alias(g) for x, g in zip(gs, groups, strict=True)], *names)
+
+
+def slowdowns(df: DataFrame, series: str, order: list[str], value: str, last: int = 3, factor: float = 2.0, least: int = 6) -> DataFrame:
+    """Rows at which the newest ``last`` measurements of a series are all at least ``factor`` times the (upper) median of
+    those before them; a series starts to be judged with its ``least``-th measurement.
+
+    A series is one run's measurements (pages of a load): its history is bounded and ordered in one task.
+    """
+    w = Window.partitionBy(series).orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, -last)
+    known = df.where(F.col(value).isNotNull())
+    t = known.withColumns({"nth": F.row_number().over(w), "_before": F.array_sort(F.collect_list(value).over(upto)), "least_recent": F.min(value).over(w.rowsBetween(1 - last, 0))})
+    t = t.withColumn("baseline", F.get("_before", F.floor(F.size("_before") / 2).cast("int"))).drop("_before")
+    return t.where((F.col("nth") >= least) & (F.col("baseline") > 0) & (F.col("least_recent") >= F.col("baseline") * factor))
 
 
 def tagged_union(parts: dict[str, DataFrame], tag: str = "unit_type") -> DataFrame:

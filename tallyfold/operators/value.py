@@ -50,7 +50,7 @@ def pair_at_cutoff(units: DataFrame, results: DataFrame, valuations: DataFrame,
     """
     clean = lambda c: F.nullif(F.trim(c), F.lit(""))
     copies = units.groupBy("unit").agg(F.count(F.lit(1)).alias("prepared_n"))
-    a = results.groupBy("prepared_id").agg(F.count(F.lit(1)).alias("a_n"), F.max("calculated").alias("a_calc"), F.max("generalized").alias("a_gen"), F.max("result_id").alias("a_id"), F.listagg(clean(F.col("calc_error")), "; ").alias("a_error"))
+    a = results.groupBy("prepared_id").agg(F.count(F.lit(1)).alias("a_n"), F.max("calculated").alias("a_calc"), F.max("generalized").alias("a_gen"), F.max("result_id").alias("a_id"), F.bool_or(clean(F.col("calc_error")).isNotNull()).alias("a_error"))
     live = ~F.col("status").eqNullSafe(F.lit("X")) & (F.col("model_ver") == version)
     mine = live & (F.col("model") == model)
     valid = valuations.where((F.col("valid_from") <= cutoff) & (F.col("valid_to").isNull() | (F.col("valid_to") > cutoff)))
@@ -58,7 +58,7 @@ def pair_at_cutoff(units: DataFrame, results: DataFrame, valuations: DataFrame,
     b = valid.groupBy("unit").agg(F.count_if(mine).alias("b_n"), one("calculated").alias("b_calc"), one("generalized").alias("b_gen"), one("source_id").alias("b_id"), F.bool_or(F.coalesce(live & (F.col("model") == "ERROR"), F.lit(False))).alias("b_error"))
     j = units.join(copies, "unit", "left").join(a, "prepared_id", "left").join(b, "unit", "left")
     n = lambda c: F.coalesce(F.col(c), F.lit(0))
-    problem = F.when((n("prepared_n") > 1) | (n("a_n") > 1) | (n("b_n") > 1), "AMBIGUOUS").when(clean(F.col("prep_error")).isNotNull() | F.col("a_error").isNotNull(), "ERROR_A").when(F.col("b_error"), "ERROR_B")
+    problem = F.when((n("prepared_n") > 1) | (n("a_n") > 1) | (n("b_n") > 1), "AMBIGUOUS").when(clean(F.col("prep_error")).isNotNull() | F.coalesce("a_error", F.lit(False)), "ERROR_A").when(F.col("b_error"), "ERROR_B")
     j = j.withColumn("problem", problem)
     for p in ("a", "b"):
         for v in ("calc", "gen", "id"):
@@ -112,17 +112,22 @@ def share_minus_area(parcels: DataFrame, scopes: DataFrame, units: DataFrame, bu
     in the parcel's scope and the unit's end (the far date if open) is not after the link's end.  No known
     unit gives NULL, no counted link the previous value, no share NULL; parcels that are not included keep
     the previous value.  All lookups are equi-joins; several parts or rows of a building count once.
+
+    Links are read once and summed per parcel, building and end before anything is joined to them, and parcels meet
+    them through the buildings of their own scope, on parcel and building: no target meets links of
+    buildings that cannot count.
     """
     prev = F.when(F.col("is_insert"), None).otherwise(F.col("previous"))
     target = parcels.where(F.col("included")).select("id", "scope_id", "parcel_id", "share", prev.alias("prev"))
     version = ["link_id", "date_from", "date_to"]
-    touched = links.join(target.select("parcel_id").distinct(), "parcel_id", "left_semi").select("link_id").distinct()
-    latest = links.join(touched, "link_id", "left_semi").groupBy(*version).agg(F.max_by(F.struct("parcel_id", "building_id", "area"), "loaded_at").alias("l")).select(*version, "l.*")
+    latest = links.groupBy(*version).agg(F.max(F.struct("loaded_at", "parcel_id", "building_id", "area")).alias("l")).select("date_to", "l.parcel_id", "l.building_id", "l.area")
     live = buildings.join(parts.where(F.col("included")).select(F.col("building_row").alias("id")).distinct(), "id", "left_semi").select("scope_id", "building_id").distinct()
+    sums = latest.join(live.select("building_id").distinct(), "building_id", "left_semi").groupBy("parcel_id", "building_id", "date_to").agg(F.sum("area").alias("area"))
     ends = scopes.select(F.col("id").alias("scope_id"), "unit_id").join(units.select(F.col("id").alias("unit_id"), F.coalesce("valid_to", F.lit(far).cast("timestamp_ntz")).alias("unit_end")), "unit_id")
-    counted = target.join(ends, "scope_id").join(latest, "parcel_id").where("unit_end <= date_to").join(live, ["scope_id", "building_id"], "left_semi")
-    area = counted.groupBy("id").agg(F.sum("area").alias("area"))
-    t = target.join(scopes.select(F.col("id").alias("scope_id"), "unit_id"), "scope_id", "left").join(area, "id", "left")
+    asked = target.select("scope_id", "parcel_id").distinct().join(ends, "scope_id").join(live, "scope_id")
+    counted = asked.join(sums, ["parcel_id", "building_id"]).where("unit_end <= date_to")
+    area = counted.groupBy("scope_id", "parcel_id").agg(F.sum("area").alias("area"))
+    t = target.join(scopes.select(F.col("id").alias("scope_id"), "unit_id"), "scope_id", "left").join(area, ["scope_id", "parcel_id"], "left")
     new = F.when(F.col("unit_id").isNull(), None).when(F.col("area").isNull(), F.col("prev")).when(F.col("share").isNull(), None).otherwise(F.greatest(F.col("share") - F.col("area"), F.lit(0).cast("decimal(20,2)")))
     calc = t.select("id", new.alias("new_value"), F.lit(True).alias("ruled"))
     return parcels.join(calc, "id", "left").withColumn("actual", F.when(F.col("ruled"), F.col("new_value")).otherwise(F.col("previous"))).drop("new_value", "ruled")
@@ -141,3 +146,45 @@ def selection_diff(manual: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     s = stored.select(key).distinct().withColumn("_s", F.lit(True))
     side = F.when(F.col("_s").isNull(), "manual_only").when(F.col("_m").isNull(), "stored_only").otherwise("both")
     return m.join(s, key, "full").select(key, side.alias("side"))
+
+
+def compare_parts(a: DataFrame, b: DataFrame, unit: str, part: str, row_id: str, value: str, tolerance: Column) -> DataFrame:
+    """Totals over the parts of each unit, compared; parts are never paired by their position.
+
+    A total is missing if one part's value is; a side on which a row or a part comes twice is ambiguous, and then
+    neither total nor difference is given.
+    """
+
+    def side(df: DataFrame, p: str) -> DataFrame:
+        per = df.groupBy(unit, part).agg(F.count(F.lit(1)).alias("n"), F.count(value).alias("known"), F.sum(value).alias("v"))
+        rows = df.groupBy(unit, row_id).agg(F.count(F.lit(1)).alias("m")).groupBy(unit).agg((F.max("m") > 1).alias("twice"))
+        sums = per.groupBy(unit).agg(F.count(F.lit(1)).alias(f"{p}_parts"), (F.max("n") > 1).alias("several"), (F.sum("known") == F.sum("n")).alias("whole"), F.sum("v").alias("total"))
+        return sums.join(rows, unit).select(unit, f"{p}_parts", (F.col("several") | F.col("twice")).alias(f"{p}_ambiguous"), F.when(F.col("whole"), F.col("total")).alias(f"{p}_total"))
+
+    j = side(a, "a").join(side(b, "b"), unit, "full")
+    no = lambda c: F.coalesce(c, F.lit(False))
+    ambiguous = no("a_ambiguous") | no("b_ambiguous")
+    shown = lambda p: F.when(~ambiguous, F.col(f"{p}_total"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    status = F.when(ambiguous, "AMBIGUOUS").otherwise(compare_status(F.col("a_total"), F.col("b_total"), tolerance))
+    return j.select(unit, zero("a_parts"), zero("b_parts"), shown("a").alias("a_total"), shown("b").alias("b_total"), (shown("a") - shown("b")).alias("delta"), status.alias("status"))
+
+
+def compare_with_problems(a: DataFrame, b: DataFrame, unit: str, value: str, version: Column) -> DataFrame:
+    """One row a unit with all problems of its two sides, or DIFFERENT / EQUAL, and what keeps it from being compared.
+
+    ``a(unit, result, value, error)``, ``b(unit, value, error, model_version)``.  Several candidates on a side or another
+    model version than ``version`` are a ``diagnostic``; then no problem list and no difference is given.
+    """
+    blank = lambda c: F.nullif(F.trim(c), F.lit(""))
+    ga = a.groupBy(unit).agg(F.count(F.lit(1)).alias("a_n"), F.max("result").alias("result"), F.max(value).alias("a_v"), F.bool_or(blank("error").isNotNull()).alias("a_e"))
+    gb = b.groupBy(unit).agg(F.count(F.lit(1)).alias("b_n"), F.max(value).alias("b_v"), F.bool_or(blank("error").isNotNull()).alias("b_e"), F.max("model_version").alias("b_m"))
+    j = ga.join(gb, unit, "full")
+    n = lambda c: F.coalesce(c, F.lit(0))
+    diagnostic = F.when((n("a_n") > 1) | (n("b_n") > 1), "AMBIGUOUS").when(~F.col("b_m").eqNullSafe(version) & (n("b_n") == 1), "VERSION_MISMATCH")
+    no_a, no_b = F.col("result").isNull(), n("b_n") == 0
+    no = lambda c: F.coalesce(c, F.lit(False))
+    found = problem_list(MISSING_A=no_a, MISSING_B=no_b, ERROR_A=no("a_e"), ERROR_B=no("b_e"), NO_VALUE_A=F.col("a_v").isNull() & ~no_a, NO_VALUE_B=F.col("b_v").isNull() & ~no_b)
+    delta = F.when(diagnostic.isNull() & (F.size(found) == 0), F.col("a_v") - F.col("b_v"))
+    verdict = F.when(F.size(found) > 0, found).otherwise(F.array(F.when(F.col("a_v") == F.col("b_v"), "EQUAL").otherwise("DIFFERENT")))
+    return j.select(unit, diagnostic.alias("diagnostic"), F.when(diagnostic.isNull(), verdict).alias("problems"), delta.alias("delta"))

@@ -82,9 +82,13 @@ def open_and_closing_revision(spark, sf):
 # ---- values -----------------------------------------------------------------------------------------
 
 
-@query("""WITH u AS (SELECT c_custkey AS unit, 'p' || c_custkey AS prepared_id, CASE WHEN c_custkey % 41 = 0 THEN 'bad' WHEN c_custkey % 43 = 0 THEN '  ' END AS prep_error FROM customer UNION ALL SELECT c_custkey, 'q' || c_custkey, NULL FROM customer WHERE c_custkey % 67 = 0),
-r AS (SELECT 'p' || o_custkey AS prepared_id, o_orderkey AS result_id, o_totalprice::DECIMAL(20,2) AS calculated, CASE WHEN o_orderkey % 4 <> 0 THEN round(o_totalprice)::DECIMAL(20,2) END AS generalized, CASE WHEN o_orderkey % 29 = 0 THEN 'e' END AS calc_error FROM orders WHERE o_orderkey % 8 = 0),
-v AS (SELECT o_custkey AS unit, o_orderkey AS source_id, CASE WHEN o_orderkey % 31 = 0 THEN 'ERROR' ELSE 'M' END AS model, 100 + o_orderkey % 2 AS model_ver, CASE WHEN o_orderkey % 5 = 0 THEN 'X' WHEN o_orderkey % 3 = 0 THEN 'A' END AS status, o_orderdate AS valid_from, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate + INTERVAL 500 DAY END AS valid_to, o_totalprice::DECIMAL(20,2) AS calculated, round(o_totalprice)::DECIMAL(20,2) AS generalized FROM orders WHERE o_orderkey % 8 IN (0, 3)),
+@query("""WITH u AS (SELECT o_orderkey AS unit, 'p' || o_orderkey AS prepared_id, CASE WHEN o_orderkey % 41 = 0 THEN 'bad' WHEN o_orderkey % 43 = 0 THEN '  ' END AS prep_error FROM orders UNION ALL SELECT o_orderkey, 'q' || o_orderkey, NULL FROM orders WHERE o_orderkey % 67 = 0),
+r AS (SELECT 'p' || l_orderkey AS prepared_id, min(l_partkey) AS result_id, sum(l_extendedprice::DECIMAL(20,2)) AS calculated, CASE WHEN l_orderkey % 4 <> 0 THEN round(sum(l_extendedprice::DECIMAL(20,2)), 0) END::DECIMAL(20,2) AS generalized, CASE WHEN l_orderkey % 29 = 0 THEN 'e' END AS calc_error FROM lineitem GROUP BY l_orderkey
+ UNION ALL SELECT 'p' || o_orderkey, o_orderkey, o_totalprice::DECIMAL(20,2), NULL, NULL FROM orders WHERE o_orderkey % 53 = 0),
+t AS (SELECT l_orderkey, sum(l_extendedprice::DECIMAL(20,2)) AS s FROM lineitem GROUP BY 1),
+v0 AS (SELECT o_orderkey AS unit, o_orderkey AS source_id, o_orderkey AS k, o_orderdate AS d, CASE WHEN o_orderkey % 3 = 0 THEN s + o_orderkey % 3 + (o_orderkey % 2) * 0.01 WHEN o_orderkey % 3 = 1 THEN s ELSE o_totalprice::DECIMAL(20,2) END::DECIMAL(20,2) AS a FROM orders LEFT JOIN t ON l_orderkey = o_orderkey),
+v AS (SELECT unit, source_id, CASE WHEN k % 31 = 0 THEN 'ERROR' ELSE 'M' END AS model, CASE WHEN k % 23 = 0 THEN 101 ELSE 100 END AS model_ver, CASE WHEN k % 37 = 0 THEN 'X' WHEN k % 3 = 0 THEN 'A' END AS status, d AS valid_from, CASE WHEN k % 7 <> 0 THEN d + INTERVAL 2000 DAY END AS valid_to, a AS calculated, round(a, 0)::DECIMAL(20,2) AS generalized FROM v0
+ UNION ALL SELECT o_orderkey, -o_orderkey, 'M', 100, NULL, TIMESTAMP '1990-01-01', NULL, 1, 1 FROM orders WHERE o_orderkey % 59 = 0),
 c AS (SELECT unit, count(*) AS n FROM u GROUP BY unit),
 a AS (SELECT prepared_id, count(*) AS n, max(calculated) AS calc, max(generalized) AS gen, max(result_id) AS id, count(nullif(trim(calc_error), '')) > 0 AS err FROM r GROUP BY 1),
 l AS (SELECT *, status IS DISTINCT FROM 'X' AND model_ver = 100 AS live FROM v WHERE valid_from <= TIMESTAMP '2000-01-01' AND (valid_to IS NULL OR valid_to > TIMESTAMP '2000-01-01')),
@@ -97,14 +101,22 @@ SELECT unit, prepared_id, result_id, source_id, ac::DOUBLE AS a_calc, bc::DOUBLE
  ag::DOUBLE AS a_gen, bg::DOUBLE AS b_gen, (CASE WHEN problem IS NULL THEN ag - bg END)::DOUBLE AS delta_gen,
  coalesce(problem, CASE WHEN ag IS NULL THEN 'MISSING_A' WHEN bg IS NULL THEN 'MISSING_B' WHEN abs(ag - bg) > 0.01 THEN 'DIFFERENT' ELSE 'EQUAL' END) AS status_gen FROM j""")
 def pair_at_cutoff(spark, sf):
-    c, o = table(spark, sf, "customer"), table(spark, sf, "orders")
-    k, ok = F.col("c_custkey"), F.col("o_orderkey")
-    units = c.select(k.alias("unit"), F.concat(F.lit("p"), k).alias("prepared_id"), F.when(k % 41 == 0, "bad").when(k % 43 == 0, "  ").alias("prep_error")).union(c.where(k % 67 == 0).select(k, F.concat(F.lit("q"), k), F.lit(None).cast("string")))
-    price = F.col("o_totalprice").cast("decimal(20,2)")
-    whole = F.round("o_totalprice").cast("decimal(20,2)")
-    results = o.where(ok % 8 == 0).select(F.concat(F.lit("p"), "o_custkey").alias("prepared_id"), ok.alias("result_id"), price.alias("calculated"), F.when(ok % 4 != 0, whole).alias("generalized"), F.when(ok % 29 == 0, "e").alias("calc_error"))
+    o, l = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    k = F.col("o_orderkey")
+    dec = lambda c: c.cast("decimal(20,2)")
+    units = o.select(k.alias("unit"), F.concat(F.lit("p"), k).alias("prepared_id"), F.when(k % 41 == 0, "bad").when(k % 43 == 0, "  ").alias("prep_error")).union(o.where(k % 67 == 0).select(k, F.concat(F.lit("q"), k), F.lit(None).cast("string")))
+    sums = l.groupBy("l_orderkey").agg(F.sum(dec(F.col("l_extendedprice"))).alias("s"), F.min("l_partkey").alias("first"))
+    lk = F.col("l_orderkey")
+    none = lambda t: F.lit(None).cast(t)
+    results = sums.select(F.concat(F.lit("p"), lk).alias("prepared_id"), F.col("first").alias("result_id"), dec(F.col("s")).alias("calculated"), F.when(lk % 4 != 0, dec(F.round("s", 0))).alias("generalized"), F.when(lk % 29 == 0, "e").alias("calc_error"))
+    results = results.union(o.where(k % 53 == 0).select(F.concat(F.lit("p"), k), k, dec(F.col("o_totalprice")), none("decimal(20,2)"), none("string")))
+    amount = F.when(k % 3 == 0, F.col("s") + k % 3 + (k % 2) * F.lit("0.01").cast("decimal(3,2)")).when(k % 3 == 1, F.col("s")).otherwise(dec(F.col("o_totalprice")))
     d = F.col("o_orderdate").cast("timestamp_ntz")
-    vals = o.where((ok % 8).isin(0, 3)).select(F.col("o_custkey").alias("unit"), ok.alias("source_id"), F.when(ok % 31 == 0, "ERROR").otherwise("M").alias("model"), (ok % 2 + 100).alias("model_ver"), F.when(ok % 5 == 0, "X").when(ok % 3 == 0, "A").alias("status"), d.alias("valid_from"), F.when(ok % 7 != 0, d + F.expr("INTERVAL 500 DAY")).alias("valid_to"), price.alias("calculated"), whole.alias("generalized"))
+    v = o.join(sums, k == lk, "left").withColumn("a", dec(amount))
+    end = F.when(k % 7 != 0, d + F.expr("INTERVAL 2000 DAY"))
+    vals = v.select(k.alias("unit"), k.alias("source_id"), F.when(k % 31 == 0, "ERROR").otherwise("M").alias("model"), F.when(k % 23 == 0, 101).otherwise(100).alias("model_ver"), F.when(k % 37 == 0, "X").when(k % 3 == 0, "A").alias("status"), d.alias("valid_from"), end.alias("valid_to"), F.col("a").alias("calculated"), dec(F.round("a", 0)).alias("generalized"))
+    one = F.lit(1).cast("decimal(20,2)")
+    vals = vals.union(o.where(k % 59 == 0).select(k, -k, F.lit("M"), F.lit(100), none("string"), ts("1990-01-01"), none("timestamp_ntz"), one, one))
     p = value.pair_at_cutoff(units, results, vals, ts("2000-01-01"), "M", 100, F.lit(0.01).cast("decimal(10,2)"))
     return p.select(*[F.col(x).cast("double").alias(x) if x[:2] in ("a_", "b_") or x.startswith("delta") else F.col(x) for x in p.columns])
 
@@ -122,11 +134,11 @@ def round_tiers(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", value.round_tiers((F.col("o_totalprice") / by).cast("decimal(20,4)")).cast("double").alias("rounded"))
 
 
-@query("""WITH a AS (SELECT o_custkey AS k, count(*) AS n, max(o_orderkey) AS v FROM orders WHERE o_orderkey % 9 = 0 GROUP BY 1), b AS (SELECT o_custkey AS k, count(*) AS n, max(o_orderkey) AS v FROM orders WHERE o_orderkey % 9 = 4 GROUP BY 1)
-SELECT coalesce(a.k, b.k) AS o_custkey, coalesce(a.n, 0) AS left_candidates, coalesce(b.n, 0) AS right_candidates, CASE WHEN a.n = 1 THEN a.v END AS left_value, CASE WHEN b.n = 1 THEN b.v END AS right_value, coalesce(a.n, 0) > 1 OR coalesce(b.n, 0) > 1 AS ambiguous FROM a FULL JOIN b ON a.k = b.k""")
+@query("""WITH a AS (SELECT o_custkey AS k, o_orderpriority AS p, count(*) AS n, max(o_orderkey) AS v FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2), b AS (SELECT o_custkey AS k, o_orderpriority AS p, count(*) AS n, max(o_orderkey) AS v FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1, 2)
+SELECT coalesce(a.k, b.k) AS o_custkey, coalesce(a.p, b.p) AS o_orderpriority, coalesce(a.n, 0) AS left_candidates, coalesce(b.n, 0) AS right_candidates, CASE WHEN a.n = 1 THEN a.v END AS left_value, CASE WHEN b.n = 1 THEN b.v END AS right_value, coalesce(a.n, 0) > 1 OR coalesce(b.n, 0) > 1 AS ambiguous FROM a FULL JOIN b ON a.k = b.k AND a.p = b.p""")
 def guarded_pairing(spark, sf):
     o = table(spark, sf, "orders")
-    return value.guarded_pair(o.where("o_orderkey % 9 = 0"), o.where("o_orderkey % 9 = 4"), ["o_custkey"], "o_orderkey", "o_orderkey")
+    return value.guarded_pair(o.where("o_orderstatus = 'F'"), o.where("o_orderstatus <> 'F'"), ["o_custkey", "o_orderpriority"], "o_orderkey", "o_orderkey")
 
 
 @query("""WITH r AS (SELECT * FROM (VALUES ('area', 'f_area', 'g1'), ('year', 'f_year', 'g1'), ('none', 'f_none', 'g2')) v(key, field, grp)),
@@ -441,7 +453,10 @@ def change_order(spark, sf):
 
 @query("SELECT c_mktsegment, c_custkey, count(*) OVER (PARTITION BY c_mktsegment, c_nationkey) AS same FROM customer")
 def duplicate_marker(spark, sf):
-    return table(spark, sf, "customer").select("c_mktsegment", "c_custkey", F.count(F.lit(1)).over(Window.partitionBy("c_mktsegment", "c_nationkey")).alias("same"))
+    """Group sizes are aggregated and joined back, so a large group fills no window."""
+    c = table(spark, sf, "customer").select("c_mktsegment", "c_custkey", "c_nationkey")
+    n = c.groupBy("c_mktsegment", "c_nationkey").agg(F.count(F.lit(1)).alias("same"))
+    return c.join(n, ["c_mktsegment", "c_nationkey"]).select("c_mktsegment", "c_custkey", "same")
 
 
 @query("SELECT o_custkey, count(*) AS n, string_agg('{\"k\":' || o_orderkey || ',\"s\":\"' || o_orderstatus || '\"}', ',' ORDER BY o_orderkey) AS body FROM orders GROUP BY 1")
@@ -503,15 +518,133 @@ def hourly_windows(spark, sf):
 
 @query(f"SELECT user_id, event_id, {sql_instant('ts')} FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
 def stream_latest_state(spark, sf):
-    """Latest event of each user as a streaming aggregation over the events as files, run to completion."""
-    import uuid
-
-    from ..streaming.changes import latest_state, read_changes
+    """Latest event of each user as a streaming aggregation over the events as files, run to completion; what changes goes
+    to a bucketed table in the shared folder, batch by batch."""
+    from ..plans.shared import shared_dir
+    from ..plans.store import current
+    from ..streaming.changes import latest_state, read_changes, upsert_sink
 
-    name = f"latest_{uuid.uuid4().hex}"
-    schema = table(spark, sf, "events").schema
+    root, schema = shared_dir(spark, "latest"), table(spark, sf, "events").schema
     state = latest_state(read_changes(spark, sf, schema, glob="events.parquet"), "user_id", "ts", ["event_id"])
-    q = state.writeStream.format("memory").queryName(name).outputMode("complete").trigger(availableNow=True).start()
+    sink = upsert_sink(f"{root}/table", ["user_id"], "ts", buckets=8)
+    q = state.writeStream.foreachBatch(sink).option("checkpointLocation", f"{root}/checkpoint").outputMode("update").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.table(name).select("user_id", "event_id", instant("ts"))
+    return current(spark, f"{root}/table").select("user_id", "event_id", instant("ts"))
+
+
+@query("""WITH l AS (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_extendedprice DESC) = 1),
+e AS (SELECT user_id, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1),
+f AS (SELECT l_orderkey, l_linenumber AS first_line FROM l QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber) = 1),
+rooms AS (SELECT l_orderkey, sum(l_quantity::DECIMAL(20,2))::DOUBLE AS net, (sum(l_quantity::DECIMAL(20,2)) FILTER (EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey AND p_size > 25)))::DOUBLE AS usable FROM l GROUP BY 1),
+zps AS (SELECT l_suppkey, sum(l_extendedprice::DECIMAL(20,2))::DOUBLE AS supplier_total FROM l GROUP BY 1),
+comp AS (SELECT l_partkey, sum(l_quantity::DECIMAL(20,2))::DOUBLE AS returned FROM l WHERE l_returnflag = 'R' GROUP BY 1),
+last AS (SELECT o_custkey, o_orderkey AS newest_order FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
+SELECT l.l_orderkey, l.l_linenumber, p_name, s_name, sn.n_name AS supplier_nation, sr.r_name AS supplier_region, c_name, cn.n_name AS customer_nation, cr.r_name AS customer_region, e.event_type, f.first_line, net, usable, supplier_total, returned, newest_order
+FROM l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN customer ON c_custkey = o.o_custkey LEFT JOIN nation cn ON cn.n_nationkey = c_nationkey LEFT JOIN region cr ON cr.r_regionkey = cn.n_regionkey
+LEFT JOIN part ON p_partkey = l.l_partkey LEFT JOIN supplier ON s_suppkey = l.l_suppkey LEFT JOIN nation sn ON sn.n_nationkey = s_nationkey LEFT JOIN region sr ON sr.r_regionkey = sn.n_regionkey
+LEFT JOIN e ON e.user_id = o.o_custkey LEFT JOIN f ON f.l_orderkey = l.l_orderkey LEFT JOIN rooms ON rooms.l_orderkey = l.l_orderkey LEFT JOIN zps ON zps.l_suppkey = l.l_suppkey LEFT JOIN comp ON comp.l_partkey = l.l_partkey LEFT JOIN last ON last.o_custkey = o.o_custkey""")
+def wide_parts_view(spark, sf):
+    """A star of fourteen left joins over latest versions: small dimensions are left to Spark's broadcasts, sums are
+    aggregated before they are joined."""
+    o, c, n, r, p, s, raw = (table(spark, sf, t) for t in ("orders", "customer", "nation", "region", "part", "supplier", "lineitem"))
+    d = lambda *cs: [F.col(x).desc_nulls_last() for x in cs]
+    dec = lambda x: F.col(x).cast("decimal(20,2)")
+    l = temporal.latest_per_key(raw, ["l_orderkey", "l_linenumber"], d("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"))
+    e = temporal.latest_per_key(_events(spark, sf), ["user_id"], d("ts", "event_id")).select(F.col("user_id").alias("o_custkey"), "event_type")
+    first = temporal.latest_per_key(l, ["l_orderkey"], [F.col("l_shipdate"), F.col("l_linenumber")]).select("l_orderkey", F.col("l_linenumber").alias("first_line"))
+    large = p.where("p_size > 25").select(F.col("p_partkey").alias("l_partkey"), F.lit(True).alias("large"))
+    rooms = l.join(large, "l_partkey", "left").groupBy("l_orderkey").agg(F.sum(dec("l_quantity")).cast("double").alias("net"), F.sum(F.when(F.col("large"), dec("l_quantity"))).cast("double").alias("usable"))
+    zps = l.groupBy("l_suppkey").agg(F.sum(dec("l_extendedprice")).cast("double").alias("supplier_total"))
+    comp = l.where("l_returnflag = 'R'").groupBy("l_partkey").agg(F.sum(dec("l_quantity")).cast("double").alias("returned"))
+    last = temporal.latest_per_key(o, ["o_custkey"], d("o_orderdate", "o_orderkey")).select("o_custkey", F.col("o_orderkey").alias("newest_order"))
+    place = lambda of: n.join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(F.col("n_nationkey").alias(f"{of[0]}_nationkey"), F.col("n_name").alias(f"{of}_nation"), F.col("r_name").alias(f"{of}_region"))
+    j = l.join(o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey", "left")
+    j = j.join(c.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey"), "o_custkey", "left").join(place("customer"), "c_nationkey", "left")
+    j = j.join(p.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey", "left")
+    j = j.join(s.select(F.col("s_suppkey").alias("l_suppkey"), "s_name", "s_nationkey"), "l_suppkey", "left").join(place("supplier"), "s_nationkey", "left")
+    for side, key in ((e, "o_custkey"), (first, "l_orderkey"), (rooms, "l_orderkey"), (zps, "l_suppkey"), (comp, "l_partkey"), (last, "o_custkey")):
+        j = j.join(side, key, "left")
+    return j.select("l_orderkey", "l_linenumber", "p_name", "s_name", "supplier_nation", "supplier_region", "c_name", "customer_nation", "customer_region", "event_type", "first_line", "net", "usable", "supplier_total", "returned", "newest_order")
+
+
+@query("""WITH w AS (SELECT event_id, CASE WHEN event_id % 2 = 0 THEN TIMESTAMP '2026-03-29 00:00:00' ELSE TIMESTAMP '2026-10-25 00:00:00' END + (event_id % 360) * INTERVAL 1 MINUTE AS l FROM events),
+n AS (SELECT *, (((l - INTERVAL 1 HOUR) AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Vienna' = l)::INT + (((l - INTERVAL 2 HOUR) AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Vienna' = l)::INT AS hits FROM w)
+SELECT event_id, CASE hits WHEN 0 THEN 'gap' WHEN 1 THEN 'ok' ELSE 'overlap' END AS status FROM n""")
+def local_time_edges(spark, sf):
+    """Wall times around both changes of daylight saving: gaps, overlaps and their neighbours."""
+    k = F.col("event_id")
+    wall = F.when(k % 2 == 0, ts("2026-03-29")).otherwise(ts("2026-10-25")) + (k % 360) * F.expr("INTERVAL 1 MINUTE")
+    return _events(spark, sf).select("event_id", timeutil.local_status(wall.cast("timestamp_ntz"), ZONE).alias("status"))
+
+
+@query("""WITH a AS (SELECT s_suppkey AS id, ((s_suppkey * 53) % 400)::DOUBLE AS x, ((s_suppkey * 97) % 400)::DOUBLE AS y, (30 + s_suppkey % 60)::DOUBLE AS w, (30 + s_suppkey % 41)::DOUBLE AS h FROM supplier),
+b AS (SELECT p_partkey AS id, ((p_partkey * 37) % 400)::DOUBLE AS x, ((p_partkey * 91) % 400)::DOUBLE AS y, p_size::DOUBLE AS w, (5 + p_size % 17)::DOUBLE AS h FROM part),
+c AS (SELECT a.id AS a_id, b.id AS b_id, 100 * greatest(least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x), 0) * greatest(least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y), 0) / (b.w * b.h) AS pct FROM a, b)
+SELECT a_id, b_id, round(pct, 6) AS covered_pct FROM c WHERE pct >= 50 - 1e-9""")
+def spatial_coverage(spark, sf):
+    """Pairs of areas of which the first covers at least half of the second."""
+    from ..operators.spatial import coverage_join
+
+    def box(df, id_, x, y, w, h):
+        at = lambda a, b: F.concat(a.cast("double").cast("string"), F.lit(" "), b.cast("double").cast("string"))
+        ring = F.concat_ws(", ", at(x, y), at(x + w, y), at(x + w, y + h), at(x, y + h), at(x, y))
+        return df.select(F.col(id_).alias("id"), F.concat(F.lit("POLYGON (("), ring, F.lit("))")).alias("wkt"))
+
+    s, p = F.col("s_suppkey"), F.col("p_partkey")
+    a = box(table(spark, sf, "supplier"), "s_suppkey", s * 53 % 400, s * 97 % 400, s % 60 + 30, s % 41 + 30)
+    b = box(table(spark, sf, "part"), "p_partkey", p * 37 % 400, p * 91 % 400, F.col("p_size"), F.col("p_size") % 17 + 5)
+    pairs = coverage_join(a.withColumnRenamed("id", "a_id"), b.withColumnRenamed("id", "b_id"), "a_id", "b_id", "wkt", 50)
+    return pairs.select("a_id", "b_id", F.round("covered_pct", 6).alias("covered_pct"))
+
+
+@query("""WITH t AS (SELECT user_id, event_id, value, row_number() OVER w AS nth, min(value) OVER (w ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS recent, list_sort(list(value) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 3 PRECEDING)) AS b FROM events WHERE value IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+m AS (SELECT *, b[len(b) // 2 + 1] AS baseline FROM t) SELECT user_id, event_id, nth::INT AS nth, baseline FROM m WHERE nth >= 6 AND baseline > 0 AND recent >= baseline * 2""")
+def sustained_slowdowns(spark, sf):
+    """Users whose last three events all took at least twice the median of those before."""
+    return stats.slowdowns(_events(spark, sf), "user_id", ["ts", "event_id"], "value").select("user_id", "event_id", "nth", "baseline")
+
+
+@query("""WITH a AS (SELECT l_orderkey AS u, l_linenumber AS part, l_orderkey * 100 + l_linenumber * 10 + l_partkey % 10 AS id, CASE WHEN l_partkey % 17 <> 0 THEN l_extendedprice::DECIMAL(20,2) END AS v FROM lineitem),
+b AS (SELECT l_orderkey AS u, min(l_linenumber) AS part, l_orderkey AS id, (sum(l_extendedprice::DECIMAL(20,2)) + l_orderkey % 3)::DECIMAL(20,2) AS v FROM lineitem WHERE l_orderkey % 7 <> 0 GROUP BY l_orderkey),
+pa AS (SELECT u, count(DISTINCT part) AS n, count(*) > count(DISTINCT part) OR count(*) > count(DISTINCT id) AS amb, CASE WHEN count(v) = count(*) THEN sum(v) END AS v FROM a GROUP BY u),
+pb AS (SELECT u, count(DISTINCT part) AS n, false AS amb, CASE WHEN count(v) = count(*) THEN sum(v) END AS v FROM b GROUP BY u),
+j AS (SELECT coalesce(pa.u, pb.u) AS u, coalesce(pa.n, 0) AS a_parts, coalesce(pb.n, 0) AS b_parts, coalesce(pa.amb, false) OR coalesce(pb.amb, false) AS amb, pa.v AS av, pb.v AS bv FROM pa FULL JOIN pb ON pa.u = pb.u)
+SELECT u, a_parts, b_parts, CASE WHEN NOT amb THEN av END::DOUBLE AS a_total, CASE WHEN NOT amb THEN bv END::DOUBLE AS b_total, CASE WHEN NOT amb THEN av - bv END::DOUBLE AS delta,
+ CASE WHEN amb THEN 'AMBIGUOUS' WHEN av IS NULL THEN 'MISSING_A' WHEN bv IS NULL THEN 'MISSING_B' WHEN abs(av - bv) > 1 THEN 'DIFFERENT' ELSE 'EQUAL' END AS status FROM j""")
+def parts_before_compare(spark, sf):
+    l = table(spark, sf, "lineitem")
+    k, price = F.col("l_orderkey"), F.col("l_extendedprice").cast("decimal(20,2)")
+    a = l.select(k.alias("u"), F.col("l_linenumber").alias("part"), (k * 100 + F.col("l_linenumber") * 10 + F.col("l_partkey") % 10).alias("id"), F.when(F.col("l_partkey") % 17 != 0, price).alias("v"))
+    b = l.where(k % 7 != 0).groupBy(k.alias("u")).agg(F.min("l_linenumber").alias("part"), F.sum(price).alias("s")).select("u", "part", F.col("u").alias("id"), (F.col("s") + F.col("u") % 3).cast("decimal(20,2)").alias("v"))
+    out = value.compare_parts(a, b, "u", "part", "id", "v", F.lit(1).cast("decimal(10,2)"))
+    return out.select("u", "a_parts", "b_parts", *[F.col(c).cast("double").alias(c) for c in ("a_total", "b_total", "delta")], "status")
+
+
+@query("""WITH a AS (SELECT o_orderkey AS u, CASE WHEN o_orderkey % 9 <> 0 THEN o_orderkey END AS result, CASE WHEN o_orderkey % 4 <> 0 THEN o_custkey END AS v, CASE WHEN o_orderkey % 13 = 0 THEN 'e' WHEN o_orderkey % 14 = 0 THEN ' ' END AS error FROM orders WHERE o_orderkey % 10 <> 0),
+b AS (SELECT o_orderkey AS u, CASE WHEN o_orderkey % 5 <> 0 THEN o_custkey + o_orderkey % 2 END AS v, CASE WHEN o_orderkey % 17 = 0 THEN 'e' END AS error, 60 + (o_orderkey % 19 = 0)::INT AS m FROM orders WHERE o_orderkey % 11 <> 0 UNION ALL SELECT o_orderkey, 1, NULL, 60 FROM orders WHERE o_orderkey % 23 = 0),
+ga AS (SELECT u, count(*) AS n, max(result) AS result, max(v) AS v, bool_or(nullif(trim(error), '') IS NOT NULL) AS e FROM a GROUP BY u), gb AS (SELECT u, count(*) AS n, max(v) AS v, bool_or(nullif(trim(error), '') IS NOT NULL) AS e, max(m) AS m FROM b GROUP BY u),
+j AS (SELECT coalesce(ga.u, gb.u) AS u, CASE WHEN coalesce(ga.n, 0) > 1 OR coalesce(gb.n, 0) > 1 THEN 'AMBIGUOUS' WHEN gb.n = 1 AND gb.m IS DISTINCT FROM 60 THEN 'VERSION_MISMATCH' END AS diagnostic, ga.result, gb.n AS bn, ga.v AS av, gb.v AS bv, ga.e AS ae, gb.e AS be FROM ga FULL JOIN gb ON ga.u = gb.u),
+p AS (SELECT *, concat_ws(',', CASE WHEN result IS NULL THEN 'MISSING_A' END, CASE WHEN bn IS NULL THEN 'MISSING_B' END, CASE WHEN ae THEN 'ERROR_A' END, CASE WHEN be THEN 'ERROR_B' END, CASE WHEN av IS NULL AND result IS NOT NULL THEN 'NO_VALUE_A' END, CASE WHEN bv IS NULL AND bn IS NOT NULL THEN 'NO_VALUE_B' END) AS ps FROM j)
+SELECT u, diagnostic, CASE WHEN diagnostic IS NULL THEN CASE WHEN ps <> '' THEN ps WHEN av = bv THEN 'EQUAL' ELSE 'DIFFERENT' END END AS problems, CASE WHEN diagnostic IS NULL AND ps = '' THEN av - bv END AS delta FROM p""")
+def problems_and_diagnostics(spark, sf):
+    o = table(spark, sf, "orders")
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    a = o.where(k % 10 != 0).select(k.alias("u"), F.when(k % 9 != 0, k).alias("result"), F.when(k % 4 != 0, c).alias("v"), F.when(k % 13 == 0, "e").when(k % 14 == 0, " ").alias("error"))
+    b = o.where(k % 11 != 0).select(k.alias("u"), F.when(k % 5 != 0, c + k % 2).alias("v"), F.when(k % 17 == 0, "e").alias("error"), (F.lit(60) + (k % 19 == 0).cast("int")).alias("model_version"))
+    b = b.union(o.where(k % 23 == 0).select(k, F.lit(1).cast("long"), F.lit(None).cast("string"), F.lit(60)))
+    return value.compare_with_problems(a, b, "u", "v", F.lit(60)).withColumn("problems", F.array_join("problems", ","))
+
+
+@query("SELECT 'p_partkey' AS column_name, count(*) AS row_count, 0::BIGINT AS null_count, min(p_partkey)::VARCHAR AS low, max(p_partkey)::VARCHAR AS high FROM part UNION ALL SELECT 'p_brand', count(*), count(*) FILTER (p_size % 5 = 0), min(p_brand) FILTER (p_size % 5 <> 0), max(p_brand) FILTER (p_size % 5 <> 0) FROM part")
+def column_statistics(spark, sf):
+    from ..sources.scans import column_statistics as facts
+
+    p = table(spark, sf, "part").select("p_partkey", F.when(F.col("p_size") % 5 != 0, F.col("p_brand")).alias("p_brand"))
+    return facts(p).drop("about_distinct")
+
+
+@query("WITH e AS (SELECT min(p_retailprice) AS lo, max(p_retailprice) AS hi FROM part) SELECT least(floor((p_retailprice - lo) * 10 / (hi - lo)), 9)::INT AS bin, count(*) AS n FROM part, e GROUP BY 1")
+def value_histogram(spark, sf):
+    from ..sources.scans import value_histogram as histogram
 
+    return histogram(table(spark, sf, "part"), "p_retailprice", 10)

@@ -176,6 +176,36 @@ def gap_cohorts(spark, sf):
     return delta.gap_cohorts(source_orders(spark, sf), target_orders(spark, sf)).select("gap", "source_month", "target_month", "keys", day("earliest"), day("latest"))
 
 
+COMPARED = """c AS (SELECT s.key, s.changed AS s, t.changed AS t, date_trunc('month', t.changed) + INTERVAL 40 DAY AS loaded,
+ CASE WHEN t.key IS NULL THEN 'MISSING' WHEN s.changed = t.changed THEN 'EQUAL' WHEN s.changed > t.changed THEN 'STALE' ELSE 'AHEAD_OR_NULL' END AS category FROM src s LEFT JOIN tgt t ON s.key = t.key)"""
+
+
+def _compared(spark, sf):
+    t = target_orders(spark, sf).withColumn("loaded", F.date_trunc("MONTH", "changed").cast("timestamp_ntz") + F.expr("INTERVAL 40 DAY"))
+    return delta.compare_capture(source_orders(spark, sf), t, loaded="loaded")
+
+
+@query(f"WITH {SRC}, {TGT}, {COMPARED} SELECT strftime(s, '%Y-%m-%d') AS day, count(*) AS keys, count(*) FILTER (category = 'MISSING') AS missing, strftime(min(s), '%Y-%m-%d') AS earliest, strftime(max(s), '%Y-%m-%d') AS latest FROM c WHERE category <> 'EQUAL' GROUP BY 1")
+def gap_days(spark, sf):
+    return delta.gap_days(_compared(spark, sf)).select("day", "keys", "missing", day("earliest"), day("latest"))
+
+
+@query(f"WITH {SRC}, {TGT}, {COMPARED} SELECT strftime(loaded, '%Y-%m-%d') AS loaded, count(*) AS keys, count(*) FILTER (category = 'STALE') AS stale, strftime(min(s), '%Y-%m-%d') AS earliest, strftime(max(s), '%Y-%m-%d') AS latest FROM c WHERE category <> 'MISSING' GROUP BY c.loaded")
+def gap_loads(spark, sf):
+    return delta.gap_loads(_compared(spark, sf)).select(day("loaded"), "keys", "stale", day("earliest"), day("latest"))
+
+
+@query(f"WITH {SRC}, {TGT}, {COMPARED} SELECT strftime(s, '%Y-%m-%d') AS changed, count(*) AS keys, count(*) FILTER (category = 'EQUAL') AS equal, count(*) FILTER (category = 'MISSING') AS missing, count(*) FILTER (category = 'STALE') AS stale FROM c GROUP BY c.s HAVING count(*) FILTER (category = 'EQUAL') < count(*)")
+def gap_ties(spark, sf):
+    return delta.gap_ties(_compared(spark, sf)).select(day("changed"), "keys", "equal", "missing", "stale")
+
+
+@query(f"""WITH {SRC}, {TGT}, b AS (SELECT * FROM src WHERE changed >= TIMESTAMP '1998-01-01'), j AS (SELECT b.key IS NOT NULL AS was, coalesce(t.changed >= TIMESTAMP '1998-01-01', false) AS now, t.key IS NOT NULL AS there FROM b FULL JOIN tgt t ON b.key = t.key)
+SELECT count(*) FILTER (was) AS old_rows, count(*) FILTER (now) AS new_rows, count(*) FILTER (now AND NOT was) AS new_keys, count(*) FILTER (was AND NOT there) AS absent, count(*) FILTER (was AND there AND NOT now) AS moved_below FROM j""")
+def window_movement(spark, sf):
+    return delta.window_movement(source_orders(spark, sf), target_orders(spark, sf), ts("1998-01-01"))
+
+
 @query(f"""WITH {SRC}, {TGT}, s AS (SELECT * FROM src WHERE changed < TIMESTAMP '{CUT}'), t AS (SELECT * FROM tgt WHERE changed < TIMESTAMP '{CUT}')
 SELECT coalesce(s.key, t.key) AS key, CASE WHEN t.key IS NULL THEN 'source_only' WHEN s.key IS NULL THEN 'target_only' ELSE 'date_mismatch' END AS difference
 FROM s FULL JOIN t ON s.key = t.key WHERE s.key IS NULL OR t.key IS NULL OR s.changed <> t.changed""")
@@ -266,10 +296,47 @@ def stable_row_numbers(spark, sf):
     return g.agg(F.count(F.lit(1)).alias("n"), F.min("gid").alias("low"), F.max("gid").alias("high"), F.count_distinct("gid").alias("distinct_ids"))
 
 
-@query("WITH a AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0), b AS (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0) SELECT o_orderkey FROM a UNION SELECT o_orderkey FROM b")
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'old' ELSE 'new' END AS state FROM orders")
 def idempotent_copy(spark, sf):
+    """Every order is sent; those that are there already stay as they are, and sending all again adds nothing."""
     o = table(spark, sf, "orders").select("o_orderkey")
-    return rewrite.copy_absent(o.where("o_orderkey % 3 = 0"), o.where("o_orderkey % 2 = 0"), "o_orderkey")
+    sent = o.withColumn("state", F.lit("new"))
+    once = rewrite.copy_absent(o.where("o_orderkey % 3 = 0").withColumn("state", F.lit("old")), sent, "o_orderkey")
+    return rewrite.copy_absent(once, sent, "o_orderkey")
+
+
+@query("""WITH k AS (SELECT count(*) AS n FROM orders), c AS (SELECT count(*) AS n FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem))
+SELECT 'parent' AS kind, 2 * k.n AS n, 2 * k.n AS distinct_ids, k.n AS copies FROM k UNION ALL SELECT 'child', 2 * c.n, 2 * c.n, c.n FROM c""")
+def family_copy(spark, sf):
+    """Orders with their lines, copied twice under ids made from the sources' ids: the second time adds nothing."""
+    none = F.lit(None).cast("string").alias("origin")
+    p = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("id"), none)
+    c = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber").distinct().select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.col("l_orderkey").cast("string").alias("parent"), none)
+    wanted = p.select("id")
+    for _ in range(2):
+        p, c = rewrite.copy_family(p, c, wanted, "id", "parent", "orders")
+    count = lambda df, kind: df.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("distinct_ids"), F.count("origin").alias("copies"))
+    return count(p, "parent").union(count(c, "child"))
+
+
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey)::BIGINT AS gid, (row_number() OVER (ORDER BY o_orderkey) % 1000)::BIGINT AS __mod FROM orders")
+def numbers_in_key_order(spark, sf):
+    return rewrite.number_rows(table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], modulus=1000).select("o_orderkey", "gid", "__mod")
+
+
+@query(f"WITH {SRC}, {TGT}, t AS (SELECT * FROM tgt WHERE key % 11 <> 0), w AS (SELECT s.* FROM src s LEFT JOIN t ON s.key = t.key WHERE t.key IS NULL OR s.changed > t.changed) SELECT coalesce(w.key, t.key) AS key, strftime(coalesce(w.changed, t.changed), '%Y-%m-%d') AS changed FROM t FULL JOIN w ON t.key = w.key")
+def checked_upsert(spark, sf):
+    """Only newer rows are sent, and each of them has to take effect."""
+    t = target_orders(spark, sf).where("key % 11 <> 0")
+    return rewrite.checked_upsert(t, delta.newer_write_set(source_orders(spark, sf), t), ["key"], "changed").select("key", day("changed"))
+
+
+@query(f"""WITH {SRC}, {TGT} SELECT count(*) FILTER (t.key IS NOT NULL) AS production_rows, count(*) FILTER (t.key IS NULL) AS inserts, count(*) FILTER (t.changed < s.changed) AS updates,
+ count(*) FILTER (s.key IS NULL) AS deletes, count(*) FILTER (s.changed = t.changed) AS unchanged, count(*) FILTER (t.changed > s.changed) AS conflicts {JOIN}""")
+def safe_sync_counts(spark, sf):
+    from ..plans.sync import sync_counts
+
+    return sync_counts(source_orders(spark, sf), target_orders(spark, sf), "key", "changed")
 
 
 # ---- proofs and comparisons -------------------------------------------------------------------------
@@ -300,6 +367,19 @@ def parity(spark, sf):
     return quality.parity(source_orders(spark, sf), target_orders(spark, sf), "changed", ts(CUT))
 
 
+P_SRC = "p_src AS (SELECT o_orderkey AS key, o_orderdate + (o_orderkey % 5) * INTERVAL 250 MILLISECOND AS changed FROM orders)"
+
+
+@query(f"""WITH {P_SRC}, p_tgt AS (SELECT key, changed + INTERVAL 200 MILLISECOND AS changed FROM p_src WHERE key % 13 <> 0), c AS (SELECT TIMESTAMP '{CUT}' AS cut_at)
+SELECT (SELECT count(*) FROM p_src) AS source_rows, (SELECT count(*) FROM p_src, c WHERE changed <= cut_at) AS source_to_cutoff, (SELECT count(*) FROM p_src, c WHERE date_trunc('second', changed + INTERVAL 500 MILLISECOND) <= cut_at) AS source_rounded,
+ (SELECT count(*) FROM p_tgt) AS target_rows, (SELECT count(*) FROM p_tgt, c WHERE changed <= cut_at) AS target_to_cutoff, (SELECT count(*) FROM p_tgt, c WHERE date_trunc('second', changed + INTERVAL 500 MILLISECOND) <= cut_at) AS target_rounded""")
+def parity_of_seconds(spark, sf):
+    """Parity with fractions of seconds around the cutoff, where rounding changes the counts."""
+    s = source_orders(spark, sf).withColumn("changed", F.col("changed") + (F.col("key") % 5) * F.expr("INTERVAL 250000 MICROSECOND"))
+    t = s.where("key % 13 <> 0").withColumn("changed", F.col("changed") + F.expr("INTERVAL 200000 MICROSECOND"))
+    return quality.parity(s, t, "changed", ts(CUT))
+
+
 @query(f"WITH {SRC}, t AS (SELECT max(changed) AS m FROM src WHERE key % 10 = 3 AND changed < TIMESTAMP '2000-01-01') SELECT strftime(m, '%Y-%m-%d') AS target_max, strftime(max(changed), '%Y-%m-%d') AS source_max, count(*) FILTER (changed >= m) AS candidates_inclusive, count(*) FILTER (changed > m) AS candidates_strict FROM src, t GROUP BY m")
 def high_water(spark, sf):
     s = source_orders(spark, sf)
@@ -332,6 +412,21 @@ def payload_audit_counts(spark, sf):
     return quality.mapped_payload_audit(s, t, ["id"], ["bal", "seg"])
 
 
+@query(R_CMP + """, d AS (SELECT coalesce(s.id, t.id) AS id, CASE WHEN t.id IS NULL THEN 'left_only' WHEN s.id IS NULL THEN 'right_only' WHEN s.bal IS DISTINCT FROM t.bal OR s.seg IS DISTINCT FROM t.seg OR s.ver IS DISTINCT FROM t.ver THEN 'different' END AS kind FROM c_src s FULL JOIN c_tgt t ON s.id = t.id)
+SELECT id, kind FROM d WHERE kind IS NOT NULL QUALIFY row_number() OVER (PARTITION BY kind ORDER BY id) <= 10""")
+def difference_examples(spark, sf):
+    s, t = _customers(spark, sf)
+    return quality.difference_examples(quality.row_compare(s, t, ["id"], ["bal", "seg", "ver"]), ["id"]).select("id", "kind")
+
+
+@query(R_CMP + """, u AS (SELECT 'ver' AS c, s.ver::VARCHAR AS l, t.ver::VARCHAR AS r FROM c_src s JOIN c_tgt t ON s.id = t.id UNION ALL SELECT 'seg', s.seg, t.seg FROM c_src s JOIN c_tgt t ON s.id = t.id)
+SELECT c AS "column", CASE WHEN l IS NULL AND r IS NOT NULL THEN 'preserved' WHEN l IS NOT DISTINCT FROM r THEN 'equal' ELSE 'different' END AS state, count(*) AS n FROM u GROUP BY 1, 2""")
+def audit_with_control(spark, sf):
+    """The audit has to find a planted wrong value before its counts are given."""
+    s, t = _customers(spark, sf)
+    return quality.audit_with_control(s, t, ["id"], ["ver", "seg"], "ver")
+
+
 @query("""SELECT 'o_orderkey' AS candidate, count(*) AS total_rows, count(DISTINCT o_orderkey) AS distinct_keys, 0::BIGINT AS null_rows, true AS is_unique FROM orders
 UNION ALL SELECT 'o_custkey,o_orderdate', count(*), count(DISTINCT (o_custkey, o_orderdate)), 0, count(*) = count(DISTINCT (o_custkey, o_orderdate)) FROM orders""")
 def unique_key_coverage(spark, sf):
@@ -385,9 +480,9 @@ def fence_count(spark, sf):
     return scans.fence(e, "ts", ts("2024-01-15")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem WHERE (l_orderkey, l_linenumber) IN (SELECT o_orderkey, o_orderkey % 7 FROM orders WHERE o_orderkey % 50 = 0) GROUP BY 1, 2")
+@query("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem WHERE (l_orderkey, l_linenumber) IN (SELECT o_orderkey, o_orderkey % 7 FROM orders) GROUP BY 1, 2")
 def composite_key_lookup(spark, sf):
-    wanted = table(spark, sf, "orders").where("o_orderkey % 50 = 0").select(F.concat_ws("-", F.col("o_orderkey"), F.col("o_orderkey") % 7).alias("k"))
+    wanted = table(spark, sf, "orders").select(F.concat_ws("-", F.col("o_orderkey"), F.col("o_orderkey") % 7).alias("k"))
     return scans.lookup_text_key(table(spark, sf, "lineitem"), wanted, "k", ["l_orderkey", "l_linenumber"]).groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -16,6 +16,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from ..operators.quality import collapse_identical
+from .guards import identifier
 
 
 @dataclass(frozen=True)
@@ -74,15 +75,31 @@ def assert_exact_ids(wanted: DataFrame, got: DataFrame, key: str) -> None:
         raise ValueError("features do not match the wanted ids")
 
 
-class _Page(InputPartition):
-    def __init__(self, number: int):
+def xml_rows(xml: DataFrame, element: str, schema: str, column: str = "value") -> DataFrame:
+    """An XML text column as a table: one row per ``element`` below the root, with columns of a declared schema (children
+    by name, attributes with an underscore in front); what is not there is NULL."""
+    carry = [c for c in xml.columns if c != column]
+    parsed = F.from_xml(F.col(column), f"`{element}` array<struct<{schema}>>")
+    return xml.select(*carry, F.inline(parsed[element]))
+
+
+class _Span(InputPartition):
+    """A range of keys: ``low`` exclusive, ``high`` inclusive, None without an end; ``nulls`` for the rows without a key."""
+
+    def __init__(self, number: int, low, high, nulls: bool = False):
         super().__init__(number)
-        self.number = number
+        self.low, self.high, self.nulls = low, high, nulls
 
 
 class PagedFeatures(DataSource):
-    """``spark.read.format("paged_features")``: pages of a callable named ``module:function`` in the option
-    ``fetch``; it takes a page number and returns rows.  One partition per page."""
+    """``spark.read.format("paged_features")``: a layer behind a paged service.
+
+    Options: ``schema``; ``fetch``, a callable ``module:function`` that takes ``(low, high, nulls)`` and returns rows of that
+    range of keys (``low`` exclusive, ``high`` inclusive); ``bounds``, a JSON list of keys at which to cut; ``counts``, a JSON
+    list of how many rows the service announces for the group without a key and for each range.  Rows without a key come
+    first, as a group of their own; cuts are keys, so rows that share one are never torn apart; a group that is not as
+    large as announced is an error.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -97,13 +114,51 @@ class PagedFeatures(DataSource):
 
 class _PagedReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.fetch, self.pages = options["fetch"], int(options["pages"])
+        self.fetch, self.bounds = options["fetch"], json.loads(options.get("bounds", "[]"))
+        self.counts = json.loads(options["counts"]) if "counts" in options else None
 
     def partitions(self) -> list[InputPartition]:
-        return [_Page(i) for i in range(self.pages)]
+        ends = [None, *self.bounds, None]
+        return [_Span(0, None, None, True), *[_Span(i + 1, a, z) for i, (a, z) in enumerate(zip(ends, ends[1:], strict=False))]]
 
-    def read(self, partition: _Page):
+    def read(self, partition: _Span):
         import importlib
 
         module, _, function = self.fetch.partition(":")
-        yield from getattr(importlib.import_module(module), function)(partition.number)
+        rows = list(getattr(importlib.import_module(module), function)(partition.low, partition.high, partition.nulls))
+        if self.counts is not None and len(rows) != self.counts[partition.value]:
+            raise ValueError(f"group {partition.value}: {len(rows)} rows, {self.counts[partition.value]} announced")
+        yield from rows
+
+
+def geopackage(spark: SparkSession, path: str, table: str, schema: str, rows: int = 10_000) -> DataFrame:
+    """A table of GeoPackage (SQLite) files with its geometry as binary; ``functions.wkb`` reads that.
+
+    Files come through Spark, so any store will do; one task a file, which holds the file's bytes (a file is at most what
+    Spark reads as one binary value) and hands rows on in chunks.
+    """
+    from pyspark.sql.types import _parse_datatype_string
+
+    identifier(table)
+    names = [f.name for f in _parse_datatype_string(schema).fields]
+    for c in names:
+        identifier(c)
+    wanted = ", ".join(f'"{c}"' for c in names)
+
+    def run(batches):
+        import sqlite3
+
+        import pyarrow as pa
+
+        for batch in batches:
+            for data in batch.column(0).to_pylist():
+                with sqlite3.connect(":memory:") as db:
+                    db.deserialize(data)
+                    found = db.execute(f'SELECT {wanted} FROM "{table}" ORDER BY rowid')
+                    while chunk := found.fetchmany(rows):
+                        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in chunk], t) for i, t in enumerate(kinds)], names)
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kinds = [to_arrow_type(f.dataType) for f in _parse_datatype_string(schema).fields]
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, schema)

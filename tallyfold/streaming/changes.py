@@ -52,7 +52,8 @@ def flag_late(rows: DataFrame, baseline_max, changed: str) -> DataFrame:
 
 
 def tumbling(stream: DataFrame, ts: str, width: str, delay: str, groups: list[str]) -> DataFrame:
-    """Counts per event-time window and group."""
+    """Counts per event-time window and group (event times without a zone are taken in the session's)."""
+    stream = stream.withColumn(ts, F.col(ts).cast("timestamp"))
     return stream.withWatermark(ts, delay).groupBy(F.window(ts, width).alias("w"), *groups).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("window_start"), *groups, "n")
 
 
