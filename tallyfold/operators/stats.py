@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.search import rank_in
 from ..functions.timeutil import local_day
+from ..plans.shared import cut
 
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
@@ -26,43 +27,45 @@ def valuation_statistics(df: DataFrame, groups: list[str], value: str, error: st
     ]
     if error:
         aggs.append(F.count_if(F.trim(error) != "").alias("errors"))
-    base = df.groupBy(*groups).agg(*aggs)
-    exact = exact_percentiles(df, groups, value).withColumnsRenamed({g: f"_{g}" for g in groups})
-    same = F.lit(True)
-    for g in groups:
-        same &= F.col(g).eqNullSafe(F.col(f"_{g}"))
-    return base.join(exact, same, "left").drop(*[f"_{g}" for g in groups])
+    base = cut(df.groupBy(*groups).agg(*aggs, _sketch(v)))  # a row a group
+    sketch = base.select(F.struct(*groups).alias("g"), F.col("with_value").alias("all"), "_bounds")
+    exact = _ranks(df, groups, value, sketch, QUANTILES).withColumnRenamed("g", "_g")
+    return base.join(exact, F.struct(*groups) == F.col("_g"), "left").drop("_g", "_bounds")
 
 
 def exact_percentiles(df: DataFrame, groups: list[str], value: str, quantiles: tuple[float, ...] = QUANTILES) -> DataFrame:
-    """``groups p05 p25 ...``: interpolated percentiles, exact, in memory that does not grow with a group.
+    """``groups p05 p25 ...``: interpolated percentiles, exact, in memory that does not grow with a group."""
+    sketch = df.groupBy(F.struct(*groups).alias("g")).agg(F.count(value).alias("all"), _sketch(F.col(value))).where(F.col("all") > 0)
+    ranks = _ranks(df, groups, value, cut(sketch), quantiles)
+    return ranks.select("g.*", *[c for c in ranks.columns if c != "g"])
 
-    Equal values are counted first.  A bounded sketch per group cuts its values into ``BUCKETS`` ranges; sums over the
-    ranges tell in which of them the wanted ranks lie, whatever the sketch's error, and only those ranges are put in order.
-    """
-    v = F.col(value).cast("double")
-    known = df.where(F.col(value).isNotNull()).select(*[F.col(g).alias(f"g{i}") for i, g in enumerate(groups)], v.alias("v"))
-    gs = [f"g{i}" for i in range(len(groups))]
-    key = F.struct(*gs)
-    counts = known.groupBy(key.alias("g"), "v").agg(F.count(F.lit(1)).alias("n"))
-    bounds = known.groupBy(key.alias("g")).agg(F.count(F.lit(1)).alias("all"), F.percentile_approx("v", [i / BUCKETS for i in range(1, BUCKETS)], 10_000).alias("bounds"))
-    placed = counts.join(bounds, "g").select("g", "v", "n", "all", rank_in(F.array_sort(F.array_distinct("bounds")), F.col("v"), BUCKETS).alias("bucket"))
+
+def _sketch(v: Column) -> Column:
+    return F.percentile_approx(v.cast("double"), [i / BUCKETS for i in range(1, BUCKETS)], 1000).alias("_bounds")
+
+
+def _ranks(df: DataFrame, groups: list[str], value: str, sketch: DataFrame, quantiles: tuple[float, ...]) -> DataFrame:
+    """Equal values are counted first.  A bounded sketch per group cuts its values into ``BUCKETS`` ranges; sums over the
+    ranges tell in which of them the wanted ranks lie, whatever the sketch's error, and only those ranges are put in
+    order.  The counted values are written once and read twice."""
+    known = df.where(F.col(value).isNotNull()).groupBy(F.struct(*groups).alias("g"), F.col(value).cast("double").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    bucket = rank_in(F.col("_bounds"), F.col("v"), BUCKETS).alias("bucket")  # the sketch gives them in order
+    placed = cut(known.join(sketch, "g").select("g", "v", "n", "all", bucket))
     sums = placed.groupBy("g", "all", "bucket").agg(F.sum("n").alias("n"))
     upto = Window.partitionBy("g").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # at most BUCKETS rows a group
     sums = sums.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0)))
     wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("q"), (F.lit(q) * (F.col("all") - 1)).alias("at"), F.lit(up).alias("up")) for i, q in enumerate(quantiles) for up in (0, 1)]))
     rank = F.least(F.floor(F.col("w.at")) + F.col("w.up"), F.col("all") - 1)
     hits = sums.withColumn("w", wanted).withColumn("rank", rank).where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("before") + F.col("n")))
-    hits = hits.select("g", "bucket", "before", "rank", "w.q", "w.up", (F.col("w.at") - F.floor(F.col("w.at"))).alias("frac"))
-    of = hits.select("g", "bucket", "before").distinct()
+    hits = hits.select("g", "bucket", "before", F.struct("rank", "w.q", "w.up", (F.col("w.at") - F.floor(F.col("w.at"))).alias("frac")).alias("h"))
+    asked = hits.groupBy("g", "bucket", "before").agg(F.collect_list("h").alias("hs"))  # two a quantile at most
     inside = Window.partitionBy("g", "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    ordered = placed.join(of, ["g", "bucket"]).withColumn("first", F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
-    found = ordered.select("g", "bucket", "v", "first", "n").join(hits.drop("before"), ["g", "bucket"]).where((F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("n")))
-    end = lambda i, up: F.max(F.when((F.col("q") == i) & (F.col("up") == up), F.col("v")))
-    part = lambda i: F.max(F.when(F.col("q") == i, F.col("frac")))
+    ordered = placed.drop("all").join(asked, ["g", "bucket"]).withColumn("first", F.col("before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    found = ordered.select("g", "v", "first", "n", F.explode("hs").alias("h")).where((F.col("h.rank") >= F.col("first")) & (F.col("h.rank") < F.col("first") + F.col("n")))
+    end = lambda i, up: F.max(F.when((F.col("h.q") == i) & (F.col("h.up") == up), F.col("v")))
+    part = lambda i: F.max(F.when(F.col("h.q") == i, F.col("h.frac")))
     names = [f"p{round(q * 100):02d}" for q in quantiles]
-    out = found.groupBy("g").agg(*[((1 - part(i)) * end(i, 0) + part(i) * end(i, 1)).alias(n) for i, n in enumerate(names)])
-    return out.select(*[F.col(f"g.{x}").alias(g) for x, g in zip(gs, groups, strict=True)], *names)
+    return found.groupBy("g").agg(*[((1 - part(i)) * end(i, 0) + part(i) * end(i, 1)).alias(n) for i, n in enumerate(names)])
 
 
 def slowdowns(df: DataFrame, series: str, order: list[str], value: str, last: int = 3, factor: float = 2.0, least: int = 6) -> DataFrame:
