@@ -67,7 +67,7 @@ m AS (SELECT w0.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(word_c
   coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(n_pipes, 0) AS n_pipes, coalesce(n_runs, 0) AS n_runs, coalesce(n_plain, 0) AS n_plain, coalesce(top_word, 0) AS top_word
   FROM w0 LEFT JOIN a USING (doc_id) LEFT JOIN c USING (doc_id) LEFT JOIN f USING (doc_id) LEFT JOIN l USING (doc_id)),
 b AS (SELECT *, ((n_words < 50)::BIGINT + 2 * (100 * n_repeat_words > 50 * n_words)::BIGINT + 4 * (100 * n_symbols > 5 * word_chars)::BIGINT + 8 * (100 * n_dup_lines > 40 * n_lines)::BIGINT
-  + 16 * (word_chars < 2 * n_words OR word_chars > 15 * n_words)::BIGINT + 32 * (100 * n_plain < 60 * n_words)::BIGINT + 64 * (100 * top_word > 30 * n_words)::BIGINT + 128 * (100 * n_runs > 20 * n_words)::BIGINT + 256 * (100 * n_pipes > 10 * n_words)::BIGINT)::BIGINT AS failed_bits FROM m)
+  + 16 * (word_chars < 2 * n_words OR word_chars > 15 * n_words)::BIGINT + 32 * (100 * n_plain < 60 * n_words)::BIGINT + 64 * (top_word > 3 AND 100 * top_word > 30 * n_words)::BIGINT + 128 * (100 * n_runs > 20 * n_words)::BIGINT + 256 * (100 * n_pipes > 10 * n_words)::BIGINT)::BIGINT AS failed_bits FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (failed_bits & 3) <> 0 AS base_failed, failed_bits = 0 AS kept, failed_bits, sole_rule,
   CASE WHEN sole_rule IS NOT NULL THEN count(*) OVER (PARTITION BY sole_rule) END AS sole_rule_rejects
 FROM (SELECT *, CASE failed_bits WHEN 1 THEN 'few_words' WHEN 2 THEN 'repeated_windows' WHEN 4 THEN 'symbols' WHEN 8 THEN 'duplicate_lines' WHEN 16 THEN 'word_length'

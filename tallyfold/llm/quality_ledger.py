@@ -10,7 +10,7 @@ aggregation over the distinct bit patterns (at most 2^rules groups, partial sums
 All of it is row-local but for the ablation sums, so nothing can be skewed but one very long text,
 which is measured with numpy in memory proportional to that text.
 
-Defined cases: a null or empty text has no words, fails ``few_words`` and is rejected; null ids and
+Defined cases: a null or empty text has no words and fails ``few_words`` only; null ids and
 repeated rows are measured like any other row; an empty table gives an empty ledger; other columns
 are carried in ``row``.
 """
@@ -39,7 +39,7 @@ RULES: tuple[tuple[str, str], ...] = (
     ("duplicate_lines", "100 * n_dup_lines > 40 * n_lines"),
     ("word_length", "word_chars < 2 * n_words OR word_chars > 15 * n_words"),
     ("not_words", "100 * n_plain_words < 60 * n_words"),
-    ("dominant_word", "100 * top_word > 30 * n_words"),
+    ("dominant_word", "top_word > 3 AND 100 * top_word > 30 * n_words"),
     ("stuttering", "100 * n_runs > 20 * n_words"),
     ("table_pipes", "100 * n_pipes > 10 * n_words"),
 )
@@ -60,6 +60,8 @@ class Policy:
 
 BASE = Policy("base-1", ("few_words", "repeated_windows"))
 STRICT = Policy("strict-1", tuple(BIT))
+#: For corpora: a clean text is not junk for being short.
+CORPUS = Policy("corpus-1", tuple(r for r in BIT if r != "few_words"))
 
 
 _SYMBOLS = b"#*$%&|<>"

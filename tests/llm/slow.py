@@ -36,7 +36,7 @@ def failed(m):
     n = m["n_words"]
     return [
         n < 50, m["n_repeat_words"] * 100 > 50 * n, m["n_symbols"] * 100 > 5 * m["word_chars"], m["n_dup_lines"] * 100 > 40 * m["n_lines"], m["word_chars"] < 2 * n or m["word_chars"] > 15 * n,
-        m["n_plain_words"] * 100 < 60 * n, m["top_word"] * 100 > 30 * n, m["n_runs"] * 100 > 20 * n, m["n_pipes"] * 100 > 10 * n,
+        m["n_plain_words"] * 100 < 60 * n, m["top_word"] > 3 and m["top_word"] * 100 > 30 * n, m["n_runs"] * 100 > 20 * n, m["n_pipes"] * 100 > 10 * n,
     ]
 
 
