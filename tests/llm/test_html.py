@@ -3,6 +3,7 @@ from html.parser import HTMLParser
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 from tallyfold.llm import html_blstm as H
 from tallyfold.llm.page_plans import labelled_pages
@@ -141,7 +142,8 @@ def test_hand_written_pages(weights):
 
 def test_rows(spark, weights):
     rows = [(1, None, "u"), (1, None, "u"), (None, "", "v"), (3, "<body><article><h1>Title here</h1><p>Some words of the article, and some more words.</p></article><footer>&copy; All rights reserved</footer>", "w"), (4, "<article>" + "<p>many words in a row here. " * 3000, "x")]
-    got = H.extract_main_text(spark.createDataFrame(rows, "page_id long, html string, text string"), weights=weights).collect()
+    df = spark.createDataFrame(rows, "page_id long, html string, text string").withColumns({c: F.lit(c) for c in ("row", "path", "blocks", "n_chars")})
+    got = H.extract_main_text(df, weights=weights).collect()
     by = {r.row.page_id: r for r in got}
     assert len(got) == 5 and by[1].text == "" and by[None].text == "" and by[3].row.text == "w"
     assert by[3].text == "Title here\n\nSome words of the article, and some more words."
