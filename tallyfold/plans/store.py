@@ -150,7 +150,10 @@ class WriteMismatch(RuntimeError):
 
 def checksum(df: DataFrame):
     """A sum over hashes of rows: the same for the same rows in any order."""
-    return F.coalesce(F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")), F.lit(0)).cast("string")
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    as_text = lambda c: F.to_json(F.struct(F.col(f"`{c}`")))  # noqa: E731  (maps and variants have no hash of their own)
+    parts = [as_text(c) if "map<" in k or "variant" in k else F.col(f"`{c}`") for c, k in kinds.items()]
+    return F.coalesce(F.sum(F.xxhash64(*parts).cast("decimal(38,0)")), F.lit(0)).cast("string")
 
 
 def manifest(folder: Folder) -> dict | None:

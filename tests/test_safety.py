@@ -113,6 +113,9 @@ def test_written_rows_are_the_planned_ones(spark, tmp_path):
     with pytest.raises(store.WriteMismatch):
         store.publish(a, root, "2", planned=3)
     assert store.current(spark, root).count() == 2
+    maps = spark.createDataFrame([(1, {"a": 1}), (2, None)], "k int, m map<string,int>")
+    store.publish(maps, str(tmp_path / "maps"), "1", planned=2)
+    store.verify_published(spark, str(tmp_path / "maps"))
     part = next(p for p in (tmp_path / "k" / "v=1").iterdir() if p.name.endswith(".parquet"))
     shutil.rmtree(tmp_path / "k" / "v=1")
     spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string").write.parquet(str(part.parent))
