@@ -55,7 +55,7 @@ def word_hashes(words: list[bytes], seed: int = 0) -> np.ndarray:
     out = [get(w) for w in words]
     if None in out:
         h = xxhash.xxh3_64_intdigest
-        if len(known) > 300_000:
+        if len(known) > 120_000:
             known.clear()
         for i, x in enumerate(out):
             if x is None:

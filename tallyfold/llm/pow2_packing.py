@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from .common import process_cache, texts_of
 
 MAX_LEN, END_ID, BUCKETS = 2048, 1, 1024
-#: Words, and parts of words, kept in a worker's dictionaries before they start anew: about 60 MB each.
-CACHE_WORDS = 300_000
+#: Words, and parts of words, kept in a worker's dictionaries before they start anew: about 20 MB each.
+CACHE_WORDS = 120_000
 #: Latin letters (whole characters, so already in NFC), then punctuation without ' and <, which the
 #: pre-tokenizer or the special tokens treat in their own way.
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-į]+)([!-&(-/:;=>?@\[-`{-~]*)")
