@@ -90,6 +90,33 @@ def test_coverage_of_all_sizes(spark):
     assert len(got) == len(want) and {(r.a, r.b) for r in got} == want
 
 
+def test_coverage_of_copies_and_full_cells(spark, monkeypatch):
+    """Copies are compared once, boxes without Python, and a cell with many shapes is dealt to several tasks."""
+    monkeypatch.setattr(spatial, "BLOCK", 5)
+    rng = random.Random(4)
+    corners = [(rng.randrange(60), rng.randrange(60), rng.randrange(1, 30), rng.randrange(1, 30)) for _ in range(40)]
+    box = lambda x, y, w, h: f"POLYGON (({x} {y}, {x + w} {y}, {x + w} {y + h}, {x} {y + h}, {x} {y}))"
+    rows = [(i, *corners[i % 40]) for i in range(120)]
+    df = spark.createDataFrame([(r[0], box(*r[1:])) for r in rows], "id int, wkt string")
+    join = lambda x, y: spatial.coverage_join(x.withColumnRenamed("id", "a"), y.withColumnRenamed("id", "b"), "a", "b", "wkt", 50)
+    got = join(df, df)
+    assert "MapInPandas" not in got._jdf.queryExecution().toString()
+    want = {}
+    for a in rows:
+        for b in rows:
+            w, h = (min(a[i] + a[i + 2], b[i] + b[i + 2]) - max(a[i], b[i]) for i in (1, 2))
+            if w > 0 and h > 0 and 100 * w * h >= 50 * b[3] * b[4]:
+                want[a[0], b[0]] = 100 * w * h / (b[3] * b[4])
+    got = got.collect()
+    assert len(got) == len(want) and {(r.a, r.b): round(r.covered_pct, 9) for r in got} == {k: round(v, 9) for k, v in want.items()}
+    ell = "POLYGON ((0 0, 4 0, 4 1, 1 1, 1 4, 0 4, 0 0))"
+    turned = "POLYGON ((0 0, 2 -2, 4 0, 2 2, 0 0))"  # four corners and no box
+    mixed = spark.createDataFrame([(1, box(0, 0, 4, 4)), (2, ell), (3, ell), (4, turned), (5, None), (6, "POLYGON ((0 0, 0 0, 0 0, 0 0, 0 0))")], "id int, wkt string")
+    got = {(r.a, r.b): round(r.covered_pct, 6) for r in join(mixed, mixed).collect()}
+    want = {(i, i): 100 for i in (1, 2, 3, 4)} | {(1, 2): 100, (1, 3): 100, (2, 3): 100, (3, 2): 100, (1, 4): 50}
+    assert got == want
+
+
 # ---- layers -----------------------------------------------------------------------------------------
 
 ROWS = [(None, "n1"), (None, "n2"), *[(k, f"f{k}.{i}") for k in range(10) for i in range(1 + k % 3)]]
