@@ -544,26 +544,39 @@ FROM l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey LEFT JOIN customer ON c
 LEFT JOIN part ON p_partkey = l.l_partkey LEFT JOIN supplier ON s_suppkey = l.l_suppkey LEFT JOIN nation sn ON sn.n_nationkey = s_nationkey LEFT JOIN region sr ON sr.r_regionkey = sn.n_regionkey
 LEFT JOIN e ON e.user_id = o.o_custkey LEFT JOIN f ON f.l_orderkey = l.l_orderkey LEFT JOIN rooms ON rooms.l_orderkey = l.l_orderkey LEFT JOIN zps ON zps.l_suppkey = l.l_suppkey LEFT JOIN comp ON comp.l_partkey = l.l_partkey LEFT JOIN last ON last.o_custkey = o.o_custkey""")
 def wide_parts_view(spark, sf):
-    """A star of fourteen left joins over latest versions: small dimensions are left to Spark's broadcasts, sums are
-    aggregated before they are joined."""
+    """A star of fourteen left joins over latest versions.  Lines are dealt once by part, by supplier and by order, the
+    customers' columns are joined to the orders first, and names of nations and regions come last.  Totals of parts and
+    suppliers are aggregated before they are joined; windows are only over the latest lines of one order."""
     o, c, n, r, p, s, raw = (table(spark, sf, t) for t in ("orders", "customer", "nation", "region", "part", "supplier", "lineitem"))
     d = lambda *cs: [F.col(x).desc_nulls_last() for x in cs]
     dec = lambda x: F.col(x).cast("decimal(20,2)")
     l = temporal.latest_per_key(raw, ["l_orderkey", "l_linenumber"], d("l_shipdate", "l_partkey", "l_suppkey", "l_extendedprice"))
     e = temporal.latest_per_key(_events(spark, sf), ["user_id"], d("ts", "event_id")).select(F.col("user_id").alias("o_custkey"), "event_type")
-    first = temporal.latest_per_key(l, ["l_orderkey"], [F.col("l_shipdate"), F.col("l_linenumber")]).select("l_orderkey", F.col("l_linenumber").alias("first_line"))
-    large = p.where("p_size > 25").select(F.col("p_partkey").alias("l_partkey"), F.lit(True).alias("large"))
-    rooms = l.join(large, "l_partkey", "left").groupBy("l_orderkey").agg(F.sum(dec("l_quantity")).cast("double").alias("net"), F.sum(F.when(F.col("large"), dec("l_quantity"))).cast("double").alias("usable"))
-    zps = l.groupBy("l_suppkey").agg(F.sum(dec("l_extendedprice")).cast("double").alias("supplier_total"))
-    comp = l.where("l_returnflag = 'R'").groupBy("l_partkey").agg(F.sum(dec("l_quantity")).cast("double").alias("returned"))
     last = temporal.latest_per_key(o, ["o_custkey"], d("o_orderdate", "o_orderkey")).select("o_custkey", F.col("o_orderkey").alias("newest_order"))
+    # both kinds of totals in one pass over the latest lines
+    of = lambda kind, key, v: F.struct(F.lit(kind).alias("kind"), key.alias("key"), v.alias("v"))
+    shares = F.array(of("supplier", F.col("l_suppkey"), dec("l_extendedprice")), of("part", F.when(F.col("l_returnflag") == "R", F.col("l_partkey")), dec("l_quantity")))
+    totals = l.select(F.explode(shares).alias("x")).select("x.*").groupBy("kind", "key").agg(F.sum("v").cast("double").alias("total"))
+    total = lambda kind, key, name: totals.where(F.col("kind") == kind).select(F.col("key").alias(key), F.col("total").alias(name))
+
+    def dimension(df, key, to, cols, order):
+        """Rows with their place among those of one key, so that sums take a line once."""
+        w = Window.partitionBy(key)
+        return df.withColumns({f"{to}_nth": F.row_number().over(w.orderBy(*order))}).select(F.col(key).alias(to), f"{to}_nth", *[F.col(x) if isinstance(x, str) else x(w) for x in cols])
+
+    parts = dimension(p, "p_partkey", "l_partkey", ["p_name", lambda w: F.max(F.col("p_size") > 25).over(w).alias("large")], ["p_name"])
+    suppliers = dimension(s, "s_suppkey", "l_suppkey", ["s_name", "s_nationkey"], ["s_name"])
     place = lambda of: n.join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left").select(F.col("n_nationkey").alias(f"{of[0]}_nationkey"), F.col("n_name").alias(f"{of}_nation"), F.col("r_name").alias(f"{of}_region"))
-    j = l.join(o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey"), "l_orderkey", "left")
-    j = j.join(c.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey"), "o_custkey", "left").join(place("customer"), "c_nationkey", "left")
-    j = j.join(p.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey", "left")
-    j = j.join(s.select(F.col("s_suppkey").alias("l_suppkey"), "s_name", "s_nationkey"), "l_suppkey", "left").join(place("supplier"), "s_nationkey", "left")
-    for side, key in ((e, "o_custkey"), (first, "l_orderkey"), (rooms, "l_orderkey"), (zps, "l_suppkey"), (comp, "l_partkey"), (last, "o_custkey")):
-        j = j.join(side, key, "left")
+    orders = o.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey").join(c.select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_nationkey"), "o_custkey", "left")
+    orders = orders.join(e, "o_custkey", "left").join(last, "o_custkey", "left").drop("o_custkey")
+    j = l.select("l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity")
+    j = j.join(total("part", "l_partkey", "returned"), "l_partkey", "left").join(parts, "l_partkey", "left").drop("l_partkey")
+    j = j.join(total("supplier", "l_suppkey", "supplier_total"), "l_suppkey", "left").join(suppliers, "l_suppkey", "left").drop("l_suppkey")
+    quantity = F.when((F.coalesce("l_partkey_nth", F.lit(1)) == 1) & (F.coalesce("l_suppkey_nth", F.lit(1)) == 1), dec("l_quantity"))
+    j = j.withColumns({"l_quantity": quantity, "_at": F.struct(F.col("l_shipdate").isNull(), "l_shipdate", "l_linenumber")})
+    of_order = lambda x: F.when(F.col("l_orderkey").isNotNull(), x.over(Window.partitionBy("l_orderkey")))
+    j = j.withColumns({"first_line": of_order(F.min("_at"))["l_linenumber"], "net": of_order(F.sum("l_quantity")).cast("double"), "usable": of_order(F.sum(F.when(F.col("large"), F.col("l_quantity")))).cast("double")})
+    j = j.drop("_at", "l_shipdate").join(orders, "l_orderkey", "left").join(place("customer"), "c_nationkey", "left").join(place("supplier"), "s_nationkey", "left")
     return j.select("l_orderkey", "l_linenumber", "p_name", "s_name", "supplier_nation", "supplier_region", "c_name", "customer_nation", "customer_region", "event_type", "first_line", "net", "usable", "supplier_total", "returned", "newest_order")
 
 
