@@ -177,13 +177,16 @@ def window_audit(source: DataFrame, target: DataFrame, start: Column, end: Colum
 def anomalies(source: DataFrame, target: DataFrame, key: str = "key", changed: str = "changed") -> DataFrame:
     """Rows of either side with a NULL key, a NULL change time or a key found more than once on that side.
 
-    Keys are counted by aggregation and joined back, so one hot key is split by AQE instead of filling a window.
+    Keys are counted by aggregation, and those found more than once are joined back, so one hot key is split by AQE
+    instead of filling a window.  They are dealt anew, or the join would hold the table of all keys beside its rows.
     """
+    parts = int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def one(df: DataFrame, side: str) -> DataFrame:
-        n = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("same_side_key_count"))
+        n = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").repartition(parts)
         rows = df.select(F.lit(side).alias("side"), key, changed).join(n, key, "left")
-        return rows.where(F.col(key).isNull() | F.col(changed).isNull() | (F.col("same_side_key_count") > 1)).select("side", key, changed, "same_side_key_count")
+        count = F.when(F.col(key).isNotNull(), F.coalesce("n", F.lit(1)).cast("long")).alias("same_side_key_count")
+        return rows.where(F.col(key).isNull() | F.col(changed).isNull() | F.col("n").isNotNull()).select("side", key, changed, count)
 
     return one(source, "SOURCE").unionByName(one(target, "TARGET"))
 

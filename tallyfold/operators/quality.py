@@ -10,16 +10,15 @@ from pyspark.sql.types import StructType
 def prove_source(df: DataFrame, membership: str, page: list[str]) -> DataFrame:
     """One row: total, NULL keys, distinct membership keys, distinct page tuples, rows with a NULL in the page.
 
-    Distinct counts are two stacked aggregations, so no task sees all values.
+    Distinct counts are aggregations, so no task sees all values.  Tuples and membership keys are counted beside each
+    other and not on top of each other, so a task holds one table of keys at a time.
     """
     null_page = F.lit(False)
     for p in page:
         null_page |= F.col(p).isNull()
-    tuples = df.groupBy(membership, *[p for p in page if p != membership]).agg(F.count(F.lit(1)).alias("n"))
-    marked = tuples.withColumn("_np", null_page)
-    by_page = marked.groupBy(*page).agg(F.sum("n").alias("n"), F.first("_np").alias("_np"))
-    a = marked.groupBy(membership).agg(F.sum("n").alias("n")).agg(F.sum("n").alias("total_rows"), F.sum(F.when(F.col(membership).isNull(), F.col("n")).otherwise(0)).alias("null_keys"), F.count(membership).alias("distinct_keys"))
-    b = by_page.agg(F.count_if(~F.col("_np")).alias("distinct_pages"), F.sum(F.when(F.col("_np"), F.col("n")).otherwise(0)).alias("null_page_rows"))
+    by_page = df.groupBy(*page).agg(F.count(F.lit(1)).alias("_n"))
+    a = df.groupBy(membership).agg(F.count(F.lit(1)).alias("_n")).agg(F.sum("_n").alias("total_rows"), F.sum(F.when(F.col(membership).isNull(), F.col("_n")).otherwise(0)).alias("null_keys"), F.count(membership).alias("distinct_keys"))
+    b = by_page.agg(F.count_if(~null_page).alias("distinct_pages"), F.sum(F.when(null_page, F.col("_n")).otherwise(0)).alias("null_page_rows"))
     return a.crossJoin(b)  # one row each
 
 

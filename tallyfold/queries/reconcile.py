@@ -315,7 +315,8 @@ def family_copy(spark, sf):
     wanted = p.select("id")
     for _ in range(2):
         p, c = rewrite.copy_family(p, c, wanted, "id", "parent", "orders")
-    count = lambda df, kind: df.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("distinct_ids"), F.count("origin").alias("copies"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))  # ids are dealt before they are counted, beside no other step
+    count = lambda df, kind: df.repartition(parts, "id").agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n"), F.count_distinct("id").alias("distinct_ids"), F.count("origin").alias("copies"))
     return count(p, "parent").union(count(c, "child"))
 
 

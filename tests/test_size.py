@@ -1,12 +1,13 @@
 """Queries on larger tables: what they shuffle and hold, and rows that only odd tables show."""
 
 import os
+import re
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from tallyfold import catalogue
+from tallyfold.operators import quality
 
 from .test_queries import TABLES, rows
 
@@ -42,13 +43,48 @@ def exchanges(df):
     return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange hashpartitioning")
 
 
-def test_wide_view_deals_lines_once(spark, sf):
+def stages(df):
+    """Operators between the exchanges of a plan, as ``(name, grouping keys)``."""
+    out, above = [], []
+    for line in df._jdf.queryExecution().executedPlan().toString().split("\n"):
+        at = re.match(r"[ :]*[+:]- ", line)
+        if not at:
+            continue
+        deep, name = at.end(), re.sub(r"^\*?\(?\d*\)? ?", "", line[at.end() :])
+        while above and above[-1][0] >= deep:
+            above.pop()
+        mine = above[-1][1] if above and not above[-1][2] else []
+        if not mine:
+            out.append(mine)
+        keys = re.search(r"keys=\[(.*?)\], functions", name)
+        mine.append((name.split("(")[0].split()[0], re.sub(r"#\d+L?", "", keys.group(1)) if keys else ""))
+        above.append((deep, mine, name.startswith("Exchange")))
+    return out
+
+
+@pytest.fixture
+def no_broadcast(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert exchanges(catalogue.QUERIES["wide_parts_view"](spark, sf)) <= 26
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.mark.parametrize("name", ["prove_source"])
+def test_no_task_holds_tables_of_two_kinds_of_keys(spark, sf, name):
+    found = stages(catalogue.QUERIES[name](spark, sf))
+    assert found and all(len({k for _, k in s if k}) <= 1 for s in found)
+
+
+def test_proof_counts_nulls(spark):
+    df = spark.createDataFrame([(1, 1, "a"), (1, 1, "b"), (1, None, "a"), (None, 1, "a"), (None, 1, "a"), (2, 1, "a")], "k long, n long, t string")
+    got = lambda page: quality.prove_source(df, "k", page).first().asDict()
+    assert got(["k", "n"]) == {"total_rows": 6, "null_keys": 2, "distinct_keys": 2, "distinct_pages": 2, "null_page_rows": 3}
+    assert got(["n", "t"]) == {"total_rows": 6, "null_keys": 2, "distinct_keys": 2, "distinct_pages": 2, "null_page_rows": 1}
+
+
+def test_wide_view_deals_lines_once(spark, sf, no_broadcast):
+    assert exchanges(catalogue.QUERIES["wide_parts_view"](spark, sf)) <= 26
 
 
 def test_wide_view_of_repeated_dimensions(spark, odd):
