@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 from tallyfold import catalogue
-from tallyfold.operators import quality
+from tallyfold.operators import delta, quality
 
 from .test_queries import TABLES, rows
 
@@ -83,6 +83,13 @@ def test_proof_counts_nulls(spark):
     assert got(["n", "t"]) == {"total_rows": 6, "null_keys": 2, "distinct_keys": 2, "distinct_pages": 2, "null_page_rows": 1}
 
 
+def test_anomalies_join_repeated_keys_only(spark, no_broadcast):
+    df = spark.createDataFrame([(1, 5), (1, None), (2, 5), (3, None), (None, 5), (None, None)], "key long, changed long")
+    out = delta.anomalies(df, df.where("key = 1 AND changed IS NOT NULL"))
+    assert not any("SortMergeJoin" in {n for n, _ in s} and any(k for _, k in s) for s in stages(out))
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, [("SOURCE", 1, 5, 2), ("SOURCE", 1, None, 2), ("SOURCE", 3, None, 1), ("SOURCE", None, 5, None), ("SOURCE", None, None, None)]))
+
+
 def test_wide_view_deals_lines_once(spark, sf, no_broadcast):
     assert exchanges(catalogue.QUERIES["wide_parts_view"](spark, sf)) <= 26
 
