@@ -90,6 +90,17 @@ def test_anomalies_join_repeated_keys_only(spark, no_broadcast):
     assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, [("SOURCE", 1, 5, 2), ("SOURCE", 1, None, 2), ("SOURCE", 3, None, 1), ("SOURCE", None, 5, None), ("SOURCE", None, None, None)]))
 
 
+def test_whole_rows_as_keys_need_no_check(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (1, None)], "k long, t string")
+    spark.sparkContext.setJobGroup("collapse", "collapse")
+    one = quality.collapse_identical(df, ["k", "t"])
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("collapse")) == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert one.count() == 2
+    with pytest.raises(ValueError, match="differ"):
+        quality.collapse_identical(df, ["k"])
+
+
 def test_wide_view_deals_lines_once(spark, sf, no_broadcast):
     assert exchanges(catalogue.QUERIES["wide_parts_view"](spark, sf)) <= 26
 
