@@ -23,8 +23,13 @@ def prove_source(df: DataFrame, membership: str, page: list[str]) -> DataFrame:
 
 
 def duplicates(df: DataFrame, keys: list[str], payload: list[str]) -> DataFrame:
-    """Keys found more than once: ``n`` rows, ``versions`` different payloads (NULLs compare as equal)."""
+    """Keys found more than once: ``n`` rows, ``versions`` different payloads (NULLs compare as equal).
+
+    Rows are counted before they are dealt by key, so of a hot key only its different payloads come to one task.  They
+    are dealt to all partitions, because a key's payloads and the keys together would fill coalesced ones.
+    """
     per = df.groupBy(*keys, *payload).agg(F.count(F.lit(1)).alias("n"))
+    per = per.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
     return per.groupBy(*keys).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("versions")).where("n > 1")
 
 
@@ -33,7 +38,7 @@ def collapse_identical(df: DataFrame, keys: list[str]) -> DataFrame:
     one = df.dropDuplicates()
     if set(df.columns) <= set(keys):  # nothing is left that could differ
         return one
-    dealt = one.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    dealt = one.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)  # as in duplicates()
     if not dealt.groupBy(*keys).count().where("count > 1").isEmpty():
         raise ValueError("rows with one key differ")
     return one

@@ -70,7 +70,7 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-@pytest.mark.parametrize("name", ["prove_source"])
+@pytest.mark.parametrize("name", ["prove_source", "conflicting_duplicates"])
 def test_no_task_holds_tables_of_two_kinds_of_keys(spark, sf, name):
     found = stages(catalogue.QUERIES[name](spark, sf))
     assert found and all(len({k for _, k in s if k}) <= 1 for s in found)
