@@ -101,6 +101,12 @@ def test_whole_rows_as_keys_need_no_check(spark):
         quality.collapse_identical(df, ["k"])
 
 
+def test_copies_are_dealt_before_they_are_counted(spark, sf, no_broadcast):
+    found = stages(catalogue.QUERIES["family_copy"](spark, sf))
+    joins = [s for s in found if "SortMergeJoin" in {n for n, _ in s}]
+    assert joins and not any(k == "id" and n == "HashAggregate" for s in joins if any(n == "Union" for n, _ in s) for n, k in s)
+
+
 def test_wide_view_deals_lines_once(spark, sf, no_broadcast):
     assert exchanges(catalogue.QUERIES["wide_parts_view"](spark, sf)) <= 26
 
