@@ -8,6 +8,7 @@ import pytest
 
 from tallyfold import catalogue
 from tallyfold.operators import delta, quality
+from tallyfold.queries import reconcile
 
 from .test_queries import TABLES, rows
 
@@ -90,6 +91,12 @@ def test_anomalies_join_repeated_keys_only(spark, no_broadcast):
     assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, [("SOURCE", 1, 5, 2), ("SOURCE", 1, None, 2), ("SOURCE", 3, None, 1), ("SOURCE", None, 5, None), ("SOURCE", None, None, None)]))
 
 
+def test_audit_join_keeps_its_tasks(spark, sf, no_broadcast):
+    """Lines are grouped in the task that sorts both sides, so these tasks must not be merged to a few."""
+    target = reconcile._audit_sides(spark, sf)[1]
+    assert target.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_whole_rows_as_keys_need_no_check(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (1, None), (1, None)], "k long, t string")
     spark.sparkContext.setJobGroup("collapse", "collapse")
