@@ -108,7 +108,9 @@ def copy_family(parents: DataFrame, children: DataFrame, wanted: DataFrame, id_c
     alone together with its children, so a repeated run adds nothing; copies are never copied.
     """
     copied = lambda c: stable_uuid(namespace, c)
-    new = parents.where("origin IS NULL").join(wanted.select(id_col).distinct(), id_col, "left_semi")
+    # dealt by number, so AQE leaves the join, which holds the table of wanted ids beside its rows, in as many tasks
+    ids = wanted.select(id_col).repartition(int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions")), id_col).distinct()
+    new = parents.where("origin IS NULL").join(ids, id_col, "left_semi")
     new = new.withColumns({"origin": F.col(id_col), "_copy": copied(F.col(id_col).cast("string"))}).join(parents.select(F.col(id_col).alias("_copy")), "_copy", "left_anti")
     added = new.withColumn(id_col, F.col("_copy")).drop("_copy").select(*parents.columns)
     of = new.select(F.col("origin").alias(parent_col), F.col("_copy").alias("_parent"))

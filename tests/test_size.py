@@ -8,6 +8,7 @@ import pytest
 
 from tallyfold import catalogue
 from tallyfold.operators import delta, quality
+from tallyfold.plans import rewrite
 from tallyfold.queries import reconcile
 
 from .test_queries import TABLES, rows
@@ -114,6 +115,16 @@ def test_copies_are_dealt_before_they_are_counted(spark, sf, no_broadcast):
     assert joins and not any(k == "id" and n == "HashAggregate" for s in joins if any(n == "Union" for n, _ in s) for n, k in s)
 
 
+def test_family_join_keeps_its_tasks(spark, no_broadcast):
+    """The semi join holds the table of wanted ids, so its tasks must not be merged to a few."""
+    p = spark.range(1000).selectExpr("string(id) AS id", "string(NULL) AS origin")
+    c = p.selectExpr("id", "id AS parent", "origin")
+    added = rewrite.copy_family(p, c, p.union(p), "id", "parent", "ns")[0].where("origin IS NOT NULL")
+    assert added.count() == 1000
+    plan = added._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"LeftSemi(.|\n)*?REPARTITION_BY_NUM", plan)
+
+
 def test_wide_view_deals_lines_once(spark, sf, no_broadcast):
     assert exchanges(catalogue.QUERIES["wide_parts_view"](spark, sf)) <= 26
 
